@@ -29,8 +29,18 @@ def query(function: Callable[[Feeds], DataFrame]) -> Callable[[Feeds], DataFrame
 # --- dimensions the fact queries join ---------------------------------------------------------------------------
 
 
+def owned_agents(events: DataFrame) -> DataFrame:
+    """All a dimension reads of the events, in one scan."""
+    return write_once(events.select("agent_id", "agent_owner").distinct(), "owned")
+
+
 def agents_of(activity: DataFrame, events: DataFrame) -> DataFrame:
-    return dimensions.daily_agents(activity, events, dimensions.daily_agent_owners(events))
+    owned = owned_agents(events)
+    return dimensions.daily_agents(activity, owned, dimensions.daily_agent_owners(owned))
+
+
+def base_agents(f: Feeds) -> DataFrame:
+    return write_once(agents_of(f.base_activity, f.base_events), "agents")
 
 
 def contents_of(activity: DataFrame) -> DataFrame:
@@ -46,7 +56,7 @@ def off_day(df: DataFrame, day: str) -> DataFrame:
 
 
 def accumulator_of(f: Feeds) -> DataFrame:
-    agents = agents_of(f.base_activity, f.base_events)
+    agents = base_agents(f)
     rows = f.base_activity.withColumns({"Agent": name_part("agent_id"), "Date": day_part("time")})
     return staging.conform(rows.join(agents, "Agent", "left"), schemas.USER_ACCUMULATOR)
 
@@ -116,7 +126,7 @@ def src_malformed_policy(f: Feeds) -> DataFrame:
 def sink_csv_roundtrip(f: Feeds) -> DataFrame:
     """A stored fact with decimal commas, sorted, through ``;``-separated text and back."""
     fact = facts.daily_conversations_and_sm(
-        f.base_events, lookups.natcos(f.spark), agents_of(f.base_activity, f.base_events)
+        f.base_events, lookups.natcos(f.spark), base_agents(f)
     )
     fact = merges.merge_conversations_and_sm(_empty(f, "f_conversations_and_sm"), fact, BEFORE_ALL)
     path = new_path(f.spark, "fact")
@@ -127,7 +137,7 @@ def sink_csv_roundtrip(f: Feeds) -> DataFrame:
 @query
 def sink_publish_skip_empty(f: Feeds) -> DataFrame:
     """Two versions; the second has an empty fact, so the first version of that fact stays current."""
-    agents = write_once(agents_of(f.base_activity, f.base_events), "agents")
+    agents = base_agents(f)
     content = facts.daily_message_content(
         f.base_activity, lookups.natcos(f.spark), contents_of(f.base_activity), agents
     )
@@ -270,7 +280,7 @@ def scd_agent_owner(f: Feeds) -> DataFrame:
 @query
 def scd_agent(f: Feeds) -> DataFrame:
     """Agents of the early events, then those of all activity and the late events."""
-    early, late = early_and_late(f)
+    early, late = map(owned_agents, early_and_late(f))
     owners = dimensions.daily_agent_owners(early)
     old = dimensions.daily_agents(f.activity(wide=True).filter(F.lit(False)), early, owners)
     new = dimensions.daily_agents(
@@ -297,18 +307,18 @@ def content_fact(f: Feeds, activity: DataFrame, agents: DataFrame, contents: Dat
 
 @query
 def fact_message_content_daily(f: Feeds) -> DataFrame:
-    return content_fact(f, f.base_activity, agents_of(f.base_activity, f.base_events), contents_of(f.base_activity))
+    return content_fact(f, f.base_activity, base_agents(f), contents_of(f.base_activity))
 
 
 @query
 def fact_message_conversation_daily(f: Feeds) -> DataFrame:
-    agents = agents_of(f.base_activity, f.base_events)
+    agents = base_agents(f)
     return facts.daily_message_conversation(f.base_events, lookups.natcos(f.spark), agents)
 
 
 @query
 def fact_conversation_sm_daily(f: Feeds) -> DataFrame:
-    agents = agents_of(f.base_activity, f.base_events)
+    agents = base_agents(f)
     return facts.daily_conversations_and_sm(f.base_events, lookups.natcos(f.spark), agents)
 
 
@@ -320,7 +330,7 @@ def _empty(f: Feeds, table: str) -> DataFrame:
 
 
 def old_and_new_content(f: Feeds) -> tuple[DataFrame, DataFrame]:
-    agents = write_once(agents_of(f.base_activity, f.base_events), "agents")
+    agents = base_agents(f)
     contents = write_once(contents_of(f.base_activity), "contents")
     others = content_fact(f, off_day(f.base_activity, ACTIVITY_DAY), agents, contents)
     new = content_fact(f, on_day(f.base_activity, ACTIVITY_DAY), agents, contents)
@@ -348,7 +358,7 @@ def merge_touched_dates(f: Feeds) -> DataFrame:
 
 @query
 def merge_message_conversation(f: Feeds) -> DataFrame:
-    agents = write_once(agents_of(f.base_activity, f.base_events), "agents")
+    agents = base_agents(f)
 
     def fact(events: DataFrame) -> DataFrame:
         return facts.daily_message_conversation(events, lookups.natcos(f.spark), agents)
@@ -360,7 +370,7 @@ def merge_message_conversation(f: Feeds) -> DataFrame:
 
 @query
 def merge_conversation_sm(f: Feeds) -> DataFrame:
-    agents = write_once(agents_of(f.base_activity, f.base_events), "agents")
+    agents = base_agents(f)
 
     def fact(events: DataFrame) -> DataFrame:
         return facts.daily_conversations_and_sm(events, lookups.natcos(f.spark), agents)

@@ -14,25 +14,36 @@ from palaver.functions.text import name_part
 UNKNOWN_CONTENT = "N/A"
 
 
+def owner_names(events: DataFrame) -> DataFrame:
+    return events.select(name_part("agent_owner").alias("AgentOwner")).distinct()
+
+
+def agent_ids(activity: DataFrame, events: DataFrame) -> DataFrame:
+    return activity.select("agent_id").unionByName(events.select("agent_id")).distinct()
+
+
+def with_owner(agents: DataFrame, events: DataFrame, d_agent_owner: DataFrame) -> DataFrame:
+    """Add Agent and, from the owners the events name, AgentOwnerID. Several owners of an agent give several rows."""
+    owned = events.select("agent_id", "agent_owner").distinct().withColumn("AgentOwner", name_part("agent_owner"))
+    return (
+        agents.join(owned, "agent_id", "left")
+        .join(d_agent_owner, "AgentOwner", "left")
+        .select(*agents.columns, "AgentOwnerID", name_part("agent_id").alias("Agent"))
+    )
+
+
 def daily_agent_owners(events: DataFrame) -> DataFrame:
     """Distinct owner names, numbered in name order."""
-    owners = events.select(name_part("agent_owner").alias("AgentOwner")).distinct()
-    return number_rows(owners, ["AgentOwner"], "AgentOwnerID").select("AgentOwnerID", "AgentOwner")
+    return number_rows(owner_names(events), ["AgentOwner"], "AgentOwnerID").select("AgentOwnerID", "AgentOwner")
 
 
 def daily_agents(activity: DataFrame, events: DataFrame, d_agent_owner: DataFrame) -> DataFrame:
-    """Distinct agent ids of both feeds, numbered in id order, with the owner the events name.
+    """Distinct agent ids of both feeds, numbered in id order, with the owners the events name.
 
-    An agent with several owners gives several rows under one AgentID.
+    Only agent_id and agent_owner are read: digests of the feeds, or their distinct pairs, serve as well as the feeds.
     """
-    ids = activity.select("agent_id").unionByName(events.select("agent_id")).distinct()
-    owned = events.select("agent_id", name_part("agent_owner").alias("AgentOwner"), "agent_owner").distinct()
-    return (
-        number_rows(ids, ["agent_id"], "AgentID")
-        .join(owned, "agent_id", "left")
-        .join(d_agent_owner, "AgentOwner", "left")
-        .select("AgentID", "AgentOwnerID", name_part("agent_id").alias("Agent"))
-    )
+    numbered = number_rows(agent_ids(activity, events), ["agent_id"], "AgentID")
+    return with_owner(numbered, events, d_agent_owner).select("AgentID", "AgentOwnerID", "Agent")
 
 
 def daily_content_types(
@@ -97,11 +108,14 @@ def insert_new(
 
 
 def merge_agent_owners(old: DataFrame, new: DataFrame, null_safe: bool = True) -> DataFrame:
+    """Append unknown owners in name order. Ids that ``new`` may have are not used."""
     return insert_new(old, new, "AgentOwner", "AgentOwnerID", ["AgentOwner"], null_safe)
 
 
 def merge_agents(old: DataFrame, new: DataFrame, null_safe: bool = True) -> DataFrame:
-    return insert_new(old, new, "Agent", "AgentID", ["AgentID", "AgentOwnerID"], null_safe)
+    """Append the rows of unknown agents, in the order of their daily AgentID, or of agent_id where not yet numbered."""
+    order = "AgentID" if "AgentID" in new.columns else "agent_id"
+    return insert_new(old, new, "Agent", "AgentID", [order, "AgentOwnerID"], null_safe)
 
 
 def merge_content_types(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -71,10 +71,11 @@ def run_day(
     messages = write_once(facts.digest_activity(activity), "messages")
     billed = write_once(facts.digest_events(events), "billed")
 
-    owners = dimensions.merge_agent_owners(state.d_agent_owner, dimensions.daily_agent_owners(billed))
+    # Unnumbered: the merges number only what is new.
+    owners = dimensions.merge_agent_owners(state.d_agent_owner, dimensions.owner_names(billed))
     owners = write_once(owners, "owners")
-    agents = dimensions.merge_agents(state.d_agent, dimensions.daily_agents(messages, billed, owners))
-    agents = write_once(agents, "agents")
+    todays = dimensions.with_owner(dimensions.agent_ids(messages, billed), billed, owners)
+    agents = write_once(dimensions.merge_agents(state.d_agent, todays), "agents")
     typed = messages if per == "type" else activity
     new_contents, mapping = dimensions.daily_content_types(typed, lookup.contents, per)
     contents = write_once(dimensions.merge_content_types(state.d_content_type, new_contents), "contents")
