@@ -43,8 +43,11 @@ STATE_SCHEMAS = {
 }
 
 
-def seed_lookups(spark: SparkSession) -> Lookups:
-    return Lookups(lookups.natcos(spark), lookups.conversation_types(spark), lookups.content_mapping(spark))
+def seed_lookups(spark: SparkSession, folder: str | None = None) -> Lookups:
+    """The lookups from the ``;``-separated files of ``folder``, or the built-in rows."""
+    return Lookups(
+        lookups.natcos(spark, folder), lookups.conversation_types(spark, folder), lookups.content_mapping(spark, folder)
+    )
 
 
 def empty_state(spark: SparkSession) -> State:

@@ -11,8 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from palaver import schemas
 from palaver.operators.staging import conform
-from palaver.plans.daily import STATE_SCHEMAS, Lookups, State
-from palaver.sources import lookups
+from palaver.plans.daily import STATE_SCHEMAS, Lookups, State, seed_lookups
 from palaver.sources.delimited import SEMICOLONS, read_delimited, write_delimited
 from palaver.workspace import literal_table
 
@@ -56,6 +55,21 @@ def _sort_columns(table: str) -> list[str]:
     return lead + [c for c in names if c not in lead]
 
 
+def _write(df: DataFrame, table: str, path: str, as_csv: bool) -> bool:
+    """Write one table and tell whether it has rows. The plan runs once: rows are looked for in what was written."""
+    if as_csv:
+        write_delimited(df, path, SEMICOLONS, sort_by=_sort_columns(table))
+    else:
+        df.write.mode("errorifexists").parquet(path)
+    return not _read(df.sparkSession, table, path, "csv" if as_csv else "parquet").isEmpty()
+
+
+def _commit(spark: SparkSession, output_path: str, entries: list[tuple]) -> list[str]:
+    listed = literal_table(spark, entries, _LIST_SCHEMA).coalesce(1)
+    listed.write.mode("append").json(f"{output_path.rstrip('/')}/{_LIST}")
+    return [name for name, *_ in entries]
+
+
 def publish(
     results: dict[str, DataFrame],
     lookup_path: str,
@@ -77,24 +91,64 @@ def publish(
         name = table_name(table, natco)
         df = conform(df, SCHEMAS[table])
         if table == ACCUMULATOR and not as_csv:
-            path = f"{root}/{ACCUMULATOR}"
-            today = df.filter(F.col("FileDate") == F.lit(file_date).cast("date")).drop("FileDate", "NatCo")
-            today.write.mode("overwrite").parquet(f"{path}/NatCo={natco}/FileDate={file_date}")
-            filled = True
-        elif as_csv:
-            path = f"{root}/{version}/{name}.csv"
-            write_delimited(df, path, SEMICOLONS, sort_by=_sort_columns(table))
-            filled = not read_delimited(spark, path, SCHEMAS[table], SEMICOLONS).isEmpty()
-        else:
-            path = f"{root}/{version}/{name}"
-            df.write.mode("errorifexists").parquet(path)
-            filled = not spark.read.schema(SCHEMAS[table]).parquet(path).isEmpty()
-        if filled:
+            stored = published(spark, output_path).filter((F.col("name") == name) & (F.col("format") == "parquet"))
+            current = stored.first()
+            path = current["path"] if current else f"{root}/{version}/{ACCUMULATOR}"
+            whole = df if current is None else df.filter(F.col("FileDate") == F.lit(file_date).cast("date"))
+            _write_slices(whole, path, natco, file_date)
+            entries.append((name, version, path, "parquet"))
+            continue
+        path = f"{root}/{version}/{name}" + (".csv" if as_csv else "")
+        if _write(df, table, path, as_csv):
             entries.append((name, version, path, "csv" if as_csv else "parquet"))
+    return _commit(spark, output_path, entries)
+
+
+def _write_slices(accumulator: DataFrame, path: str, natco: str, file_date: str) -> None:
+    """Write accumulator rows by NatCo and FileDate. The run's own slice is replaced even when it has no rows."""
+    today = F.col("FileDate") == F.lit(file_date).cast("date")
+    slice_ = accumulator.filter(today).drop("NatCo", "FileDate")
+    slice_.write.mode("overwrite").parquet(f"{path}/NatCo={natco}/FileDate={file_date}")
+    store_accumulator(accumulator.filter(~today), path)
+
+
+def store_accumulator(accumulator: DataFrame, path: str) -> None:
+    """Write whole file dates, in place of the same ones. A file date with much of the data is split over tasks."""
+    (
+        accumulator.hint("rebalance", "NatCo", "FileDate")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("NatCo", "FileDate")
+        .parquet(path)
+    )
 
-    commit = literal_table(spark, entries, _LIST_SCHEMA)
-    commit.coalesce(1).write.mode("append").json(f"{output_path.rstrip('/')}/{_LIST}")
-    return [name for name, *_ in entries]
+
+def publish_backfill(
+    results: dict[str, DataFrame], lookup_path: str, output_path: str, version: str, natcos: list[str]
+) -> list[str]:
+    """Make the results of a backfill the current state of every NatCo in ``natcos``.
+
+    A table kept per NatCo is written in one job, one folder per NatCo; daily runs go on from there.
+    """
+    spark = next(iter(results.values())).sparkSession
+    entries = []
+    for table, df in results.items():
+        root = (lookup_path if table in LOOKUP_TABLES else output_path).rstrip("/")
+        path = f"{root}/{version}/{table}"
+        if table not in PER_NATCO:
+            if _write(conform(df, SCHEMAS[table]), table, path, as_csv=False):
+                entries.append((table, version, path, "parquet"))
+            continue
+        if table == ACCUMULATOR:
+            store_accumulator(conform(df, SCHEMAS[table]), path)
+        else:
+            typed = [F.col(c.name).cast(c.dataType).alias(c.name) for c in SCHEMAS[table]]
+            df.select("NatCo", *typed).write.partitionBy("NatCo").parquet(path)
+        filled = {r["NatCo"] for r in spark.read.parquet(path).select("NatCo").distinct().collect()}
+        for natco in sorted(filled & set(natcos)):
+            inside = path if table == ACCUMULATOR else f"{path}/NatCo={natco}"
+            entries.append((table_name(table, natco), version, inside, "parquet"))
+    return _commit(spark, output_path, entries)
 
 
 def published(spark: SparkSession, output_path: str) -> DataFrame:
@@ -115,9 +169,16 @@ def _read(spark: SparkSession, table: str, path: str, fmt: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(path)
 
 
-def load(spark: SparkSession, output_path: str, natco: str) -> tuple[Lookups, State]:
-    """Lookups and state for the next run of ``natco``. A table nobody has published yet is empty, or the seed."""
+def load(
+    spark: SparkSession, output_path: str, natco: str, seeds: Lookups | None = None
+) -> tuple[Lookups, State]:
+    """Lookups and state for the next run of ``natco``.
+
+    A table that was never published is empty. The content mapping starts as that of ``seeds`` and is then the one the
+    last run published.
+    """
     current = {row["name"]: row for row in published(spark, output_path).collect()}
+    seeds = seeds or seed_lookups(spark)
 
     def table(name: str, otherwise: DataFrame | None = None) -> DataFrame:
         entry = current.get(table_name(name, natco))
@@ -127,9 +188,18 @@ def load(spark: SparkSession, output_path: str, natco: str) -> tuple[Lookups, St
         return df.filter(F.col("NatCo") == natco) if name == ACCUMULATOR else df
 
     state = State(**{name: table(name) for name in STATE_SCHEMAS})
-    lookup = Lookups(
-        lookups.natcos(spark),
-        lookups.conversation_types(spark),
-        table("ContentDescriptionMapping", lookups.content_mapping(spark)),
-    )
-    return lookup, state
+    contents = table("ContentDescriptionMapping", seeds.contents)
+    return Lookups(seeds.natcos, seeds.conversation_types, contents), state
+
+
+def load_accumulators(spark: SparkSession, output_path: str) -> DataFrame:
+    """The current accumulators of all NatCos, one scan per folder that holds any."""
+    folders: dict[tuple[str, str], list[str]] = {}
+    for row in published(spark, output_path).filter(F.col("name").startswith(f"{ACCUMULATOR}_")).collect():
+        natco = row["name"].removeprefix(f"{ACCUMULATOR}_")
+        folders.setdefault((row["path"], row["format"]), []).append(natco)
+    rows = literal_table(spark, [], schemas.USER_ACCUMULATOR)
+    for (path, fmt), natcos in sorted(folders.items()):
+        stored = conform(_read(spark, ACCUMULATOR, path, fmt), schemas.USER_ACCUMULATOR)
+        rows = rows.unionByName(stored.filter(F.col("NatCo").isin(natcos)))
+    return rows

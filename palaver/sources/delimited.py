@@ -4,6 +4,7 @@ from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 MALFORMED = "_malformed_record"
@@ -40,14 +41,23 @@ def read_delimited(
 ) -> DataFrame:
     """Read a file, a folder, a glob or a list of them; ``.gz`` files are decompressed.
 
-    Records with a wrong type, too many or too few fields are dropped. Whether a record is dropped never depends on
-    which columns a query selects: column pruning inside the parser is off for that. With ``bad_records_path`` the
-    dropped records are also written there.
+    Records with a wrong type, too many or too few fields are dropped. With ``bad_records_path`` the dropped records
+    are also written there. An unquoted empty field and a quoted one are both read as null.
     """
     reader = spark.read.options(**dialect.options()).option("columnPruning", False)
     if bad_records_path is not None:
         malformed_records(spark, path, schema, dialect).write.mode("append").parquet(bad_records_path)
-    return reader.option("mode", "DROPMALFORMED").schema(schema).csv(path)
+    return _parse_whole(reader.option("mode", "DROPMALFORMED").schema(schema).csv(path))
+
+
+def _parse_whole(rows: DataFrame) -> DataFrame:
+    """Make dropping a record independent of the columns a query selects.
+
+    Without column pruning in the parser the number of fields is always checked, but only the fields a query needs are
+    converted. The filter is true for every row; it needs each column whose conversion can fail.
+    """
+    typed = [f.name for f in rows.schema if not isinstance(f.dataType, StringType)]
+    return rows.filter(F.pmod(F.xxhash64(*typed), F.lit(2)) < 2) if typed else rows
 
 
 def malformed_records(
@@ -96,7 +106,7 @@ def write_delimited(
 ) -> None:
     """Overwrite ``path`` with delimited text.
 
-    ``sort_by`` sorts the whole table, file names in order. ``single_file`` is for small tables only: it makes one
+    Leading and trailing blanks are kept. ``sort_by`` sorts the whole table, file names in order. ``single_file`` is for small tables only: it makes one
     part file when the table has at most ``SINGLE_FILE_ROWS`` rows, and fails otherwise.
     """
     if single_file:
@@ -108,6 +118,7 @@ def write_delimited(
         df = df.orderBy(*sort_by)
 
     options = {k: v for k, v in dialect.options().items() if k != "multiLine"}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     writer = df.write.mode("overwrite").options(**options).options(nullValue=null_value, quoteAll=quote_all)
     if empty_value is not None:
         writer = writer.option("emptyValue", empty_value)
