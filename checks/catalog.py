@@ -12,7 +12,7 @@ from palaver.functions.text import day_part, name_part
 from palaver.operators import dimensions, facts, merges, staging, users
 from palaver.plans import backfill, daily, publish
 from palaver.sources import delimited, feeds, lookups
-from palaver.workspace import literal_table, new_path, write_once
+from palaver.workspace import concurrently, literal_table, new_path, write_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +47,13 @@ def contents_of(activity: DataFrame) -> DataFrame:
     return dimensions.daily_content_types(activity, lookups.content_mapping(activity.sparkSession))[0]
 
 
+def content_keys(f: Feeds) -> tuple[DataFrame, DataFrame]:
+    agents, contents = concurrently(
+        lambda: base_agents(f), lambda: write_once(contents_of(f.base_activity), "contents")
+    )
+    return agents, contents
+
+
 def on_day(df: DataFrame, day: str) -> DataFrame:
     return df.filter(F.col("FileDate") == F.lit(day).cast("date"))
 
@@ -85,7 +92,7 @@ def src_multifile(f: Feeds) -> DataFrame:
 
 @query
 def src_glob_partitions(f: Feeds) -> DataFrame:
-    rows = accumulator_of(f).withColumn("file", F.format_string("acc_users_daily_%s.csv", "NatCo"))
+    rows = accumulator_of(f).withColumn("file", F.format_string(feeds.ACCUMULATOR_NAME.format(natco="%s"), "NatCo"))
     path = new_path(f.spark, "accumulators")
     rows.hint("rebalance", "file").write.partitionBy("file").options(**delimited.SEMICOLONS.options()).csv(path)
     return feeds.read_accumulators(f.spark, path, prefix="file=")
@@ -94,7 +101,7 @@ def src_glob_partitions(f: Feeds) -> DataFrame:
 @query
 def src_feed_by_filename(f: Feeds) -> DataFrame:
     """The activity feed written as gzip TSV under its file names, one per run, and read back in one scan."""
-    name = F.format_string("rbm_activity_%s.csv_%s.csv.gz", F.col("FileDate").cast("string"), "NatCo")
+    name = F.format_string(feeds.feed_file("activity", "%s", "%s"), F.col("FileDate").cast("string"), "NatCo")
     rows = f.base_activity.select(*schemas.ACTIVITY.names, name.alias("file"))
     path = new_path(f.spark, "feed")
     writer = rows.hint("rebalance", "file").write.partitionBy("file").options(**delimited.TABS.options())
@@ -137,10 +144,8 @@ def sink_csv_roundtrip(f: Feeds) -> DataFrame:
 @query
 def sink_publish_skip_empty(f: Feeds) -> DataFrame:
     """Two versions; the second has an empty fact, so the first version of that fact stays current."""
-    agents = base_agents(f)
-    content = facts.daily_message_content(
-        f.base_activity, lookups.natcos(f.spark), contents_of(f.base_activity), agents
-    )
+    agents, contents = content_keys(f)
+    content = facts.daily_message_content(f.base_activity, lookups.natcos(f.spark), contents, agents)
     results = {"d_natco": lookups.natcos(f.spark), "d_agent": agents, "f_message_content": content}
     root = new_path(f.spark, "published")
     publish.publish(results, f"{root}/lookup", f"{root}/output", "v1", NATCO, ACTIVITY_DAY)
@@ -307,7 +312,8 @@ def content_fact(f: Feeds, activity: DataFrame, agents: DataFrame, contents: Dat
 
 @query
 def fact_message_content_daily(f: Feeds) -> DataFrame:
-    return content_fact(f, f.base_activity, base_agents(f), contents_of(f.base_activity))
+    agents, contents = content_keys(f)
+    return content_fact(f, f.base_activity, agents, contents)
 
 
 @query
@@ -330,8 +336,7 @@ def _empty(f: Feeds, table: str) -> DataFrame:
 
 
 def old_and_new_content(f: Feeds) -> tuple[DataFrame, DataFrame]:
-    agents = base_agents(f)
-    contents = write_once(contents_of(f.base_activity), "contents")
+    agents, contents = content_keys(f)
     others = content_fact(f, off_day(f.base_activity, ACTIVITY_DAY), agents, contents)
     new = content_fact(f, on_day(f.base_activity, ACTIVITY_DAY), agents, contents)
     return merges.merge_message_content(_empty(f, "f_message_content"), others, BEFORE_ALL), new
@@ -458,10 +463,11 @@ def run_daily_all(f: Feeds) -> DataFrame:
 
 def digests(f: Feeds, wide: bool = False) -> tuple[DataFrame, DataFrame]:
     activity, events = f.activity(early=True, wide=wide), f.events(joint=True, wide=wide)
-    return (
-        write_once(facts.digest_activity(activity), "messages"),
-        write_once(facts.digest_events(events), "billed"),
+    messages, billed = concurrently(
+        lambda: write_once(facts.digest_activity(activity), "messages"),
+        lambda: write_once(facts.digest_events(events), "billed"),
     )
+    return messages, billed
 
 
 def backfilled_dims(messages: DataFrame, billed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -488,25 +494,29 @@ def backfill_dims_content(f: Feeds) -> DataFrame:
 @query
 def backfill_facts(f: Feeds) -> DataFrame:
     messages, billed = digests(f)
-    _, agents = backfilled_dims(messages, billed)
-    contents = write_once(backfill.content_types(messages, lookups.content_mapping(f.spark))[0], "contents")
-    runs = write_once(backfill.runs_of(messages, billed), "runs")
+    (_, agents), contents, runs = concurrently(
+        lambda: backfilled_dims(messages, billed),
+        lambda: write_once(backfill.content_types(messages, lookups.content_mapping(f.spark))[0], "contents"),
+        lambda: write_once(backfill.runs_of(messages, billed), "runs"),
+    )
     return backfill.message_content(messages, runs, lookups.natcos(f.spark), contents, agents)
 
 
 @query
 def backfill_facts_conversation(f: Feeds) -> DataFrame:
     messages, billed = digests(f)
-    _, agents = backfilled_dims(messages, billed)
-    runs = write_once(backfill.runs_of(messages, billed), "runs")
+    (_, agents), runs = concurrently(
+        lambda: backfilled_dims(messages, billed), lambda: write_once(backfill.runs_of(messages, billed), "runs")
+    )
     return backfill.message_conversation(billed, runs, lookups.natcos(f.spark), agents)
 
 
 @query
 def backfill_average_duration(f: Feeds) -> DataFrame:
     messages, billed = digests(f)
-    _, agents = backfilled_dims(messages, billed)
-    runs = write_once(backfill.runs_of(messages, billed), "runs")
+    (_, agents), runs = concurrently(
+        lambda: backfilled_dims(messages, billed), lambda: write_once(backfill.runs_of(messages, billed), "runs")
+    )
     return backfill.conversations_and_sm(billed, runs, lookups.natcos(f.spark), agents)
 
 

@@ -66,22 +66,28 @@ def merge_conversations_and_sm(old: DataFrame, new: DataFrame, file_date: str) -
     )
 
 
+def touched_dates(file_date: str, *frames: DataFrame) -> DataFrame:
+    """The dates that a file's rows fall on, and its own. Written, so that Spark sees how few they are."""
+    spark = frames[0].sparkSession
+    dates = spark.range(1).select(_file_day(file_date).alias("Date"))
+    for frame in frames:
+        dates = dates.unionByName(frame.select(to_date("Date").alias("Date")))
+    return write_once(dates.filter(F.col("Date").isNotNull()).distinct(), "dates")
+
+
 def merge_touched_dates(
     old: DataFrame,
     new: DataFrame,
     file_date: str,
     merge: Callable[[DataFrame, DataFrame, str], DataFrame],
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """The same rows as ``merge``, for a stored ``old`` that ``merge`` itself produced.
 
     Dates the new file does not touch are already aggregated: they pass through without a shuffle, and only the few
-    touched dates are aggregated again. The touched dates are written first, so that Spark sees how small they are
-    and filters the stored fact map-side, or by partition where it is partitioned by Date.
+    touched dates are aggregated again. ``touched`` may name more dates than ``new`` has, never fewer.
     """
-    dates = new.select(to_date("Date").alias("Date")).filter(F.col("Date").isNotNull())
-    here = new.sparkSession.range(1).select(_file_day(file_date).alias("Date"))
-    touched = write_once(dates.unionByName(here).distinct(), "dates")
-
+    touched = touched_dates(file_date, new) if touched is None else touched
     stored = _typed(old)
     untouched = stored.filter(F.col("Date").isNotNull()).join(touched, "Date", "left_anti")
     merged = merge(stored.join(touched, "Date", "left_semi"), new, file_date)

@@ -22,7 +22,7 @@ from palaver.operators import facts, users
 from palaver.operators.dimensions import UNKNOWN_CONTENT
 from palaver.operators.merges import CONTENT_KEYS, CONTENT_SUMS, CONVERSATION_KEYS, CONVERSATION_SUMS, SM_SUMS
 from palaver.plans.daily import Lookups
-from palaver.workspace import write_once
+from palaver.workspace import concurrently, write_once
 
 # Fixed value: the order in which the NatCos of one date are processed.
 NATCO_ORDER = ("tc", "tp", "cg", "cr", "mk", "mt", "st")
@@ -180,16 +180,24 @@ def backfill(
     ``activity`` and ``events`` carry FileDate and NatCo. Tables a run keeps per NatCo have NatCo as first column.
     ``runs`` (FileDate, NatCo) names the processed runs when some of them had empty files.
     """
-    messages = write_once(facts.digest_activity(activity), "messages")
-    billed = write_once(facts.digest_events(events), "billed")
-    runs = write_once(runs_of(messages, billed) if runs is None else runs.select("FileDate", "NatCo"), "runs")
+    messages, billed = concurrently(
+        lambda: write_once(facts.digest_activity(activity), "messages"),
+        lambda: write_once(facts.digest_events(events), "billed"),
+    )
+    processed = runs_of(messages, billed) if runs is None else runs.select("FileDate", "NatCo")
 
-    owners = write_once(agent_owners(billed, natco_order), "owners")
-    by_run = write_once(agents_by_first_run(messages, billed, owners, natco_order), "agents")
-    agents = by_run.select("AgentID", "AgentOwnerID", "Agent")
-    contents, mapping = content_types(messages, lookup.contents, natco_order)
-    contents = write_once(contents, "contents")
+    def agent_dimensions() -> tuple[DataFrame, DataFrame]:
+        owners = write_once(agent_owners(billed, natco_order), "owners")
+        return owners, write_once(agents_by_first_run(messages, billed, owners, natco_order), "agents")
+
+    def content_dimension() -> tuple[DataFrame, DataFrame]:
+        contents, mapping = content_types(messages, lookup.contents, natco_order)
+        return write_once(contents, "contents"), mapping
 
+    runs, (owners, by_run), (contents, mapping) = concurrently(
+        lambda: write_once(processed, "runs"), agent_dimensions, content_dimension
+    )
+    agents = by_run.select("AgentID", "AgentOwnerID", "Agent")
     accumulator = user_accumulator(activity, by_run, natco_order)
     days = write_once(users.user_days(accumulator, lookup.natcos, ["NatCo"]), "user_days")
 

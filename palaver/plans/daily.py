@@ -9,7 +9,7 @@ from palaver import schemas
 from palaver.operators import dimensions, facts, merges, users
 from palaver.operators.staging import roll_user_accumulator
 from palaver.sources import lookups
-from palaver.workspace import literal_table, write_once
+from palaver.workspace import concurrently, literal_table, write_once
 
 
 @dataclass(frozen=True)
@@ -71,27 +71,37 @@ def run_day(
     day = F.lit(file_date).cast("date")
     activity = activity.withColumn("NatCo", F.lit(natco)).withColumn("FileDate", day)
     events = events.withColumn("NatCo", F.lit(natco)).withColumn("FileDate", day)
-    messages = write_once(facts.digest_activity(activity), "messages")
-    billed = write_once(facts.digest_events(events), "billed")
-
-    # Unnumbered: the merges number only what is new.
-    owners = dimensions.merge_agent_owners(state.d_agent_owner, dimensions.owner_names(billed))
-    owners = write_once(owners, "owners")
-    todays = dimensions.with_owner(dimensions.agent_ids(messages, billed), billed, owners)
-    agents = write_once(dimensions.merge_agents(state.d_agent, todays), "agents")
-    typed = messages if per == "type" else activity
-    new_contents, mapping = dimensions.daily_content_types(typed, lookup.contents, per)
-    contents = write_once(dimensions.merge_content_types(state.d_content_type, new_contents), "contents")
+    messages, billed = concurrently(
+        lambda: write_once(facts.digest_activity(activity), "messages"),
+        lambda: write_once(facts.digest_events(events), "billed"),
+    )
+    accumulator = roll_user_accumulator(state.acc_users_daily, activity, file_date, state.d_agent)
+
+    def agent_dimensions() -> tuple[DataFrame, DataFrame]:
+        # Unnumbered: the merges number only what is new.
+        owners = dimensions.merge_agent_owners(state.d_agent_owner, dimensions.owner_names(billed))
+        owners = write_once(owners, "owners")
+        todays = dimensions.with_owner(dimensions.agent_ids(messages, billed), billed, owners)
+        return owners, write_once(dimensions.merge_agents(state.d_agent, todays), "agents")
+
+    def content_dimension() -> tuple[DataFrame, DataFrame]:
+        typed = messages if per == "type" else activity
+        new, mapping = dimensions.daily_content_types(typed, lookup.contents, per)
+        return write_once(dimensions.merge_content_types(state.d_content_type, new), "contents"), mapping
+
+    (owners, agents), (contents, mapping), days, touched = concurrently(
+        agent_dimensions,
+        content_dimension,
+        lambda: write_once(users.user_days(accumulator, lookup.natcos), "user_days"),
+        lambda: merges.touched_dates(file_date, messages, billed),
+    )
 
     new_content = facts.message_content(facts.content_tally(messages), lookup.natcos, contents, agents)
     new_conversation = facts.message_conversation(facts.conversation_tally(billed), lookup.natcos, agents)
     new_sm = facts.conversations_and_sm(facts.single_message_tally(billed), lookup.natcos, agents)
 
-    accumulator = roll_user_accumulator(state.acc_users_daily, activity, file_date, state.d_agent)
-    days = write_once(users.user_days(accumulator, lookup.natcos), "user_days")
-
     def merged(name: str, new: DataFrame, merge) -> DataFrame:
-        return merges.merge_touched_dates(getattr(state, name), new, file_date, merge)
+        return merges.merge_touched_dates(getattr(state, name), new, file_date, merge, touched)
 
     return {
         "d_natco": lookup.natcos,

@@ -4,6 +4,8 @@ A run never writes a path it reads. A run that dies leaves no trace in the list,
 result is not listed, so the table published before it stays current.
 """
 
+from functools import partial
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from palaver import schemas
 from palaver.operators.staging import conform
 from palaver.plans.daily import STATE_SCHEMAS, Lookups, State, seed_lookups
 from palaver.sources.delimited import SEMICOLONS, read_delimited, write_delimited
-from palaver.workspace import literal_table
+from palaver.workspace import concurrently, literal_table
 
 # Which tables are kept per NatCo, and which belong to the lookups of the next run.
 PER_NATCO = (
@@ -85,31 +87,31 @@ def publish(
     this run is written, in place of that slice. As CSV every table is written whole, ``;``-separated and sorted.
     """
     spark = next(iter(results.values())).sparkSession
-    entries = []
-    for table, df in results.items():
+
+    def store(table: str) -> list[tuple]:
         root = (lookup_path if table in LOOKUP_TABLES else output_path).rstrip("/")
         name = table_name(table, natco)
-        df = conform(df, SCHEMAS[table])
+        df = conform(results[table], SCHEMAS[table])
         if table == ACCUMULATOR and not as_csv:
             stored = published(spark, output_path).filter((F.col("name") == name) & (F.col("format") == "parquet"))
             current = stored.first()
             path = current["path"] if current else f"{root}/{version}/{ACCUMULATOR}"
-            whole = df if current is None else df.filter(F.col("FileDate") == F.lit(file_date).cast("date"))
-            _write_slices(whole, path, natco, file_date)
-            entries.append((name, version, path, "parquet"))
-            continue
+            today = F.col("FileDate") == F.lit(file_date).cast("date")
+            _replace_slice(df.filter(today), path, natco, file_date)
+            if current is None:
+                store_accumulator(df.filter(~today), path)
+            return [(name, version, path, "parquet")]
         path = f"{root}/{version}/{name}" + (".csv" if as_csv else "")
-        if _write(df, table, path, as_csv):
-            entries.append((name, version, path, "csv" if as_csv else "parquet"))
-    return _commit(spark, output_path, entries)
+        filled = _write(df, table, path, as_csv)
+        return [(name, version, path, "csv" if as_csv else "parquet")] if filled else []
 
+    stored = concurrently(*[partial(store, table) for table in results])
+    return _commit(spark, output_path, [entry for entries in stored for entry in entries])
 
-def _write_slices(accumulator: DataFrame, path: str, natco: str, file_date: str) -> None:
-    """Write accumulator rows by NatCo and FileDate. The run's own slice is replaced even when it has no rows."""
-    today = F.col("FileDate") == F.lit(file_date).cast("date")
-    slice_ = accumulator.filter(today).drop("NatCo", "FileDate")
-    slice_.write.mode("overwrite").parquet(f"{path}/NatCo={natco}/FileDate={file_date}")
-    store_accumulator(accumulator.filter(~today), path)
+
+def _replace_slice(rows: DataFrame, path: str, natco: str, file_date: str) -> None:
+    """Replace one slice of a stored accumulator, even by no rows at all."""
+    rows.drop("NatCo", "FileDate").write.mode("overwrite").parquet(f"{path}/NatCo={natco}/FileDate={file_date}")
 
 
 def store_accumulator(accumulator: DataFrame, path: str) -> None:
@@ -131,24 +133,28 @@ def publish_backfill(
     A table kept per NatCo is written in one job, one folder per NatCo; daily runs go on from there.
     """
     spark = next(iter(results.values())).sparkSession
-    entries = []
-    for table, df in results.items():
+
+    def store(table: str) -> list[tuple]:
         root = (lookup_path if table in LOOKUP_TABLES else output_path).rstrip("/")
         path = f"{root}/{version}/{table}"
+        df = results[table]
         if table not in PER_NATCO:
-            if _write(conform(df, SCHEMAS[table]), table, path, as_csv=False):
-                entries.append((table, version, path, "parquet"))
-            continue
+            filled = _write(conform(df, SCHEMAS[table]), table, path, as_csv=False)
+            return [(table, version, path, "parquet")] if filled else []
         if table == ACCUMULATOR:
             store_accumulator(conform(df, SCHEMAS[table]), path)
         else:
             typed = [F.col(c.name).cast(c.dataType).alias(c.name) for c in SCHEMAS[table]]
             df.select("NatCo", *typed).write.partitionBy("NatCo").parquet(path)
-        filled = {r["NatCo"] for r in spark.read.parquet(path).select("NatCo").distinct().collect()}
-        for natco in sorted(filled & set(natcos)):
-            inside = path if table == ACCUMULATOR else f"{path}/NatCo={natco}"
-            entries.append((table_name(table, natco), version, inside, "parquet"))
-    return _commit(spark, output_path, entries)
+        written = spark.read.schema(df.select("NatCo").schema).parquet(path)
+        filled = {r["NatCo"] for r in written.distinct().collect()}
+        return [
+            (table_name(table, natco), version, path if table == ACCUMULATOR else f"{path}/NatCo={natco}", "parquet")
+            for natco in sorted(filled & set(natcos))
+        ]
+
+    stored = concurrently(*[partial(store, table) for table in results])
+    return _commit(spark, output_path, [entry for entries in stored for entry in entries])
 
 
 def published(spark: SparkSession, output_path: str) -> DataFrame:

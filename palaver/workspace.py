@@ -6,8 +6,11 @@ choice between a broadcast and a shuffled join rests on a measured size.
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -39,6 +42,14 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def concurrently[T](*steps: Callable[[], T]) -> list[T]:
+    """Run independent steps at the same time, so that small jobs share the cluster instead of queueing."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=min(len(steps), 8)) as pool:
+        started = [pool.submit(inherit(step)) for step in steps]
+        return [step.result() for step in started]
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A few rows as a local relation, whose size Catalyst knows; rows given as a plain list would have no known size."""
     columns = zip(*rows) if rows else ([] for _ in schema)

@@ -11,7 +11,8 @@ from palaver.plans import jobs
 from palaver.plans.backfill import backfill
 from palaver.plans.daily import Lookups, empty_state, run_day
 from palaver.plans.publish import PER_NATCO, load, publish, published, publish_backfill
-from palaver.sources import lookups
+from palaver.sources import feeds, lookups
+from palaver.workspace import write_once
 from tests.helpers import activity, bag, contents, events, natcos, rows
 
 ORDER = ("cg", "mt", "tp")
@@ -60,7 +61,7 @@ def random_feeds(spark, seed: int):
             "mo_messages": draw.choice([1, 3]),
         },
     )
-    return activity(spark, *acts), events(spark, *evts), runs
+    return write_once(activity(spark, *acts), "acts"), write_once(events(spark, *evts), "evts"), runs
 
 
 def one_run(df, file_date, natco):
@@ -185,14 +186,14 @@ def write_files(folder, *runs):
     for date, natco in runs:
         feed_file(
             folder,
-            f"rbm_activity_{date}.csv_{natco}.csv.gz",
+            feeds.feed_file("activity", date, natco),
             schemas.ACTIVITY.names,
             ["a1", "b1", "bot@h", "u1", "MT", f"{date}T08:00:00", "text_message", "5"],
             ["a2", "b1", "bot@h", "u2", "MO", f"{date}T08:00:00", "unheard_of", "5"],
         )
         feed_file(
             folder,
-            f"rbm_billable_events_{date}.csv_{natco}.csv.gz",
+            feeds.feed_file("events", date, natco),
             schemas.EVENTS.names,
             ["e1", "a2p_conversation", "bot@h", "acme@o", "p", "1", "2", "3", f"{date}T08:00:00", "60", "4", "2", "1", "n", "o"],
         )
@@ -235,8 +236,8 @@ def test_jobs_over_folders(spark, tmp_path):
 
 
 def test_a_day_without_rows_is_not_processed(spark, tmp_path):
-    feed_file(tmp_path, "rbm_activity_2024-01-01.csv_mt.csv.gz", schemas.ACTIVITY.names)
-    feed_file(tmp_path, "rbm_billable_events_2024-01-01.csv_mt.csv.gz", schemas.EVENTS.names)
+    feed_file(tmp_path, feeds.feed_file("activity", "2024-01-01", "mt"), schemas.ACTIVITY.names)
+    feed_file(tmp_path, feeds.feed_file("events", "2024-01-01", "mt"), schemas.EVENTS.names)
     folder = str(tmp_path)
     assert jobs.process_day(spark, folder, f"{folder}/l", f"{folder}/o", "2024-01-01", "mt") == []
     assert published(spark, f"{folder}/o").isEmpty()

@@ -7,6 +7,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from palaver import schemas
 from palaver.operators.staging import conform, feeds_are_empty, run_sizes, run_slice, tag_activity, tag_events
 from palaver.sources import delimited, feeds, lookups
+from palaver.sources.feeds import feed_file
 from tests.helpers import activity, bag, events, rows
 
 AB = StructType([StructField("a", LongType()), StructField("b", StringType())])
@@ -95,10 +96,10 @@ ACTIVITY_ROW = ["id1", "b1", "bot@h", "u1", "MT", "2024-01-02T10:00:00", "text_m
 
 def test_feed_files_by_name(spark, tmp_path):
     names = schemas.ACTIVITY.names
-    gz(tmp_path, "rbm_activity_2024-01-02.csv_mt.csv.gz", names, ACTIVITY_ROW)
-    gz(tmp_path, "rbm_activity_2024-01-03.csv_cg.csv.gz", names, ACTIVITY_ROW, ACTIVITY_ROW)
-    gz(tmp_path, "rbm_activity_2024-01-04.csv_mt.csv.gz", names)
-    gz(tmp_path, "rbm_billable_events_2024-01-02.csv_mt.csv.gz", schemas.EVENTS.names, ["e1"] + ["1"] * 14)
+    gz(tmp_path, feed_file("activity", "2024-01-02", "mt"), names, ACTIVITY_ROW)
+    gz(tmp_path, feed_file("activity", "2024-01-03", "cg"), names, ACTIVITY_ROW, ACTIVITY_ROW)
+    gz(tmp_path, feed_file("activity", "2024-01-04", "mt"), names)
+    gz(tmp_path, feed_file("events", "2024-01-02", "mt"), schemas.EVENTS.names, ["e1"] + ["1"] * 14)
     every = feeds.read_feed(spark, str(tmp_path), "activity")
     assert every.columns == [*names, "NatCo", "FileDate"]
     assert rows(every, "NatCo", "FileDate") == bag(("mt", "2024-01-02"), ("cg", "2024-01-03"), ("cg", "2024-01-03"))
