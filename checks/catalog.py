@@ -388,28 +388,28 @@ def merge_conversation_sm(f: Feeds) -> DataFrame:
 # --- unique active users ----------------------------------------------------------------------------------------
 
 
-def days_of(f: Feeds) -> DataFrame:
-    return users.user_days(accumulator_of(f), lookups.natcos(f.spark))
+def months_of(f: Feeds) -> DataFrame:
+    return users.user_months(accumulator_of(f), lookups.natcos(f.spark))
 
 
 @query
 def uau_daily(f: Feeds) -> DataFrame:
-    return users.uau_daily(days_of(f))
+    return users.uau_daily(months_of(f))
 
 
 @query
 def uau_monthly(f: Feeds) -> DataFrame:
-    return users.uau_monthly(days_of(f))
+    return users.uau_monthly(months_of(f))
 
 
 @query
 def uau_yearly(f: Feeds) -> DataFrame:
-    return users.uau_yearly(days_of(f))
+    return users.uau_yearly(users.user_years(months_of(f)))
 
 
 @query
 def uau_total(f: Feeds) -> DataFrame:
-    return users.uau_total(days_of(f))
+    return users.uau_total(users.user_years(months_of(f)))
 
 
 @query
@@ -524,4 +524,4 @@ def backfill_average_duration(f: Feeds) -> DataFrame:
 def backfill_users(f: Feeds) -> DataFrame:
     _, agents = backfilled_dims(*digests(f))
     accumulator = backfill.user_accumulator(f.activity(early=True), agents)
-    return users.uau_daily(users.user_days(accumulator, lookups.natcos(f.spark), ["NatCo"]), ["NatCo"])
+    return users.uau_daily(users.user_months(accumulator, lookups.natcos(f.spark), ["NatCo"]), ["NatCo"])

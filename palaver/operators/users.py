@@ -1,46 +1,77 @@
-"""Exact unique active users by day, month, year and over all time."""
+"""Exact unique active users by day, month, year and over all time.
+
+The accumulator is shuffled once, to one row per user and month with a bit for each day the user was active. Days and
+months are counted from those rows without a further distinct; years and the total from the far fewer user-years.
+All grouping keys that meet the accumulator hold user_id, so a hot agent spreads over all reducers, after a map-side
+pass has merged its repeats.
+"""
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver.functions.text import to_date
 from palaver.operators.facts import with_natco
 
+# Bit 0 of the day mask stands for rows without a date, bits 1 to 31 for the days of the month.
+_BITS = range(32)
+
+
+def _user_rows(accumulator: DataFrame, d_natco: DataFrame) -> DataFrame:
+    return with_natco(accumulator.select("NatCo", to_date("Date").alias("Date"), "AgentID", "user_id"), d_natco)
 
-def user_days(accumulator: DataFrame, d_natco: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct (Date, NatCoID, AgentID, user_id): the rows every grain below can be counted from.
 
-    The grouping key holds user_id, so a hot agent spreads over all reducers, after a map-side pass has dropped the
-    repeats. ``by`` keeps further columns apart, such as NatCo when unmapped ones share the null NatCoID.
+def user_months(accumulator: DataFrame, d_natco: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per (Month, NatCoID, AgentID, user_id); ``Days`` is the mask of the active days.
+
+    ``by`` keeps further columns apart, such as NatCo when unmapped ones share the null NatCoID.
     """
-    days = with_natco(accumulator.select("NatCo", to_date("Date").alias("Date"), "AgentID", "user_id"), d_natco)
-    return days.select(*by, "Date", "NatCoID", "AgentID", "user_id").distinct()
+    bit = F.coalesce(F.dayofmonth("Date"), F.lit(0))
+    return (
+        _user_rows(accumulator, d_natco)
+        .groupBy(*by, F.trunc("Date", "month").alias("Month"), "NatCoID", "AgentID", "user_id")
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("Days"))
+    )
 
 
-def _count_users(days: DataFrame, keys: list[str], name: str) -> DataFrame:
-    return days.groupBy(*keys).agg(F.count_distinct("user_id").alias(name))
+def user_years(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct (Year, NatCoID, AgentID, user_id)."""
+    return months.select(*by, F.year("Month").alias("Year"), "NatCoID", "AgentID", "user_id").distinct()
 
 
-def uau_daily(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    # One row per user and day already: counting is enough, null users excluded.
+def _has(mask: str, bit: Column | int) -> Column:
+    return F.getbit(mask, F.lit(bit) if isinstance(bit, int) else bit)
+
+
+def uau_daily(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Users per day. The days of a month are summed side by side and become rows only after the aggregation.
+
+    A day on which only activities without a user_id fall counts no user, but has its row.
+    """
+    known = F.col("user_id").isNotNull()
+    users_on = [F.sum(F.when(known, _has("Days", d)).otherwise(F.lit(0))) for d in _BITS]
+    sums = months.groupBy(*by, "Month", "NatCoID", "AgentID").agg(
+        F.bit_or("Days").alias("_seen"), F.array(*users_on).alias("_users")
+    )
+    days = sums.select("*", F.posexplode("_users").alias("_day", "UAU_daily")).filter(_has("_seen", F.col("_day")) == 1)
     keys = [*by, "Date", "NatCoID", "AgentID"]
-    return days.groupBy(*keys).agg(F.count("user_id").alias("UAU_daily")).orderBy(*keys)
+    return days.withColumn("Date", F.date_add("Month", F.col("_day") - 1)).select(*keys, "UAU_daily").orderBy(*keys)
 
 
-def uau_monthly(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    months = days.withColumn("YearMonth", F.date_format("Date", "yyyy-MM"))
-    return _count_users(months, [*by, "YearMonth", "NatCoID", "AgentID"], "UAU_monthly")
+def uau_monthly(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    # One row per user and month already: counting is enough, null users excluded.
+    keys = [*by, "YearMonth", "NatCoID", "AgentID"]
+    named = months.withColumn("YearMonth", F.date_format("Month", "yyyy-MM"))
+    return named.groupBy(*keys).agg(F.count("user_id").alias("UAU_monthly"))
 
 
-def uau_yearly(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    years = days.withColumn("Year", F.year("Date"))
-    return _count_users(years, [*by, "Year", "NatCoID", "AgentID"], "UAU_yearly")
+def uau_yearly(years: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return years.groupBy(*by, "Year", "NatCoID", "AgentID").agg(F.count("user_id").alias("UAU_yearly"))
 
 
-def uau_total(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return _count_users(days, [*by, "NatCoID", "AgentID"], "UAU_total")
+def uau_total(years: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return years.groupBy(*by, "NatCoID", "AgentID").agg(F.count_distinct("user_id").alias("UAU_total"))
 
 
 def users_across_natcos(accumulators: DataFrame, d_natco: DataFrame) -> DataFrame:
@@ -49,7 +80,8 @@ def users_across_natcos(accumulators: DataFrame, d_natco: DataFrame) -> DataFram
     The other columns follow Date in the order, so that range partitioning can split a day that holds many rows.
     """
     return (
-        user_days(accumulators, d_natco)
+        _user_rows(accumulators, d_natco)
         .select("AgentID", "NatCoID", "Date", "user_id")
+        .distinct()
         .orderBy(F.desc("Date"), "AgentID", "NatCoID", "user_id")
     )

@@ -103,7 +103,8 @@ def surviving(tally: DataFrame, runs: DataFrame) -> DataFrame:
 def message_content(
     messages: DataFrame, runs: DataFrame, d_natco: DataFrame, d_content_type: DataFrame, d_agent: DataFrame
 ) -> DataFrame:
-    rows = surviving(facts.content_tally(messages, "FileDate"), runs)
+    """Counts add up, so the digest's rows are filtered and keyed map-side and summed in one aggregation."""
+    rows = surviving(messages.withColumn("Agent", name_part("agent_id")), runs)
     rows = facts.with_natco(facts.with_agent(facts.with_content(rows, d_content_type), d_agent), d_natco)
     return rows.groupBy("NatCo", *CONTENT_KEYS).agg(*[F.sum(c).alias(c) for c in CONTENT_SUMS])
 
@@ -118,13 +119,14 @@ def message_conversation(billed: DataFrame, runs: DataFrame, d_natco: DataFrame,
 def conversations_and_sm(billed: DataFrame, runs: DataFrame, d_natco: DataFrame, d_agent: DataFrame) -> DataFrame:
     """Each file's means are averaged with the mean stored before it, and rounded again.
 
-    A key's list holds one entry per file that touched its date, so at most one per processed date.
+    A key's list holds one entry per file that touched its date, so at most one per processed date. Both groupings
+    work on one partitioning by key.
     """
     rows = surviving(facts.single_message_tally(billed, "FileDate"), runs)
     rows = facts.with_natco(facts.with_agent(rows, d_agent), d_natco)
     rows = rows.withColumn("TypeOfConvID", facts.conversation_type_id())
     keys = ["NatCo", *CONVERSATION_KEYS]
-    per_file = rows.groupBy(*keys, "FileDate").agg(
+    per_file = rows.repartition(*keys).groupBy(*keys, "FileDate").agg(
         F.sum(hundredths(F.col("AverageDuration"))).alias("total"),
         F.count("AverageDuration").alias("n"),
         *[F.sum(c).alias(c) for c in SM_SUMS],
@@ -199,7 +201,8 @@ def backfill(
     )
     agents = by_run.select("AgentID", "AgentOwnerID", "Agent")
     accumulator = user_accumulator(activity, by_run, natco_order)
-    days = write_once(users.user_days(accumulator, lookup.natcos, ["NatCo"]), "user_days")
+    months = write_once(users.user_months(accumulator, lookup.natcos, ["NatCo"]), "user_months")
+    years = write_once(users.user_years(months, ["NatCo"]), "user_years")
 
     return {
         "d_natco": lookup.natcos,
@@ -210,10 +213,10 @@ def backfill(
         "f_message_content": message_content(messages, runs, lookup.natcos, contents, agents),
         "f_conversations_and_sm": conversations_and_sm(billed, runs, lookup.natcos, agents),
         "f_message_conversation": message_conversation(billed, runs, lookup.natcos, agents),
-        "f_uau_daily": users.uau_daily(days, ["NatCo"]),
-        "f_uau_monthly": users.uau_monthly(days, ["NatCo"]),
-        "f_uau_yearly": users.uau_yearly(days, ["NatCo"]),
-        "f_uau_total": users.uau_total(days, ["NatCo"]),
+        "f_uau_daily": users.uau_daily(months, ["NatCo"]),
+        "f_uau_monthly": users.uau_monthly(months, ["NatCo"]),
+        "f_uau_yearly": users.uau_yearly(years, ["NatCo"]),
+        "f_uau_total": users.uau_total(years, ["NatCo"]),
         "acc_users_daily": accumulator,
         "ContentDescriptionMapping": mapping,
     }

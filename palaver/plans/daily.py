@@ -89,10 +89,14 @@ def run_day(
         new, mapping = dimensions.daily_content_types(typed, lookup.contents, per)
         return write_once(dimensions.merge_content_types(state.d_content_type, new), "contents"), mapping
 
-    (owners, agents), (contents, mapping), days, touched = concurrently(
+    def active_users() -> tuple[DataFrame, DataFrame]:
+        months = write_once(users.user_months(accumulator, lookup.natcos), "user_months")
+        return months, write_once(users.user_years(months), "user_years")
+
+    (owners, agents), (contents, mapping), (months, years), touched = concurrently(
         agent_dimensions,
         content_dimension,
-        lambda: write_once(users.user_days(accumulator, lookup.natcos), "user_days"),
+        active_users,
         lambda: merges.touched_dates(file_date, messages, billed),
     )
 
@@ -114,10 +118,10 @@ def run_day(
         "f_message_conversation": merged(
             "f_message_conversation", new_conversation, merges.merge_message_conversation
         ),
-        "f_uau_daily": users.uau_daily(days),
-        "f_uau_monthly": users.uau_monthly(days),
-        "f_uau_yearly": users.uau_yearly(days),
-        "f_uau_total": users.uau_total(days),
+        "f_uau_daily": users.uau_daily(months),
+        "f_uau_monthly": users.uau_monthly(months),
+        "f_uau_yearly": users.uau_yearly(years),
+        "f_uau_total": users.uau_total(years),
         "acc_users_daily": accumulator,
         "ContentDescriptionMapping": mapping,
     }

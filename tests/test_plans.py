@@ -85,10 +85,10 @@ def test_a_hot_agent_is_spread_over_the_reducers(spark, setting):
         "DATE'2024-01-02' AS FileDate", "DATE'2024-01-02' AS Date", "'mt' AS NatCo",
         "IF(id % 3 = 0, 1L, id) AS AgentID", "concat('u', id) AS user_id",
     )
-    days = users.user_days(hot, lookups.natcos(spark))
-    sizes = [r["count"] for r in days.groupBy(F.spark_partition_id()).count().collect()]
+    months = users.user_months(hot, lookups.natcos(spark))
+    sizes = [r["count"] for r in months.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2 * 4000 / 4
-    assert rows(users.uau_daily(days).filter("AgentID = 1"), "UAU_daily") == {(1335,): 1}
+    assert rows(users.uau_daily(months).filter("AgentID = 1"), "UAU_daily") == {(1335,): 1}
 
 
 def test_working_tables_are_in_the_configured_folder(spark):

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from palaver.operators import users
 from palaver.operators.staging import roll_user_accumulator
 from palaver.workspace import literal_table
@@ -22,18 +24,30 @@ def test_counts_at_every_grain(spark):
         ("2025-02-01", "2025-02-02", "tp", None, None),
         ("2025-02-01", "2025-02-02", "mk", None, "z"),
     )
-    days = users.user_days(acc, natcos(spark))
-    assert rows(users.uau_daily(days)) == bag(
+    months = users.user_months(acc, natcos(spark))
+    years = users.user_years(months)
+    assert rows(users.uau_daily(months)) == bag(
         ("2024-01-02", 1, 1, 1), ("2024-02-01", 1, 1, 1), ("2024-02-02", 1, 1, 1), ("2025-02-02", 1, 1, 1),
         (None, 1, 1, 1), ("2025-02-02", None, None, 1),
     )
-    assert rows(users.uau_monthly(days)) == bag(
+    assert rows(users.uau_monthly(months)) == bag(
         ("2024-01", 1, 1, 1), ("2024-02", 1, 1, 2), ("2025-02", 1, 1, 1), (None, 1, 1, 1), ("2025-02", None, None, 1)
     )
-    assert rows(users.uau_yearly(days)) == bag((2024, 1, 1, 2), (2025, 1, 1, 1), (None, 1, 1, 1), (2025, None, None, 1))
-    assert rows(users.uau_total(days)) == bag((1, 1, 3), (None, None, 1))
-    apart = users.user_days(acc, natcos(spark), ["NatCo"])
-    assert rows(users.uau_total(apart, ["NatCo"])) == bag(("mt", 1, 1, 3), ("tp", None, None, 0), ("mk", None, None, 1))
+    assert rows(users.uau_yearly(years)) == bag((2024, 1, 1, 2), (2025, 1, 1, 1), (None, 1, 1, 1), (2025, None, None, 1))
+    assert rows(users.uau_total(years)) == bag((1, 1, 3), (None, None, 1))
+    apart = users.user_months(acc, natcos(spark), ["NatCo"])
+    assert rows(users.uau_total(users.user_years(apart, ["NatCo"]), ["NatCo"])) == bag(("mt", 1, 1, 3), ("tp", None, None, 0), ("mk", None, None, 1))
+
+
+def test_every_day_of_a_month_has_its_own_bit(spark):
+    """Random users over two years against a plain count; both ends of long and short months occur."""
+    acc = spark.range(3000).selectExpr(
+        "DATE'2024-12-31' AS FileDate", "date_add(DATE'2023-12-30', cast(id * 37 % 740 AS int)) AS Date", "'mt' AS NatCo",
+        "id % 3 AS AgentID", "IF(id % 11 = 0, NULL, concat('u', id % 40)) AS user_id",
+    )
+    plain = acc.groupBy("Date", "AgentID").agg(F.count_distinct("user_id").alias("n"))
+    found = users.uau_daily(users.user_months(acc, natcos(spark)))
+    assert rows(found, "Date", "AgentID", "UAU_daily") == rows(plain)
 
 
 def test_across_natcos_newest_first(spark):
