@@ -404,12 +404,12 @@ def uau_monthly(f: Feeds) -> DataFrame:
 
 @query
 def uau_yearly(f: Feeds) -> DataFrame:
-    return users.uau_yearly(users.user_years(months_of(f)))
+    return users.uau_yearly(months_of(f))
 
 
 @query
 def uau_total(f: Feeds) -> DataFrame:
-    return users.uau_total(users.user_years(months_of(f)))
+    return users.uau_total(months_of(f))
 
 
 @query

@@ -1,29 +1,25 @@
 """Exact unique active users by day, month, year and over all time.
 
 The accumulator is shuffled once, to one row per user and month with a bit for each day the user was active. Days and
-months are counted from those rows without a further distinct; years and the total from the far fewer user-years.
-All grouping keys that meet the accumulator hold user_id, so a hot agent spreads over all reducers, after a map-side
-pass has merged its repeats.
+months are counted from those rows without a further distinct, years and the total by one distinct of them each.
+Whatever is shuffled in bulk is keyed by user_id too, so a hot agent spreads over all reducers, after a map-side pass
+has merged its repeats.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palaver.functions.text import to_date
 from palaver.operators.facts import with_natco
 
-# Bit 0 of the day mask stands for rows without a date, bits 1 to 31 for the days of the month.
-_BITS = range(32)
-
-
 def _user_rows(accumulator: DataFrame, d_natco: DataFrame) -> DataFrame:
     return with_natco(accumulator.select("NatCo", to_date("Date").alias("Date"), "AgentID", "user_id"), d_natco)
 
 
 def user_months(accumulator: DataFrame, d_natco: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per (Month, NatCoID, AgentID, user_id); ``Days`` is the mask of the active days.
+    """One row per (Month, NatCoID, AgentID, user_id). ``Days`` has a bit per active day, bit 0 for rows without a date.
 
     ``by`` keeps further columns apart, such as NatCo when unmapped ones share the null NatCoID.
     """
@@ -35,43 +31,27 @@ def user_months(accumulator: DataFrame, d_natco: DataFrame, by: Sequence[str] =
     )
 
 
-def user_years(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct (Year, NatCoID, AgentID, user_id)."""
-    return months.select(*by, F.year("Month").alias("Year"), "NatCoID", "AgentID", "user_id").distinct()
-
-
-def _has(mask: str, bit: Column | int) -> Column:
-    return F.getbit(mask, F.lit(bit) if isinstance(bit, int) else bit)
-
-
 def uau_daily(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Users per day. The days of a month are summed side by side and become rows only after the aggregation.
-
-    A day on which only activities without a user_id fall counts no user, but has its row.
-    """
-    known = F.col("user_id").isNotNull()
-    users_on = [F.sum(F.when(known, _has("Days", d)).otherwise(F.lit(0))) for d in _BITS]
-    sums = months.groupBy(*by, "Month", "NatCoID", "AgentID").agg(
-        F.bit_or("Days").alias("_seen"), F.array(*users_on).alias("_users")
-    )
-    days = sums.select("*", F.posexplode("_users").alias("_day", "UAU_daily")).filter(_has("_seen", F.col("_day")) == 1)
+    active = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda day: F.getbit("Days", day) == 1)
+    days = months.withColumn("_day", F.explode(active)).withColumn("Date", F.date_add("Month", F.col("_day") - 1))
+    # One row per user and day: counting is enough, null users excluded.
     keys = [*by, "Date", "NatCoID", "AgentID"]
-    return days.withColumn("Date", F.date_add("Month", F.col("_day") - 1)).select(*keys, "UAU_daily").orderBy(*keys)
+    return days.groupBy(*keys).agg(F.count("user_id").alias("UAU_daily")).orderBy(*keys)
 
 
 def uau_monthly(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    # One row per user and month already: counting is enough, null users excluded.
-    keys = [*by, "YearMonth", "NatCoID", "AgentID"]
+    # One row per user and month already.
     named = months.withColumn("YearMonth", F.date_format("Month", "yyyy-MM"))
-    return named.groupBy(*keys).agg(F.count("user_id").alias("UAU_monthly"))
+    return named.groupBy(*by, "YearMonth", "NatCoID", "AgentID").agg(F.count("user_id").alias("UAU_monthly"))
 
 
-def uau_yearly(years: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return years.groupBy(*by, "Year", "NatCoID", "AgentID").agg(F.count("user_id").alias("UAU_yearly"))
+def uau_yearly(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    years = months.withColumn("Year", F.year("Month"))
+    return years.groupBy(*by, "Year", "NatCoID", "AgentID").agg(F.count_distinct("user_id").alias("UAU_yearly"))
 
 
-def uau_total(years: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return years.groupBy(*by, "NatCoID", "AgentID").agg(F.count_distinct("user_id").alias("UAU_total"))
+def uau_total(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return months.groupBy(*by, "NatCoID", "AgentID").agg(F.count_distinct("user_id").alias("UAU_total"))
 
 
 def users_across_natcos(accumulators: DataFrame, d_natco: DataFrame) -> DataFrame:

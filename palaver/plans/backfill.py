@@ -202,7 +202,6 @@ def backfill(
     agents = by_run.select("AgentID", "AgentOwnerID", "Agent")
     accumulator = user_accumulator(activity, by_run, natco_order)
     months = write_once(users.user_months(accumulator, lookup.natcos, ["NatCo"]), "user_months")
-    years = write_once(users.user_years(months, ["NatCo"]), "user_years")
 
     return {
         "d_natco": lookup.natcos,
@@ -215,8 +214,8 @@ def backfill(
         "f_message_conversation": message_conversation(billed, runs, lookup.natcos, agents),
         "f_uau_daily": users.uau_daily(months, ["NatCo"]),
         "f_uau_monthly": users.uau_monthly(months, ["NatCo"]),
-        "f_uau_yearly": users.uau_yearly(years, ["NatCo"]),
-        "f_uau_total": users.uau_total(years, ["NatCo"]),
+        "f_uau_yearly": users.uau_yearly(months, ["NatCo"]),
+        "f_uau_total": users.uau_total(months, ["NatCo"]),
         "acc_users_daily": accumulator,
         "ContentDescriptionMapping": mapping,
     }

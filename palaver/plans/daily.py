@@ -89,14 +89,10 @@ def run_day(
         new, mapping = dimensions.daily_content_types(typed, lookup.contents, per)
         return write_once(dimensions.merge_content_types(state.d_content_type, new), "contents"), mapping
 
-    def active_users() -> tuple[DataFrame, DataFrame]:
-        months = write_once(users.user_months(accumulator, lookup.natcos), "user_months")
-        return months, write_once(users.user_years(months), "user_years")
-
-    (owners, agents), (contents, mapping), (months, years), touched = concurrently(
+    (owners, agents), (contents, mapping), months, touched = concurrently(
         agent_dimensions,
         content_dimension,
-        active_users,
+        lambda: write_once(users.user_months(accumulator, lookup.natcos), "user_months"),
         lambda: merges.touched_dates(file_date, messages, billed),
     )
 
@@ -120,8 +116,8 @@ def run_day(
         ),
         "f_uau_daily": users.uau_daily(months),
         "f_uau_monthly": users.uau_monthly(months),
-        "f_uau_yearly": users.uau_yearly(years),
-        "f_uau_total": users.uau_total(years),
+        "f_uau_yearly": users.uau_yearly(months),
+        "f_uau_total": users.uau_total(months),
         "acc_users_daily": accumulator,
         "ContentDescriptionMapping": mapping,
     }
