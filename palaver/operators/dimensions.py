@@ -82,7 +82,6 @@ def daily_content_types(
         .unionByName(mapped.withColumn("Content", F.coalesce("Content", F.lit(UNKNOWN_CONTENT))))
         .distinct()
         .unionByName(new)
-        .orderBy("ContentID", "OriginalContent", "Content")
     )
     nothing = F.lit(None).cast("string")
     listed = new if per == "type" else new.select("ContentID", nothing.alias("OriginalContent"), nothing.alias("Content"))

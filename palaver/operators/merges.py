@@ -1,4 +1,7 @@
-"""Accumulating facts: replace the slice of a file date, then aggregate again so that late rows are absorbed."""
+"""Accumulating facts: replace the slice of a file date, then aggregate again so that late rows are absorbed.
+
+Rows are not sorted here: publishing as delimited text sorts them by date, and stored Parquet needs no order.
+"""
 
 from collections.abc import Callable
 
@@ -36,7 +39,7 @@ def replace_date_slice(old: DataFrame, new: DataFrame, file_date: str) -> DataFr
 
 
 def _sum_again(rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in sums]).orderBy(*keys)
+    return rows.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in sums])
 
 
 def merge_message_content(old: DataFrame, new: DataFrame, file_date: str) -> DataFrame:
@@ -62,7 +65,6 @@ def merge_conversations_and_sm(old: DataFrame, new: DataFrame, file_date: str) -
         rows.groupBy(*CONVERSATION_KEYS)
         .agg(mean.alias("AverageDuration"), *[F.sum(c).cast("bigint").alias(c) for c in SM_SUMS])
         .withColumn("AverageDuration", to_decimal_comma(from_hundredths(F.col("AverageDuration"))))
-        .orderBy(*CONVERSATION_KEYS)
     )
 
 

@@ -32,11 +32,11 @@ def user_months(accumulator: DataFrame, d_natco: DataFrame, by: Sequence[str] =
 
 
 def uau_daily(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    active = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda day: F.getbit("Days", day) == 1)
-    days = months.withColumn("_day", F.explode(active)).withColumn("Date", F.date_add("Month", F.col("_day") - 1))
+    # explode and filter stay in generated code, unlike a lambda that picks the bits.
+    days = months.withColumn("_day", F.explode(F.sequence(F.lit(0), F.lit(31))))
+    days = days.filter(F.getbit("Days", F.col("_day")) == 1).withColumn("Date", F.date_add("Month", F.col("_day") - 1))
     # One row per user and day: counting is enough, null users excluded.
-    keys = [*by, "Date", "NatCoID", "AgentID"]
-    return days.groupBy(*keys).agg(F.count("user_id").alias("UAU_daily")).orderBy(*keys)
+    return days.groupBy(*by, "Date", "NatCoID", "AgentID").agg(F.count("user_id").alias("UAU_daily"))
 
 
 def uau_monthly(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:

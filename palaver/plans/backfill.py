@@ -83,7 +83,7 @@ def content_types(
     ).select("ContentID", F.col("type").alias("OriginalContent"), F.lit(UNKNOWN_CONTENT).alias("Content"))
     named = mapped.withColumn("Content", F.coalesce("Content", F.lit(UNKNOWN_CONTENT)))
     extended = mapping.select(*named.columns).unionByName(named).distinct().unionByName(new)
-    return mapped.unionByName(new), extended.orderBy("ContentID", "OriginalContent", "Content")
+    return mapped.unionByName(new), extended
 
 
 # --- facts ------------------------------------------------------------------------------------------------------
