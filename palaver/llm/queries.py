@@ -4,12 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from palaver.llm import op8_exact
+from palaver.llm.op8_exact import op8_exact_dedup
 from palaver.llm.op10_jaccard import op10_jaccard_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op8_exact_dedup,
         op10_jaccard_join,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_exact_dedup": op8_exact.ORACLE,
+}
