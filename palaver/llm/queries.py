@@ -4,17 +4,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import op8_exact
+from palaver.llm import op2_lines, op8_exact
+from palaver.llm.op2_lines import op2_line_dedup
 from palaver.llm.op8_exact import op8_exact_dedup
 from palaver.llm.op10_jaccard import op10_jaccard_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_line_dedup,
         op8_exact_dedup,
         op10_jaccard_join,
     )
 }
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": op2_lines.ORACLE,
     "op8_exact_dedup": op8_exact.ORACLE,
 }
