@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from palaver.llm import op2_lines, op8_exact
 from palaver.llm.op2_lines import op2_line_dedup
+from palaver.llm.op3_packing import op3_best_fit_packing
 from palaver.llm.op8_exact import op8_exact_dedup
 from palaver.llm.op10_jaccard import op10_jaccard_join
 
@@ -13,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_line_dedup,
+        op3_best_fit_packing,
         op8_exact_dedup,
         op10_jaccard_join,
     )
