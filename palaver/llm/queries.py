@@ -8,6 +8,7 @@ from palaver.llm import op2_lines, op8_exact
 from palaver.llm.op2_lines import op2_line_dedup
 from palaver.llm.op3_packing import op3_best_fit_packing
 from palaver.llm.op8_exact import op8_exact_dedup
+from palaver.llm.op9_chat import op9_chat_formatting
 from palaver.llm.op10_jaccard import op10_jaccard_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_line_dedup,
         op3_best_fit_packing,
         op8_exact_dedup,
+        op9_chat_formatting,
         op10_jaccard_join,
     )
 }
