@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from palaver.llm import op2_lines, op8_exact
+from palaver.llm.op1_decontamination import op1_benchmark_decontamination
 from palaver.llm.op2_lines import op2_line_dedup
 from palaver.llm.op3_packing import op3_best_fit_packing
 from palaver.llm.op8_exact import op8_exact_dedup
@@ -14,6 +15,7 @@ from palaver.llm.op10_jaccard import op10_jaccard_join
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_benchmark_decontamination,
         op2_line_dedup,
         op3_best_fit_packing,
         op8_exact_dedup,

@@ -32,12 +32,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words of the texts, and where each text's words begin in them (with the end of the last)."""
+def words(texts: list[str], separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of the texts, and where each text's words begin in them (with the end of the last).
+
+    ``separators``: which of the 256 bytes are between words; a space must be one.
+    """
     raw = [t.encode() for t in texts]
     data = np.frombuffer((b" " + b" ".join(raw) + b" ").lower(), np.uint8)
     begins = np.cumsum([1, *(len(r) + 1 for r in raw)])
-    blank = SPACES[data]
+    blank = separators[data]
     edges = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edges[::2] + 1, edges[1::2] + 1
     power, inverse = powers(len(data))
