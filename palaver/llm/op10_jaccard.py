@@ -7,10 +7,12 @@ its projections on its ``k + 1`` heaviest partitions (most shingles first, then
 projections is equal, so of the two sets the one with the higher limit has an equal projection that the other emits too.
 Preferring heavy partitions keeps passages that many texts share from making signatures on their own.
 
-Sets that are equal are one class from the start. In each signature's bucket every class is compared with the smallest
-only; after the components of these links are known, the other pairs of a bucket are compared if their components
-still differ. A group of near copies thus costs a comparison per member and signature, not one per pair, and no link
-that could join two components is left out. Every comparison is exact, on the whole sets.
+Sets that are equal are one class from the start. The pairs of a bucket are first held against a lower bound of their
+difference, the Hamming distance of parity sketches (each shingle flips one of some bits), and against their sizes. In a
+first round a bucket gives only pairs that span what may be linked, a link fewer than members; these are compared
+exactly, on the whole sets. A second round takes every other pair within the bounds whose components still differ.
+A group of near copies thus costs a comparison per member, not one per pair, and no link that could join two
+components is left out. Buckets with the same members count once; a large one is looked at in blocks of fixed size.
 """
 
 from collections.abc import Iterator
@@ -30,6 +32,7 @@ from palaver.workspace import write_once
 SIMILARITY = Fraction(4, 5)
 SHINGLE = 5
 BAND = 2
+BLOCK = 1024
 
 
 def class_of(found: np.ndarray) -> int:
@@ -114,8 +117,24 @@ def signature_rows(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction
     return texts_of(docs).select("text").mapInArrow(run, "signature bigint, class bigint")
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """The parities of the shingles in as many bits as a power of two, at least twice and at most four times their number.
+
+    Half as many bits are the exclusive or of the two halves, so sketches of sets of different size compare.
+    """
+    bits = 1 << max(6, len(found).bit_length() + 1)
+    at = mix(found + np.uint64(3)) & np.uint64(bits - 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def same_length(sketches: list[bytes]) -> np.ndarray:
+    """The sketches as rows of 64-bit words, folded to the shortest."""
+    words = min(map(len, sketches)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, words), axis=0) for x in sketches])
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``class``, ``elements`` (sorted 64-bit hashes) of the wanted classes (``class``, ``doc_id``: a member).
+    """``class``, ``n``, ``sketch``, ``elements`` (sorted 64-bit hashes) of the wanted classes (``class``, ``doc_id``: a member).
 
     The documents are not shuffled: a bitmap of fixed size leaves out almost all that are not wanted.
     """
@@ -123,16 +142,71 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = passes(marks.value, batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False))
+            ids = batch.column("doc_id")
+            keep = passes(marks.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) | ids.is_null().to_numpy(zero_copy_only=False)
             for part in in_slices(iter([batch.filter(pa.array(keep))])):
                 sets = [s for s in shingle_sets(part.column("text").to_pylist(), shingle) if len(s)]
-                columns = [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-                yield pa.record_batch(columns, names=["class", "elements"])
+                columns = [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
+                columns += [pa.array([sketch(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.record_batch(columns, names=["class", "n", "sketch", "elements"])
 
-    found = texts_of(docs).mapInArrow(run, "class bigint, elements binary")
+    found = texts_of(docs).mapInArrow(run, "class bigint, n bigint, sketch binary, elements binary")
     return found.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
 
 
+def different_buckets(rows: DataFrame) -> DataFrame:
+    """The rows (``signature``, ``class``) of one bucket of each set of members."""
+    members = rows.groupBy("signature").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("class")).alias("one"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("two")
+    )
+    chosen = members.groupBy("size", "one", "two").agg(F.min("signature").alias("signature"))
+    return rows.join(chosen.select("signature"), "signature", "left_semi")
+
+
+def candidates(rows: DataFrame, sets: DataFrame, similarity: Fraction, spanning: bool, block: int = BLOCK) -> DataFrame:
+    """Pairs (``a`` < ``b``) of a bucket (``signature``, ``class``, ``component``) within the bounds, in two components.
+
+    ``spanning``: only as many as it takes to span the classes that may be linked.
+    """
+    in_bucket = Window.partitionBy("signature").orderBy("class")
+    rows = rows.withColumns({"part": F.floor((F.row_number().over(in_bucket) - 1) / block), "size": F.count("*").over(Window.partitionBy("signature"))})
+    parts = "cast((size - 1) div " + str(block) + " as bigint)"
+    rows = rows.withColumn("other", F.explode(F.expr(f"sequence(0L, {parts})")))
+    rows = rows.join(sets.select("class", "n", "sketch"), "class")
+    member = F.struct("class", "component", "n", "sketch")
+    groups = rows.groupBy("signature", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    rate = (1 - similarity) / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs: list[np.ndarray] = [np.empty((0, 2), np.int64)]
+            for group in batch.column("members"):
+                group = group.values
+                names, labels, sizes = (group.field(c).to_numpy() for c in ("class", "component", "n"))
+                if len(set(labels.tolist())) < 2:
+                    continue
+                order = np.argsort(names)
+                names, labels, sizes = names[order], labels[order].copy(), sizes[order]
+                bits = same_length(group.field("sketch").to_pylist())[order]
+                for i in range(len(names) - 1):
+                    apart = np.bitwise_count(bits[i] ^ bits[i + 1 :]).sum(axis=1, dtype=np.int64)
+                    other = sizes[i + 1 :]
+                    near = apart * rate.denominator <= rate.numerator * (sizes[i] + other)
+                    near &= np.minimum(sizes[i], other) * similarity.denominator >= similarity.numerator * np.maximum(sizes[i], other)
+                    near &= labels[i + 1 :] != labels[i]
+                    js = np.flatnonzero(near) + i + 1
+                    if spanning and len(js):
+                        others, firsts = np.unique(labels[js], return_index=True)
+                        js = js[firsts]
+                        labels[np.isin(labels, others)] = labels[i]
+                    pairs.append(np.stack([np.full(len(js), names[i]), names[js]], axis=1))
+            made = np.concatenate(pairs)
+            yield pa.record_batch([pa.array(made[:, 0]), pa.array(made[:, 1])], names=["a", "b"])
+
+    groups = groups.agg(F.collect_list(member).alias("members")).select("members")
+    return groups.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def linked(pairs: DataFrame, sets: DataFrame, similarity: Fraction = SIMILARITY) -> DataFrame:
     """The pairs (``a``, ``b``) of classes whose sets are within the bound, by comparing the whole sets."""
 
@@ -163,42 +237,27 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, similarity: Frac
     null, and comes back as null. An empty table gives no rows; other columns are ignored.
     """
     known = write_once(classes(docs, shingle), "shingle-classes")
-    named = known.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+    named = known.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
 
     in_bucket = Window.partitionBy("signature").orderBy("class")
-    rows = signature_rows(docs, shingle, similarity).withColumn("first", F.first("class").over(in_bucket))
-    buckets = write_once(rows.where("class <> first").distinct(), "buckets")
-
-    stars = buckets.select(F.col("first").alias("a"), F.col("class").alias("b")).distinct()
-    stars = write_once(stars, "pairs")
-    members = stars.select(F.col("a").alias("class")).unionAll(stars.select(F.col("b").alias("class"))).distinct()
-    wanted = write_once(named.join(members, "class"), "wanted")
+    rows = signature_rows(docs, shingle, similarity)
+    rows = rows.withColumns({"before": F.lag("class").over(in_bucket), "after": F.lead("class").over(in_bucket)})
+    shared = rows.where("before <> class or after <> class").select("signature", "class").distinct()
+    buckets = write_once(different_buckets(write_once(shared, "shared")), "buckets")
+    wanted = write_once(named.join(buckets.select("class").distinct(), "class"), "wanted")
     sets = write_once(sets_of(docs, wanted, shingle), "sets")
-    near = write_once(linked(stars, sets, similarity), "near")
+
+    first = write_once(candidates(buckets.withColumn("component", F.col("class")), sets, similarity, spanning=True), "pairs")
+    near = write_once(linked(first, sets, similarity), "near")
     joined = write_once(connected_components(near), "components")
 
-    rest = other_pairs(buckets, joined, wanted, similarity).join(stars, ["a", "b"], "left_anti")
-    rest = write_once(rest, "pairs")
-    if not rest.isEmpty():
-        near = near.unionAll(linked(rest, sets, similarity))
-        joined = write_once(connected_components(near), "components")
+    apart = buckets.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    rest = candidates(apart, sets, similarity, spanning=False).join(first, ["a", "b"], "left_anti")
+    more = write_once(linked(write_once(rest, "pairs"), sets, similarity), "near")
+    joined = write_once(connected_components(near.unionAll(more)), "components")
     return _named(known, named, joined)
 
 
-def other_pairs(buckets: DataFrame, joined: DataFrame, sizes: DataFrame, similarity: Fraction) -> DataFrame:
-    """The pairs of a bucket in different components whose sizes allow a link."""
-    rows = buckets.select("signature", "class").unionAll(buckets.select("signature", F.col("first").alias("class"))).distinct()
-    apart = joined.withColumnRenamed("node", "class")
-    rows = rows.join(apart, "class", "left").join(sizes.select("class", "n"), "class")
-    rows = rows.withColumn("component", F.coalesce("component", "class"))
-    mixed = rows.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rows = write_once(rows.join(mixed.select("signature"), "signature", "left_semi"), "mixed")
-    one = rows.select("signature", F.col("class").alias("a"), F.col("component").alias("component_a"), F.col("n").alias("n_a"))
-    two = rows.select("signature", F.col("class").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"))
-    fits = f"least(n_a, n_b) * {similarity.denominator} >= greatest(n_a, n_b) * {similarity.numerator}"
-    return one.join(two, "signature").where(f"a < b and component_a <> component_b and {fits}").select("a", "b").distinct()
-
-
 def _named(known: DataFrame, named: DataFrame, joined: DataFrame) -> DataFrame:
     """Each document with the smallest doc_id of its component."""
     labels = named.join(joined.withColumnRenamed("node", "class"), "class", "left")

@@ -8,6 +8,7 @@ from palaver.llm import op2_lines, op8_exact
 from palaver.llm.op1_decontamination import op1_benchmark_decontamination
 from palaver.llm.op2_lines import op2_line_dedup
 from palaver.llm.op3_packing import op3_best_fit_packing
+from palaver.llm.op4_quality import op4_quality_classifier
 from palaver.llm.op8_exact import op8_exact_dedup
 from palaver.llm.op9_chat import op9_chat_formatting
 from palaver.llm.op10_jaccard import op10_jaccard_join
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_benchmark_decontamination,
         op2_line_dedup,
         op3_best_fit_packing,
+        op4_quality_classifier,
         op8_exact_dedup,
         op9_chat_formatting,
         op10_jaccard_join,
