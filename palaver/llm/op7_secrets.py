@@ -162,7 +162,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
     found = secrets(read(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}") for kind in base]
+    counts = [count(kind) for kind in base]
     of_base = F.filter("spans", lambda s: s["kind"].isin(base))
     return found.select("doc_id", *counts, F.sha2(joined(of_base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
