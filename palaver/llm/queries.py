@@ -10,6 +10,7 @@ from palaver.llm.op2_lines import op2_line_dedup
 from palaver.llm.op3_packing import op3_best_fit_packing
 from palaver.llm.op4_quality import op4_quality_classifier
 from palaver.llm.op5_pii import op5_pii_redaction
+from palaver.llm.op6_html import op6_html_extraction
 from palaver.llm.op7_secrets import op7_secret_scan
 from palaver.llm.op8_exact import op8_exact_dedup
 from palaver.llm.op9_chat import op9_chat_formatting
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_best_fit_packing,
         op4_quality_classifier,
         op5_pii_redaction,
+        op6_html_extraction,
         op7_secret_scan,
         op8_exact_dedup,
         op9_chat_formatting,
