@@ -268,6 +268,13 @@ def _named(known: DataFrame, named: DataFrame, joined: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component; rows that repeat a doc_id stay together."""
+    found = jaccard_components(docs, shingle, similarity)
+    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
+    return docs.join(others, F.col("doc_id") == F.col("_other"), "left_anti")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return jaccard_components(read(spark, sf_dir, "documents"))

@@ -129,6 +129,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     return found.where(F.col("coverage") >= coverage)
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` without those whose doc_id is in a contaminated pair; a row without doc_id stays."""
+    found = contaminated(docs, benchmark, coverage, seed).select(F.col("doc_id").alias("_found")).distinct()
+    return docs.join(found, F.col("doc_id") == F.col("_found"), "left_anti")
+
+
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and how it was found."""
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("row")

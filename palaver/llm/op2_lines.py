@@ -108,26 +108,30 @@ def kept_lines(docs: DataFrame, near_from: int = NEAR_FROM, blocks: int = BLOCKS
 
 
 def without_repeated_lines(docs: DataFrame, near_from: int = NEAR_FROM, blocks: int = BLOCKS) -> DataFrame:
-    """``doc_id``, ``n_lines``, ``n_kept``, ``text`` of every row of ``docs`` (``doc_id``, ``text``).
+    """``docs`` (``doc_id``, ``text``) with ``text`` lacking the lines that go, and ``n_lines`` and ``n_kept`` added.
 
     Lines end at \\n and are compared without spaces at their ends. Of equal lines the earliest stays, by doc_id (null
     first) and line number. A line also goes if an earlier line, which itself may have gone, is within edit distance 1
     and both have ``near_from`` characters or more. Blank lines always stay. A null or empty text is one blank line and
     gives an empty text. Rows that repeat a doc_id count as copies of one document and all keep the lines that it keeps.
-    An empty table gives no rows, other columns are ignored. ``blocks`` does not change the result.
+    An empty table gives no rows. Other columns come back as they are, but for earlier ones named ``n_lines`` or
+    ``n_kept``. ``blocks`` does not change the result.
     """
-    docs = texts_of(docs)
-    kept = kept_lines(docs, near_from, blocks).withColumnRenamed("doc_id", "kept_id")
-    lines = docs.select("doc_id", F.split("text", "\n").alias("lines"))
-    joined = lines.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left")
-    blank = "filter(transform(lines, (x, i) -> if(trim(x) = '', i, -1)), i -> i >= 0)"
-    stay = f"array_sort(concat(coalesce(kept, array()), {blank}))"
-    return joined.selectExpr(
-        "doc_id",
-        "cast(size(lines) as bigint) AS n_lines",
-        f"cast(size({blank}) + coalesce(size(kept), 0) as bigint) AS n_kept",
-        f"array_join(transform({stay}, i -> get(lines, i)), '\\n') AS text",
+    texts = texts_of(docs)
+    kept = kept_lines(texts, near_from, blocks).withColumnRenamed("doc_id", "_kept_id").withColumnRenamed("kept", "_kept")
+    names = [c for c in docs.columns if c not in ("text", "n_lines", "n_kept")]
+    row = F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row")
+    lines = docs.select(row, F.split(F.coalesce("text", F.lit("")), "\n").alias("_lines"))
+    joined = lines.join(kept, F.col("_row.doc_id").cast("bigint").eqNullSafe(F.col("_kept_id")), "left")
+    blank = "filter(transform(_lines, (x, i) -> if(trim(x) = '', i, -1)), i -> i >= 0)"
+    stay = f"array_sort(concat(coalesce(_kept, array()), {blank}))"
+    found = joined.select(
+        *(F.col(f"_row.`{c}`").alias(c) for c in names),
+        F.expr("cast(size(_lines) as bigint)").alias("n_lines"),
+        F.expr(f"cast(size({blank}) + coalesce(size(_kept), 0) as bigint)").alias("n_kept"),
+        F.expr(f"array_join(transform({stay}, i -> get(_lines, i)), '\\n')").alias("text"),
     )
+    return found.select(*docs.columns, *(c for c in ("n_lines", "n_kept") if c not in docs.columns))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

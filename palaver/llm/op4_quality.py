@@ -149,6 +149,21 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return texts_of(docs).mapInArrow(run, "doc_id bigint, score double")
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``threshold``, as they are but for a null text, which is empty."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model(*shared.value)
+        for batch in batches:
+            texts = batch.column("text").fill_null("")
+            for part in in_slices(iter([batch.set_column(batch.schema.get_field_index("text"), "text", texts)]), 1_000_000):
+                keep = known.scores(part.column("text").to_pylist()) >= threshold
+                yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     docs = read(spark, sf_dir, "documents")
