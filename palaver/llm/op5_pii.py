@@ -118,6 +118,7 @@ def described(kind: str, m: Column) -> Column:
         number(m["before"].rlike(r"[\w.+-]$")).alias("joined_before"),
         number(m["after"].rlike(r"^(?:[\w@-]|[.,][0-9])")).alias("joined_after"),
         number(m["after"].rlike(r"^[/-]?[0-9]")).alias("number_after"),
+        number(m["before"].rlike(r"\+[0-9]{1,3}[\x20.-]?$")).alias("plus_before"),
     ]
     features += [number(F.lower(m["before"]).rlike(words)).alias(f"says_{name}") for name, words in WORDS.items()]
     return F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["stop"].alias("stop"), match.alias("match"), *features)
@@ -125,7 +126,7 @@ def described(kind: str, m: Column) -> Column:
 
 FEATURES = (
     "kind_number length n_digits luhn plus parens at_sign breaks last_letters first_digits last_digits octets "
-    "joined_before joined_after number_after says_email says_ip says_card says_phone"
+    "joined_before joined_after number_after plus_before says_email says_ip says_card says_phone"
 ).split()
 
 
