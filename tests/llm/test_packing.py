@@ -1,0 +1,59 @@
+"""Packing: every token once, in its place, sequences gapless and as few as best fit over all pieces needs."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from palaver.llm.op3_packing import Encoder, best_fit, pack, pieces
+from tests.llm.cases import table, texts
+
+
+def test_pieces_are_the_ids_of_the_tokenizer(spark):
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    rows = texts() + [(200 + i, t) for i, t in enumerate(["a  b", " a", "a \nb c", "don't  1234 x y z", "<|endoftext|> b", "a\n \n b \t c "])]
+    found = defaultdict(list)
+    for r in pieces(table(spark, rows).repartition(3), capacity=100).collect():
+        found[r.doc_id].append((r.piece, r.start, r.length, bytes(r.ids)))
+    expected = defaultdict(list)
+    for i, t in rows:
+        ids = np.array([*reference.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        cuts = [0, *range(len(ids) % 100 or 100, len(ids) + 1, 100)]
+        expected[i] += [(k, a, b - a, ids[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert {i: sorted(x) for i, x in found.items()} == {i: sorted(x) for i, x in expected.items()}
+
+
+@pytest.mark.parametrize("block, fan_in, carry", [(200_000, 16, 512), (7, 2, 3)])
+def test_sequences_are_gapless_and_few(spark, block, fan_in, carry):
+    r = random.Random(9)
+    lengths = [r.choice([r.randint(1, 100), r.randint(40, 60), 100]) for _ in range(700)]
+    rows = spark.createDataFrame([(i, n, "x") for i, n in enumerate(lengths)], "id bigint, length bigint, node string").repartition(5)
+    found = pack(rows, 100, block, fan_in, carry).collect()
+    assert sorted((x.id, x.length, x.node) for x in found) == [(i, n, "x") for i, n in enumerate(lengths)]
+    sequences = defaultdict(list)
+    for x in found:
+        sequences[x.sequence_id].append((x.offset, x.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 100
+    whole = len(best_fit(np.array(lengths), 100)[2])
+    assert len(sequences) <= whole * (1.03 if block > 7 else 1.1)
+
+
+def test_an_empty_table_gives_no_rows(spark):
+    assert pack(pieces(table(spark, []))).collect() == []
+
+
+def test_the_table_of_known_ids_does_not_change_them():
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    text = "the cat, the cat and the dog"
+    assert encoder.encode(text) == encoder.encode(text) == encoder._plain(text)
+    assert zlib.crc32(encoder.encode("")) == 0

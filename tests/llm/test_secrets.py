@@ -1,0 +1,54 @@
+"""Secrets: the automaton against Python's regular expressions."""
+
+import random
+import re
+
+from palaver.llm.automaton import compiled
+from palaver.llm.op7_secrets import RULES, Scanner, in_code_points, longest, secrets
+from tests.llm.cases import table, texts
+
+PLAIN = (
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")),
+    ("access", re.compile(r"AKIA[A-Z0-9]+")),
+    ("hex", re.compile(r"[0-9a-f]+")),
+)
+PARTS = ["password", "PassWd", "token", "api_key", "secret", "AKIA", "=", ":", " ", "  ", '"', "'", "abc123def4567890", "ABCDEFGH123456", "é", "\n", "x", "deadbeef", "==", "_", "Q1W2E3R4"]
+
+
+def plain(text):
+    found = []
+    for rule, (kind, pattern) in enumerate(PLAIN):
+        for m in pattern.finditer(text):
+            if len(m[2] if kind == "assign" else m[0]) >= RULES[rule].least:
+                found.append((m.start(), rule, m.end()))
+    return sorted(found)
+
+
+def test_base_spans_are_those_of_the_patterns(spark):
+    r, scanner = random.Random(1), Scanner()
+    rows = [(i, "".join(r.choice(PARTS) for _ in range(r.randint(0, 14)))) for i in range(3000)]
+    for _, text in rows:
+        data = text.encode()
+        assert [s for s in in_code_points(data, scanner.spans(data)) if s[1] < 3] == plain(text)
+    kinds = [rule.kind for rule in RULES]
+    for row in secrets(table(spark, rows[:200])).collect():
+        assert [(s.start, kinds.index(s.kind), s.stop) for s in row.spans if s.kind in kinds[:3]] == plain(rows[row.doc_id][1])
+
+
+def test_added_rules_and_texts_without_secrets(spark):
+    rows = [(1, "é ghp_" + "a1B2" * 9 + " x"), (2, "-----BEGIN RSA PRIVATE KEY-----"), (3, "AIza" + "x" * 35), (4, "AIza" + "x" * 9)]
+    found = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in secrets(table(spark, rows)).collect()}
+    assert found == {1: [("github", 2, 42)], 2: [("private_key", 0, 31)], 3: [("google", 0, 39)], 4: []}
+    clean = secrets(table(spark, [x for x in texts() if x[0] != 71])).collect()
+    assert len(clean) == len(texts()) - 1 and all(r.spans == [] for r in clean)
+    assert secrets(table(spark, [])).collect() == []
+
+
+def test_automaton_accepts_what_the_expression_does():
+    r = random.Random(3)
+    for pattern in ("(ab|a)*c?", "a{3,}b+", "[a-c]x?(b|ca){2,}", "\\x61\\.b", "(a|b)?(ca)+"):
+        automaton = compiled([pattern], anywhere=False)
+        for _ in range(400):
+            text = "".join(r.choice("abcx.") for _ in range(r.randint(1, 9)))
+            best = max((n for n in range(1, len(text) + 1) if re.fullmatch(pattern, text[:n])), default=-1)
+            assert longest(automaton, text.encode(), 0, len(text)) == best
