@@ -1,6 +1,7 @@
 """Run registered queries on Spark and DuckDB and compare them: ``python -m checks.compare [sf_dir] [query ...]``."""
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -61,12 +62,17 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> None:
     sys.exit(1 if failed else 0)
 
 
+_scratch = tempfile.TemporaryDirectory(prefix="palaver-")
+
+
 def session(cpus: str = "8") -> SparkSession:
+    """A local session, whose working tables are gone when the process ends."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("palaver")
     settings = {
         "spark.sql.shuffle.partitions": cpus,
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": _scratch.name,
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
     }

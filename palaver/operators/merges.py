@@ -50,7 +50,7 @@ def merge_message_conversation(old: DataFrame, new: DataFrame, file_date: str) -
     return _sum_again(replace_date_slice(old, new, file_date), CONVERSATION_KEYS, CONVERSATION_SUMS)
 
 
-def _in_hundredths(fact: DataFrame) -> DataFrame:
+def in_hundredths(fact: DataFrame) -> DataFrame:
     """AverageDuration as whole hundredths, from a number or from decimal-comma text."""
     text = isinstance(fact.schema["AverageDuration"].dataType, StringType)
     value = from_decimal_comma("AverageDuration") if text else F.col("AverageDuration")
@@ -59,7 +59,7 @@ def _in_hundredths(fact: DataFrame) -> DataFrame:
 
 def merge_conversations_and_sm(old: DataFrame, new: DataFrame, file_date: str) -> DataFrame:
     """Sum the counts; AverageDuration becomes the unweighted mean of the means that meet under one key."""
-    rows = replace_date_slice(_in_hundredths(old), _in_hundredths(new), file_date)
+    rows = replace_date_slice(in_hundredths(old), in_hundredths(new), file_date)
     mean = half_even_quotient(F.sum("AverageDuration"), F.count("AverageDuration"))
     return (
         rows.groupBy(*CONVERSATION_KEYS)

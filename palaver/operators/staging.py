@@ -24,9 +24,13 @@ def tag_events(events: DataFrame, natco: str | Column, file_date: str | Column)
     return events.withColumn("NatCo", _value(natco)).withColumn("FileDate", to_date(_value(file_date)))
 
 
-def conform(table: DataFrame, schema: StructType) -> DataFrame:
-    """Pass a lookup or stored table through under its declared column order and types."""
-    return table.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+def conform(table: DataFrame, schema: StructType, strict: bool = False) -> DataFrame:
+    """Pass a lookup or stored table through under its declared column order and types.
+
+    Text that is no number or date becomes null where text is read; ``strict``, for what is published, makes it an error.
+    """
+    columns = [F.col(f.name) for f in schema]
+    return table.select(*[(c.cast(f.dataType) if strict else c.try_cast(f.dataType)).alias(f.name) for c, f in zip(columns, schema)])
 
 
 def roll_user_accumulator(

@@ -32,11 +32,15 @@ def user_months(accumulator: DataFrame, d_natco: DataFrame, by: Sequence[str] =
 
 
 def uau_daily(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    # explode and filter stay in generated code, unlike a lambda that picks the bits.
-    days = months.withColumn("_day", F.explode(F.sequence(F.lit(0), F.lit(31))))
-    days = days.filter(F.getbit("Days", F.col("_day")) == 1).withColumn("Date", F.date_add("Month", F.col("_day") - 1))
-    # One row per user and day: counting is enough, null users excluded.
-    return days.groupBy(*by, "Date", "NatCoID", "AgentID").agg(F.count("user_id").alias("UAU_daily"))
+    # A column per bit in one aggregation of the months: user rows are not multiplied by the days of a month.
+    active = [F.getbit("Days", F.lit(day)) == 1 for day in range(32)]
+    counts = [F.count_if(on & F.col("user_id").isNotNull()).alias(f"_n{day}") for day, on in enumerate(active)]
+    counted = months.groupBy(*by, "Month", "NatCoID", "AgentID").agg(F.bit_or("Days").alias("_days"), *counts)
+    days = F.array(*[F.struct(F.lit(day).alias("day"), F.col(f"_n{day}").alias("n")) for day in range(32)])
+    rows = counted.select(*by, "Month", "NatCoID", "AgentID", "_days", F.explode(days).alias("_day"))
+    rows = rows.filter(F.getbit("_days", F.col("_day.day")) == 1)
+    date = F.date_add("Month", F.col("_day.day") - 1)
+    return rows.select(*by, date.alias("Date"), "NatCoID", "AgentID", F.col("_day.n").alias("UAU_daily"))
 
 
 def uau_monthly(months: DataFrame, by: Sequence[str] = ()) -> DataFrame:

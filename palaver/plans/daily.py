@@ -9,7 +9,7 @@ from palaver import schemas
 from palaver.operators import dimensions, facts, merges, users
 from palaver.operators.staging import roll_user_accumulator
 from palaver.sources import lookups
-from palaver.workspace import concurrently, literal_table, write_once
+from palaver.workspace import concurrently, literal_table, matching, write_once
 
 
 @dataclass(frozen=True)
@@ -44,9 +44,15 @@ STATE_SCHEMAS = {
 
 
 def seed_lookups(spark: SparkSession, folder: str | None = None) -> Lookups:
-    """The lookups from the ``;``-separated files of ``folder``, or the built-in rows."""
+    """The lookups from the ``;``-separated files of ``folder``, and the built-in rows for files that are not there."""
+
+    def place(name: str) -> str | None:
+        return folder if folder and matching(spark, f"{folder.rstrip('/')}/{name}") else None
+
     return Lookups(
-        lookups.natcos(spark, folder), lookups.conversation_types(spark, folder), lookups.content_mapping(spark, folder)
+        lookups.natcos(spark, place(lookups.NATCO_FILE)),
+        lookups.conversation_types(spark, place(lookups.CONVERSATION_TYPE_FILE)),
+        lookups.content_mapping(spark, place(lookups.CONTENT_FILE)),
     )
 
 

@@ -9,19 +9,25 @@ from palaver.operators.staging import feeds_are_empty
 from palaver.operators.users import users_across_natcos
 from palaver.plans.backfill import NATCO_ORDER, backfill
 from palaver.plans.daily import Lookups, run_day, seed_lookups
-from palaver.plans.publish import load, load_accumulators, publish, publish_backfill
-from palaver.sources.delimited import SEMICOLONS, write_delimited
+from palaver.plans.publish import load, load_accumulators, load_backfill, publish, publish_backfill, publish_users
 from palaver.sources.feeds import Feed, read_feed
-from palaver.workspace import write_once
+from palaver.workspace import run_folder, write_once
 
 
 def new_version() -> str:
     return datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
 
 
-def _land(spark: SparkSession, folder: str, feed: Feed, dates: Iterable[str], natcos: Iterable[str]) -> DataFrame:
+def _land(
+    spark: SparkSession,
+    folder: str,
+    feed: Feed,
+    dates: Iterable[str],
+    natcos: Iterable[str],
+    bad_records_path: str | None = None,
+) -> DataFrame:
     """Decompress the feed once. Every later step reads the columns it needs from splittable files."""
-    return write_once(read_feed(spark, folder, feed, dates, natcos).hint("rebalance"), feed)
+    return write_once(read_feed(spark, folder, feed, dates, natcos, bad_records_path).hint("rebalance"), feed)
 
 
 def process_day(
@@ -34,23 +40,29 @@ def process_day(
     seeds: Lookups | None = None,
     as_csv: bool = False,
     per: str = "type",
+    bad_records_path: str | None = None,
 ) -> list[str]:
-    """Process the two files of one date and NatCo. Returns the published names, none when both files are empty."""
-    activity = _land(spark, input_path, "activity", [file_date], [natco])
-    events = _land(spark, input_path, "events", [file_date], [natco])
-    if feeds_are_empty(activity, events):
-        return []
-    lookup, state = load(spark, output_path, natco, seeds)
-    results = run_day(activity, events, lookup, state, file_date, natco, per)
-    return publish(results, lookup_path, output_path, new_version(), natco, file_date, as_csv)
+    """Process the two files of one date and NatCo. Returns the published names, none when both are empty or absent.
+
+    Lookups come from the files of ``lookup_path``, the built-in rows where it has none. Working tables are gone when
+    the job ends.
+    """
+    with run_folder(spark):
+        activity = _land(spark, input_path, "activity", [file_date], [natco], bad_records_path)
+        events = _land(spark, input_path, "events", [file_date], [natco], bad_records_path)
+        if feeds_are_empty(activity, events):
+            return []
+        lookup, state = load(spark, output_path, natco, seeds or seed_lookups(spark, lookup_path))
+        results = run_day(activity, events, lookup, state, file_date, natco, per)
+        return publish(results, lookup_path, output_path, new_version(), natco, file_date, as_csv)
 
 
-def process_users(spark: SparkSession, output_path: str, seeds: Lookups | None = None) -> str:
-    """Write the distinct users of all NatCos, newest date first, and return the path."""
-    lookup = seeds or seed_lookups(spark)
-    path = f"{output_path.rstrip('/')}/{new_version()}/f_uau.csv"
-    write_delimited(users_across_natcos(load_accumulators(spark, output_path), lookup.natcos), path, SEMICOLONS)
-    return path
+def process_users(
+    spark: SparkSession, output_path: str, seeds: Lookups | None = None, lookup_path: str | None = None
+) -> str:
+    """Write the distinct users of all NatCos, newest date first, make them current as f_uau, and return the path."""
+    lookup = seeds or seed_lookups(spark, lookup_path)
+    return publish_users(users_across_natcos(load_accumulators(spark, output_path), lookup.natcos), output_path, new_version())
 
 
 def process_backfill(
@@ -62,11 +74,22 @@ def process_backfill(
     natcos: Sequence[str] = ("*",),
     natco_order: Sequence[str] = NATCO_ORDER,
     seeds: Lookups | None = None,
+    bad_records_path: str | None = None,
 ) -> list[str]:
-    """Process all files of the given dates and NatCos as one job, from an empty state, and make the result current."""
-    activity = _land(spark, input_path, "activity", file_dates, natcos)
-    events = _land(spark, input_path, "events", file_dates, natcos)
-    found = activity.select("NatCo").unionByName(events.select("NatCo")).distinct()
-    results = backfill(activity, events, seeds or seed_lookups(spark), natco_order)
-    names = [row["NatCo"] for row in found.collect()]
-    return publish_backfill(results, lookup_path, output_path, new_version(), names)
+    """Process the files of the given dates and NatCos as one job, and make the result current.
+
+    The result is that of the runs one after another, by date and then NatCo, on what is published: ids stay, rows that
+    no run replaces stay, and NatCos without a file are not touched. Files that are not there are passed over.
+    """
+    with run_folder(spark):
+        activity = _land(spark, input_path, "activity", file_dates, natcos, bad_records_path)
+        events = _land(spark, input_path, "events", file_dates, natcos, bad_records_path)
+        found = activity.select("FileDate", "NatCo").unionByName(events.select("FileDate", "NatCo")).distinct()
+        runs = sorted((str(row["FileDate"]), row["NatCo"]) for row in found.collect())
+        if not runs:
+            return []
+        lookup, state = load_backfill(
+            spark, output_path, sorted({n for _, n in runs}), seeds or seed_lookups(spark, lookup_path)
+        )
+        results = backfill(activity, events, lookup, natco_order, state=state)
+        return publish_backfill(results, lookup_path, output_path, new_version(), runs)

@@ -1,13 +1,14 @@
 """Publishing: results go to a new version, which becomes current by one final append to the list of published tables.
 
 A run never writes a path it reads. A run that dies leaves no trace in the list, and can simply be repeated. An empty
-result is not listed, so the table published before it stays current.
+result is not listed, so the table published before it stays current. The accumulator is listed by slices, one for each
+file date of a NatCo: a run writes the slices it processed and lists them, also an empty one.
 """
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -38,12 +39,14 @@ SCHEMAS = {
     "f_uau_monthly": schemas.UAU_MONTHLY,
     "f_uau_yearly": schemas.UAU_YEARLY,
     "f_uau_total": schemas.UAU_TOTAL,
+    "f_uau": schemas.UAU,
     "ContentDescriptionMapping": schemas.CONTENT_MAPPING,
 }
 
 ACCUMULATOR = "acc_users_daily"
 _LIST = "_published"
-_LIST_SCHEMA = StructType([StructField(c, StringType()) for c in ("name", "version", "path", "format")])
+# slice: the file date of a slice of the accumulator, null for a whole table. An empty slice has no path.
+_LIST_SCHEMA = StructType([StructField(c, StringType()) for c in ("name", "version", "path", "format", "slice")])
 
 
 def table_name(table: str, natco: str) -> str:
@@ -69,7 +72,7 @@ def _write(df: DataFrame, table: str, path: str, as_csv: bool) -> bool:
 def _commit(spark: SparkSession, output_path: str, entries: list[tuple]) -> list[str]:
     listed = literal_table(spark, entries, _LIST_SCHEMA).coalesce(1)
     listed.write.mode("append").json(f"{output_path.rstrip('/')}/{_LIST}")
-    return [name for name, *_ in entries]
+    return sorted({name for name, *_ in entries})
 
 
 def publish(
@@ -84,72 +87,62 @@ def publish(
     """Write the results of one run and make them current. Returns the names of the tables that were not empty.
 
     ``version`` sorts after all earlier versions, and is used once. As Parquet, of the accumulator only the slice of
-    this run is written, in place of that slice. As CSV every table is written whole, ``;``-separated and sorted.
+    this run is written. As CSV every table is written whole, ``;``-separated and sorted.
     """
     spark = next(iter(results.values())).sparkSession
 
     def store(table: str) -> list[tuple]:
         root = (lookup_path if table in LOOKUP_TABLES else output_path).rstrip("/")
         name = table_name(table, natco)
-        df = conform(results[table], SCHEMAS[table])
+        df = conform(results[table], SCHEMAS[table], strict=True)
         if table == ACCUMULATOR and not as_csv:
-            stored = published(spark, output_path).filter((F.col("name") == name) & (F.col("format") == "parquet"))
-            current = stored.first()
-            path = current["path"] if current else f"{root}/{version}/{ACCUMULATOR}"
-            today = F.col("FileDate") == F.lit(file_date).cast("date")
-            _replace_slice(df.filter(today), path, natco, file_date)
-            if current is None:
-                store_accumulator(df.filter(~today), path)
-            return [(name, version, path, "parquet")]
+            today = df.filter(F.col("FileDate") == F.lit(file_date).cast("date"))
+            path = f"{root}/{version}/{name}"
+            today.write.mode("errorifexists").parquet(path)
+            return [(name, version, path, "parquet", file_date)]
         path = f"{root}/{version}/{name}" + (".csv" if as_csv else "")
         filled = _write(df, table, path, as_csv)
-        return [(name, version, path, "csv" if as_csv else "parquet")] if filled else []
+        return [(name, version, path, "csv" if as_csv else "parquet", None)] if filled else []
 
     stored = concurrently(*[partial(store, table) for table in results])
     return _commit(spark, output_path, [entry for entries in stored for entry in entries])
 
 
-def _replace_slice(rows: DataFrame, path: str, natco: str, file_date: str) -> None:
-    """Replace one slice of a stored accumulator, even by no rows at all."""
-    rows.drop("NatCo", "FileDate").write.mode("overwrite").parquet(f"{path}/NatCo={natco}/FileDate={file_date}")
-
-
-def store_accumulator(accumulator: DataFrame, path: str) -> None:
-    """Write whole file dates, in place of the same ones. A file date with much of the data is split over tasks."""
-    (
-        accumulator.hint("rebalance", "NatCo", "FileDate")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("NatCo", "FileDate")
-        .parquet(path)
-    )
-
-
 def publish_backfill(
-    results: dict[str, DataFrame], lookup_path: str, output_path: str, version: str, natcos: list[str]
+    results: dict[str, DataFrame], lookup_path: str, output_path: str, version: str, runs: list[tuple[str, str]]
 ) -> list[str]:
-    """Make the results of a backfill the current state of every NatCo in ``natcos``.
+    """Make the results of a backfill current for the NatCos of its ``runs`` (file date, NatCo), and for no other.
 
-    A table kept per NatCo is written in one job, one folder per NatCo; daily runs go on from there.
+    A table kept per NatCo is written in one job, one folder per NatCo; daily runs go on from there. Of the accumulator
+    the slices of the runs are replaced.
     """
     spark = next(iter(results.values())).sparkSession
+    natcos = sorted({natco for _, natco in runs})
 
     def store(table: str) -> list[tuple]:
         root = (lookup_path if table in LOOKUP_TABLES else output_path).rstrip("/")
         path = f"{root}/{version}/{table}"
         df = results[table]
         if table not in PER_NATCO:
-            filled = _write(conform(df, SCHEMAS[table]), table, path, as_csv=False)
-            return [(table, version, path, "parquet")] if filled else []
+            filled = _write(conform(df, SCHEMAS[table], strict=True), table, path, as_csv=False)
+            return [(table, version, path, "parquet", None)] if filled else []
         if table == ACCUMULATOR:
-            store_accumulator(conform(df, SCHEMAS[table]), path)
-        else:
-            typed = [F.col(c.name).cast(c.dataType).alias(c.name) for c in SCHEMAS[table]]
-            df.select("NatCo", *typed).write.partitionBy("NatCo").parquet(path)
+            # Folders named by copies of the columns, so that the files hold all of them.
+            named = conform(df, SCHEMAS[table], strict=True).withColumns({"natco_": F.col("NatCo"), "date_": F.col("FileDate")})
+            named.hint("rebalance", "natco_", "date_").write.partitionBy("natco_", "date_").parquet(path)
+            stored = spark.read.schema(SCHEMAS[table]).parquet(path)
+            slices = stored.select(F.col("FileDate").cast("string").alias("date"), "NatCo").distinct()
+            filled = {(r["date"], r["NatCo"]) for r in slices.collect()}
+            return [
+                (table_name(table, n), version, f"{path}/natco_={n}/date_={d}" if (d, n) in filled else "", "parquet", d)
+                for d, n in runs
+            ]
+        typed = [F.col(c.name).cast(c.dataType).alias(c.name) for c in SCHEMAS[table]]
+        df.select("NatCo", *typed).write.partitionBy("NatCo").parquet(path)
         written = spark.read.schema(df.select("NatCo").schema).parquet(path)
         filled = {r["NatCo"] for r in written.distinct().collect()}
         return [
-            (table_name(table, natco), version, path if table == ACCUMULATOR else f"{path}/NatCo={natco}", "parquet")
+            (table_name(table, natco), version, f"{path}/NatCo={natco}", "parquet", None)
             for natco in sorted(filled & set(natcos))
         ]
 
@@ -157,8 +150,19 @@ def publish_backfill(
     return _commit(spark, output_path, [entry for entries in stored for entry in entries])
 
 
+def publish_users(users: DataFrame, output_path: str, version: str) -> str:
+    """Write the distinct users of all NatCos as text, sorted as they come, and make them current. Returns the path."""
+    path = f"{output_path.rstrip('/')}/{version}/f_uau.csv"
+    write_delimited(users, path, SEMICOLONS)
+    _commit(users.sparkSession, output_path, [("f_uau", version, path, "csv", None)])
+    return path
+
+
 def published(spark: SparkSession, output_path: str) -> DataFrame:
-    """The current version of every table: name, version, path, format."""
+    """The current version of every table and slice: name, version, path, format, slice.
+
+    A whole table that is newer than a slice of it takes the slice's place.
+    """
     try:
         entries = spark.read.schema(_LIST_SCHEMA).json(f"{output_path.rstrip('/')}/{_LIST}")
     except AnalysisException as error:
@@ -166,13 +170,16 @@ def published(spark: SparkSession, output_path: str) -> DataFrame:
             raise
         entries = literal_table(spark, [], _LIST_SCHEMA)
     latest = F.max_by(F.struct("version", "path", "format"), "version").alias("latest")
-    return entries.groupBy("name").agg(latest).select("name", "latest.*")
+    current = entries.groupBy("name", "slice").agg(latest).select("name", "latest.*", "slice")
+    whole = F.max(F.when(F.col("slice").isNull(), F.col("version"))).over(Window.partitionBy("name"))
+    current = current.withColumn("_whole", whole)
+    return current.filter("slice is null or _whole is null or version > _whole").drop("_whole")
 
 
-def _read(spark: SparkSession, table: str, path: str, fmt: str) -> DataFrame:
+def _read(spark: SparkSession, table: str, path: str | list[str], fmt: str) -> DataFrame:
     if fmt == "csv":
         return read_delimited(spark, path, SCHEMAS[table], SEMICOLONS)
-    return spark.read.schema(SCHEMAS[table]).parquet(path)
+    return spark.read.schema(SCHEMAS[table]).parquet(*([path] if isinstance(path, str) else path))
 
 
 def load(
@@ -183,29 +190,47 @@ def load(
     A table that was never published is empty. The content mapping starts as that of ``seeds`` and is then the one the
     last run published.
     """
-    current = {row["name"]: row for row in published(spark, output_path).collect()}
+    listed = published(spark, output_path).collect()
+    current = {row["name"]: row for row in listed}
     seeds = seeds or seed_lookups(spark)
 
     def table(name: str, otherwise: DataFrame | None = None) -> DataFrame:
+        if name == ACCUMULATOR:
+            return _accumulator(spark, [row for row in listed if row["name"] == table_name(name, natco)])
         entry = current.get(table_name(name, natco))
         if entry is None:
             return literal_table(spark, [], SCHEMAS[name]) if otherwise is None else otherwise
-        df = _read(spark, name, entry["path"], entry["format"])
-        return df.filter(F.col("NatCo") == natco) if name == ACCUMULATOR else df
+        return _read(spark, name, entry["path"], entry["format"])
 
     state = State(**{name: table(name) for name in STATE_SCHEMAS})
     contents = table("ContentDescriptionMapping", seeds.contents)
     return Lookups(seeds.natcos, seeds.conversation_types, contents), state
 
 
-def load_accumulators(spark: SparkSession, output_path: str) -> DataFrame:
-    """The current accumulators of all NatCos, one scan per folder that holds any."""
-    folders: dict[tuple[str, str], list[str]] = {}
-    for row in published(spark, output_path).filter(F.col("name").startswith(f"{ACCUMULATOR}_")).collect():
-        natco = row["name"].removeprefix(f"{ACCUMULATOR}_")
-        folders.setdefault((row["path"], row["format"]), []).append(natco)
-    rows = literal_table(spark, [], schemas.USER_ACCUMULATOR)
-    for (path, fmt), natcos in sorted(folders.items()):
-        stored = conform(_read(spark, ACCUMULATOR, path, fmt), schemas.USER_ACCUMULATOR)
-        rows = rows.unionByName(stored.filter(F.col("NatCo").isin(natcos)))
+def _accumulator(spark: SparkSession, entries: list) -> DataFrame:
+    """The rows of the listed slices, in one scan, and of whole tables but for the file dates that have a newer slice."""
+    paths = [row["path"] for row in entries if row["slice"] is not None and row["path"]]
+    rows = _read(spark, ACCUMULATOR, paths, "parquet") if paths else literal_table(spark, [], schemas.USER_ACCUMULATOR)
+    for whole in (row for row in entries if row["slice"] is None):
+        replaced = [F.lit(row["slice"]).cast("date") for row in entries if row["slice"] is not None and row["name"] == whole["name"]]
+        stored = _read(spark, ACCUMULATOR, whole["path"], whole["format"])
+        rows = rows.unionByName(stored.filter(F.col("FileDate").isNull() | ~F.col("FileDate").isin(replaced)) if replaced else stored)
     return rows
+
+
+def load_backfill(spark: SparkSession, output_path: str, natcos: list[str], seeds: Lookups) -> tuple[Lookups, dict[str, DataFrame]]:
+    """Lookups and state for a backfill of some NatCos: the shared dimensions, and their facts with NatCo as a column."""
+    states = {natco: load(spark, output_path, natco, seeds) for natco in natcos}
+    lookup, first = next(iter(states.values())) if states else load(spark, output_path, "", seeds)
+    found = {name: getattr(first, name) for name in STATE_SCHEMAS if name not in PER_NATCO}
+    for name in STATE_SCHEMAS:
+        if name in PER_NATCO:
+            parts = [getattr(state, name).withColumn("NatCo", F.lit(natco)) for natco, (_, state) in states.items()]
+            found[name] = reduce(DataFrame.unionByName, parts)
+    return lookup, found
+
+
+def load_accumulators(spark: SparkSession, output_path: str) -> DataFrame:
+    """The current accumulators of all NatCos, one scan of all slices."""
+    entries = published(spark, output_path).filter(F.col("name").startswith(f"{ACCUMULATOR}_")).collect()
+    return conform(_accumulator(spark, entries), schemas.USER_ACCUMULATOR)

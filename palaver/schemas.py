@@ -91,3 +91,4 @@ UAU_DAILY = _schema(Date=DateType, NatCoID=IntegerType, AgentID=LongType, UAU_da
 UAU_MONTHLY = _schema(YearMonth=StringType, NatCoID=IntegerType, AgentID=LongType, UAU_monthly=LongType)
 UAU_YEARLY = _schema(Year=IntegerType, NatCoID=IntegerType, AgentID=LongType, UAU_yearly=LongType)
 UAU_TOTAL = _schema(NatCoID=IntegerType, AgentID=LongType, UAU_total=LongType)
+UAU = _schema(AgentID=LongType, NatCoID=IntegerType, Date=DateType, user_id=StringType)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 MALFORMED = "_malformed_record"
-SINGLE_FILE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -20,12 +19,12 @@ class Dialect:
     quote: str = '"'
     escape: str = "\\"
     encoding: str = "UTF-8"
-    timestampFormat: str = "MM/dd/yyyy HH:mm:ss.SSSZZ"
     dateFormat: str = "yyyy-MM-dd"
     multiLine: bool = False
+    timestampFormat: str | None = None
 
     def options(self) -> dict:
-        return asdict(self)
+        return {k: v for k, v in asdict(self).items() if v is not None}
 
 
 TABS = Dialect(delimiter="\t")
@@ -42,11 +41,13 @@ def read_delimited(
     """Read a file, a folder, a glob or a list of them; ``.gz`` files are decompressed.
 
     Records with a wrong type, too many or too few fields are dropped. With ``bad_records_path`` the dropped records
-    are also written there. An unquoted empty field and a quoted one are both read as null.
+    are also written there, in place of those of an earlier read of the same file. An unquoted empty field and a quoted one are both read as null.
     """
     reader = spark.read.options(**dialect.options()).option("columnPruning", False)
     if bad_records_path is not None:
-        malformed_records(spark, path, schema, dialect).write.mode("append").parquet(bad_records_path)
+        bad = malformed_records(spark, path, schema, dialect).withColumn("source_", F.col("_source_file"))
+        writer = bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("source_").parquet(bad_records_path)
     return _parse_whole(reader.option("mode", "DROPMALFORMED").schema(schema).csv(path))
 
 
@@ -102,19 +103,12 @@ def write_delimited(
     quote_all: bool = False,
     compression: str | None = None,
     sort_by: list[str] | None = None,
-    single_file: bool = False,
 ) -> None:
     """Overwrite ``path`` with delimited text.
 
-    Leading and trailing blanks are kept. ``sort_by`` sorts the whole table, file names in order. ``single_file`` is for small tables only: it makes one
-    part file when the table has at most ``SINGLE_FILE_ROWS`` rows, and fails otherwise.
+    Leading and trailing blanks are kept. ``sort_by`` sorts the whole table, file names in order.
     """
-    if single_file:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write {path} as many files")
-        df = df.coalesce(1)
-        df = df.sortWithinPartitions(*sort_by) if sort_by else df
-    elif sort_by:
+    if sort_by:
         df = df.orderBy(*sort_by)
 
     options = {k: v for k, v in dialect.options().items() if k != "multiLine"}

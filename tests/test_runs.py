@@ -10,9 +10,9 @@ from palaver import schemas
 from palaver.plans import jobs
 from palaver.plans.backfill import backfill
 from palaver.plans.daily import Lookups, empty_state, run_day
-from palaver.plans.publish import PER_NATCO, load, publish, published, publish_backfill
+from palaver.plans.publish import PER_NATCO, load, load_backfill, publish, published, publish_backfill
 from palaver.sources import feeds, lookups
-from palaver.workspace import write_once
+from palaver.workspace import matching, working_folder, write_once
 from tests.helpers import activity, bag, contents, events, natcos, rows
 
 ORDER = ("cg", "mt", "tp")
@@ -146,6 +146,49 @@ def test_historical_content_ids(spark):
     assert rows(second["d_content_type"]) == bag((10, None, None), (11, None, None), (10, "new", "N/A"), (11, "new", "N/A"))
 
 
+@pytest.mark.parametrize("seed", [1, 5])
+def test_backfill_goes_on_from_the_stored_state(spark, tmp_path, seed):
+    """First half by daily runs, the rest as one backfill of two NatCos: as if all had been daily runs."""
+    acts, evts, _ = random_feeds(spark, seed)
+    lookup = lookup_tables(spark)
+    processed = [(d, n) for d in DATES[:3] for n in ORDER]
+    first, second = processed[:4], [(d, n) for d, n in processed if n != "tp" and (d, n) not in processed[:4]]
+    second.append(("2024-01-01", "cg"))  # a rerun
+    second.sort(key=lambda run: (run[0], ORDER.index(run[1])))
+
+    def daily(folder, runs, start=0):
+        for i, (date, natco) in enumerate(runs, start):
+            current, state = load(spark, folder, natco, lookup)
+            results = run_day(one_run(acts, date, natco), one_run(evts, date, natco), current, state, date, natco)
+            publish(results, f"{folder}/l", folder, f"v{i:03d}", natco, date)
+
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    daily(one, first)
+    daily(two, first)
+    untouched = load(spark, one, "tp", lookup)[1].f_message_content
+    before = rows(untouched)
+    daily(one, second, len(first))
+
+    runs = spark.createDataFrame(second, "FileDate string, NatCo string")
+    runs = runs.withColumn("FileDate", F.col("FileDate").cast("date"))
+    asked = [F.struct("FileDate", "NatCo").isin([F.struct(F.lit(d).cast("date"), F.lit(n)) for d, n in second])]
+    current, state = load_backfill(spark, two, ["cg", "mt"], lookup)
+    results = backfill(acts.filter(asked[0]), evts.filter(asked[0]), current, ORDER, runs, state)
+    publish_backfill(results, f"{two}/l", two, "v100", second)
+
+    for natco in ORDER:
+        (lookup1, state1), (lookup2, state2) = load(spark, one, natco, lookup), load(spark, two, natco, lookup)
+        for name in vars(state1):
+            assert rows(getattr(state1, name)) == rows(getattr(state2, name)), (natco, name)
+        assert rows(lookup1.contents) == rows(lookup2.contents)
+    assert rows(load(spark, two, "tp", lookup)[1].f_message_content) == before
+    listed = [{r["name"]: r["path"] for r in published(spark, folder).collect() if r["name"].startswith("f_uau")} for folder in (one, two)]
+    assert listed[0].keys() == listed[1].keys()
+    for name in listed[0]:
+        stored = [spark.read.parquet(paths[name]) for paths in listed]
+        assert rows(stored[0]) == rows(stored[1], *stored[0].columns), name
+
+
 def test_an_empty_result_leaves_the_published_table(spark, tmp_path):
     lookup, output, shared = lookup_tables(spark), str(tmp_path / "o"), str(tmp_path / "l")
     results = run_day(activity(spark, {}), events(spark, {}), lookup, empty_state(spark), "2024-01-02", "mt")
@@ -170,11 +213,17 @@ def test_a_run_that_was_not_committed_leaves_no_trace(spark, tmp_path, monkeypat
         raise RuntimeError("lost")
 
     monkeypatch.setattr(module, "_commit", fail)
+    before = {r["name"]: tuple(r) for r in published(spark, output).collect()}
+    stored = {name: rows(getattr(load(spark, output, "mt", lookup)[1], name)) for name in vars(load(spark, output, "mt", lookup)[1])}
+    again = {name: df.unionAll(df) for name, df in results.items()}
     with pytest.raises(RuntimeError):
-        publish({"d_agent": results["d_agent"].filter("false")}, shared, output, "v2", "mt", "2024-01-02")
+        publish(again, shared, output, "v2", "mt", "2024-01-02")
     monkeypatch.undo()
     _, state = load(spark, output, "mt", lookup)
     assert rows(state.d_agent) == bag((1, 1, "bot"))
+    assert {name: rows(getattr(state, name)) for name in stored} == stored
+    assert {r["name"]: tuple(r) for r in published(spark, output).collect()} == before
+    assert len(before) == 14
 
 
 def feed_file(folder, name, names, *lines):
@@ -246,7 +295,26 @@ def test_a_day_without_rows_is_not_processed(spark, tmp_path):
 def test_backfill_publishes_every_natco(spark, tmp_path):
     acts, evts, runs = random_feeds(spark, 4)
     output = str(tmp_path / "o")
-    names = publish_backfill(backfill(acts, evts, lookup_tables(spark), ORDER), str(tmp_path / "l"), output, "v1", list(ORDER))
+    names = publish_backfill(
+        backfill(acts, evts, lookup_tables(spark), ORDER), str(tmp_path / "l"), output, "v1", sorted(runs)
+    )
     assert {n for n in names if n.startswith("acc_users_daily_")} == {
         f"acc_users_daily_{r['NatCo']}" for r in acts.select("NatCo").distinct().collect()
     }
+
+
+def test_jobs_read_the_lookup_folder_pass_over_absent_files_and_clean_up(spark, tmp_path):
+    inbox, shared, output = tmp_path / "in", tmp_path / "l", str(tmp_path / "o")
+    inbox.mkdir()
+    shared.mkdir()
+    (shared / "NatCoMapping.csv").write_text("NatCo;NatCoID\nmt;1\nmk;9\n")
+    write_files(inbox, ("2024-01-01", "mk"), ("2024-01-02", "mt"))
+    asked = {"file_dates": ["2024-01-01", "2024-01-02"], "natcos": ["mk", "mt"]}
+    assert jobs.process_backfill(spark, str(inbox), str(shared), output, **asked)
+    assert rows(load(spark, output, "mk")[1].f_message_conversation, "NatCoID") == bag((9,))
+    assert jobs.process_day(spark, str(inbox), str(shared), output, "2024-01-05", "mk") == []
+    path = jobs.process_users(spark, output, lookup_path=str(shared))
+    assert {r["name"]: r["path"] for r in published(spark, output).collect()}["f_uau"] == path
+    folder = f"{working_folder(spark)}/palaver/{spark.sparkContext.applicationId}"
+    assert matching(spark, f"{folder}/run-*") == []
+    assert [x[:2] for x in feeds.present(spark, str(inbox), "events", ["2024-01-0?"], ["m*"])] == [("2024-01-01", "mk"), ("2024-01-02", "mt")]
