@@ -1,6 +1,7 @@
 """Every registered query: an operator of the library over the whole test tables."""
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -284,14 +285,13 @@ def scd_agent_owner(f: Feeds) -> DataFrame:
 
 @query
 def scd_agent(f: Feeds) -> DataFrame:
-    """Agents of the early events, then those of all activity and the late events."""
+    """Agents of the early events, then those of all activity and the late events, which only the merges number."""
     early, late = map(owned_agents, early_and_late(f))
-    owners = dimensions.daily_agent_owners(early)
+    owners = write_once(dimensions.daily_agent_owners(early), "owners")
     old = dimensions.daily_agents(f.activity(wide=True).filter(F.lit(False)), early, owners)
-    new = dimensions.daily_agents(
-        f.activity(wide=True), late, dimensions.merge_agent_owners(owners, dimensions.daily_agent_owners(late))
-    )
-    return dimensions.merge_agents(old, new)
+    merged = write_once(dimensions.merge_agent_owners(owners, dimensions.owner_names(late)), "owners")
+    new = dimensions.with_owner(dimensions.agent_ids(f.activity(wide=True), late), late, merged)
+    return dimensions.merge_agents(write_once(old, "agents"), new)
 
 
 @query
@@ -432,8 +432,12 @@ def run_daily_all(f: Feeds) -> DataFrame:
         df = before[table]
         return df.filter(F.col("NatCo") == NATCO) if table in publish.PER_NATCO else df
 
-    state = daily.State(**{t: staging.conform(stored(t), s) for t, s in daily.STATE_SCHEMAS.items()})
-    contents = write_once(before["ContentDescriptionMapping"], "mapping")
+    names = list(daily.STATE_SCHEMAS)
+    written = concurrently(
+        *[partial(write_once, staging.conform(stored(t), daily.STATE_SCHEMAS[t]), t) for t in names],
+        partial(write_once, before["ContentDescriptionMapping"], "mapping"),
+    )
+    state, contents = daily.State(**dict(zip(names, written))), written[-1]
     lookup = daily.Lookups(lookup.natcos, lookup.conversation_types, contents)
     results = daily.run_day(activity.filter(this_run), events.filter(this_run), lookup, state, ACTIVITY_DAY, NATCO)
 
@@ -525,3 +529,38 @@ def backfill_users(f: Feeds) -> DataFrame:
     _, agents = backfilled_dims(*digests(f))
     accumulator = backfill.user_accumulator(f.activity(early=True), agents)
     return users.uau_daily(users.user_months(accumulator, lookups.natcos(f.spark), ["NatCo"]), ["NatCo"])
+
+
+def onto_state(f: Feeds, table: str, wide: bool = False) -> DataFrame:
+    """A table after a backfill of the dates up to one, and then of the later dates onto the state that it left."""
+    activity, events = f.activity(early=True, wide=wide), f.events(joint=True, wide=wide)
+    first = F.col("FileDate") <= F.lit(ACTIVITY_DAY).cast("date")
+    lookup = daily.seed_lookups(f.spark)
+    before = backfill.backfill(activity.filter(first), events.filter(first), lookup)
+    names = list(daily.STATE_SCHEMAS)
+    written = concurrently(
+        *[partial(write_once, before[t], t) for t in names], partial(write_once, before["ContentDescriptionMapping"], "mapping")
+    )
+    lookup = daily.Lookups(lookup.natcos, lookup.conversation_types, written[-1])
+    state = dict(zip(names, written))
+    return backfill.backfill(activity.filter(~first), events.filter(~first), lookup, state=state)[table]
+
+
+@query
+def backfill_onto_state_facts(f: Feeds) -> DataFrame:
+    return onto_state(f, "f_message_content")
+
+
+@query
+def backfill_onto_state_average_duration(f: Feeds) -> DataFrame:
+    return onto_state(f, "f_conversations_and_sm")
+
+
+@query
+def backfill_onto_state_dims(f: Feeds) -> DataFrame:
+    return onto_state(f, "d_agent", wide=True)
+
+
+@query
+def backfill_onto_state_users(f: Feeds) -> DataFrame:
+    return onto_state(f, "f_uau_daily")

@@ -546,3 +546,9 @@ ORACLES: dict[str, str] = {
     ),
 }
 ORACLES["merge_touched_dates"] = ORACLES["merge_message_content"]
+
+# Dates one half after the other, on the state in between, come to the same as all at once.
+ORACLES["backfill_onto_state_facts"] = ORACLES["backfill_facts"]
+ORACLES["backfill_onto_state_average_duration"] = ORACLES["backfill_average_duration"]
+ORACLES["backfill_onto_state_dims"] = ORACLES["backfill_dims"]
+ORACLES["backfill_onto_state_users"] = ORACLES["backfill_users"]
