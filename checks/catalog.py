@@ -412,6 +412,30 @@ def uau_total(f: Feeds) -> DataFrame:
     return users.uau_total(months_of(f))
 
 
+def months_of_years(f: Feeds) -> DataFrame:
+    return users.user_months(f.years(), lookups.natcos(f.spark))
+
+
+@query
+def uau_daily_years(f: Feeds) -> DataFrame:
+    return users.uau_daily(months_of_years(f))
+
+
+@query
+def uau_monthly_years(f: Feeds) -> DataFrame:
+    return users.uau_monthly(months_of_years(f))
+
+
+@query
+def uau_yearly_years(f: Feeds) -> DataFrame:
+    return users.uau_yearly(months_of_years(f))
+
+
+@query
+def uau_total_years(f: Feeds) -> DataFrame:
+    return users.uau_total(months_of_years(f))
+
+
 @query
 def uau_cross_natco(f: Feeds) -> DataFrame:
     return users.users_across_natcos(accumulator_of(f), lookups.natcos(f.spark))

@@ -76,6 +76,15 @@ def events_sql(wide: bool = False, joint: bool = False) -> str:
         FROM {{lineitem}} GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey) t"""
 
 
+def years_sql() -> str:
+    """An accumulator over several years, from the orders: users come back in other months and years."""
+    return f"""
+    SELECT CAST(o_orderdate AS DATE) AS FileDate, CAST(o_orderdate AS DATE) AS Date, {natco("o_custkey")} AS NatCo,
+           CAST(o_custkey % 7 AS BIGINT) AS AgentID,
+           CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE 'u' || CAST(o_custkey % 97 AS STRING) END AS user_id
+    FROM {{orders}}"""
+
+
 @dataclass(frozen=True)
 class Feeds:
     """The views of one test-data folder."""
@@ -92,6 +101,9 @@ class Feeds:
     def events(self, **variant: bool) -> DataFrame:
         return self.spark.sql(events_sql(**variant), orders=self.table("orders"), lineitem=self.table("lineitem"))
 
+    def years(self) -> DataFrame:
+        return self.spark.sql(years_sql(), orders=self.table("orders"))
+
     @cached_property
     def base_activity(self) -> DataFrame:
         return self.activity()

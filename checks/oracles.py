@@ -1,8 +1,26 @@
 """The registered queries in plain SQL over the same tables, written from the semantics, not from the Spark plans."""
 
-from checks.fixtures import ACTIVITY_DAY, EVENTS_DAY, activity_sql, events_sql
-from palaver.plans.backfill import NATCO_ORDER
-from palaver.sources.lookups import CONTENTS, CONVERSATION_TYPES, NATCOS
+from checks.fixtures import ACTIVITY_DAY, EVENTS_DAY, activity_sql, events_sql, years_sql
+
+# The lookup rows and the order of NatCos, spelled out so that a wrong one in the library shows.
+NATCO_ORDER = ("tc", "tp", "cg", "cr", "mk", "mt", "st")
+NATCOS = [("mt", 1), ("cg", 2), ("st", 3), ("cr", 4), ("tc", 5)]
+CONVERSATION_TYPES = [(1, "A2P", "Application to Person"), (2, "P2A", "Person to Application")]
+CONTENTS = [
+    (1, "file_transfer", " File Transfer"),
+    (2, "text_message", "Text Message"),
+    (3, "suggestion_tap", "Suggestion Tap"),
+    (4, "rich_card/carousel", "Rich Card"),
+    (5, "rich_card", "Rich card"),
+    (6, "rich_card_carousel", "Rich card carousel"),
+    (7, "file_transfer_image", "File transfer image"),
+    (8, "file_transfer_video", "File transfer video"),
+    (9, "suggested_reply_tap", "Suggested reply tap"),
+    (10, "suggested_action_tap", "Suggested action tap"),
+    (11, "delivery_receipt_event", "Delivery receipt event"),
+    (12, "read_receipt_event", "Read receipt event"),
+    (13, "spam_report", "Spam report"),
+]
 
 
 def _feed(sql: str) -> str:
@@ -161,12 +179,11 @@ def accumulator_sql(agents: str = "agents") -> str:
     FROM activity LEFT JOIN {agents} a ON a.Agent = split_part(agent_id, '@', 1)"""
 
 
-def uau(period: str, name: str) -> str:
+def uau(period: str, name: str, years: bool = False) -> str:
     keys = "NatCoID, AgentID"
     period = period + ", " if period else ""
     return _with(
-        *BASE,
-        ("acc", accumulator_sql()),
+        *((NATCO, ("acc", _feed(years_sql()))) if years else (*BASE, ("acc", accumulator_sql()))),
         body=f"SELECT {period}{keys}, count(DISTINCT user_id) AS {name} FROM acc LEFT JOIN natco USING (NatCo) GROUP BY ALL",
     )
 
@@ -552,3 +569,7 @@ ORACLES["backfill_onto_state_facts"] = ORACLES["backfill_facts"]
 ORACLES["backfill_onto_state_average_duration"] = ORACLES["backfill_average_duration"]
 ORACLES["backfill_onto_state_dims"] = ORACLES["backfill_dims"]
 ORACLES["backfill_onto_state_users"] = ORACLES["backfill_users"]
+ORACLES["uau_daily_years"] = uau("Date", "UAU_daily", years=True)
+ORACLES["uau_monthly_years"] = uau("strftime(Date, '%Y-%m') AS YearMonth", "UAU_monthly", years=True)
+ORACLES["uau_yearly_years"] = uau("CAST(year(Date) AS INT) AS Year", "UAU_yearly", years=True)
+ORACLES["uau_total_years"] = uau("", "UAU_total", years=True)

@@ -16,7 +16,7 @@ from palaver import schemas
 from palaver.operators.staging import conform
 from palaver.plans.daily import STATE_SCHEMAS, Lookups, State, seed_lookups
 from palaver.sources.delimited import SEMICOLONS, read_delimited, write_delimited
-from palaver.workspace import concurrently, literal_table
+from palaver.workspace import concurrently, literal_table, matching, remove
 
 # Which tables are kept per NatCo, and which belong to the lookups of the next run.
 PER_NATCO = (
@@ -176,6 +176,23 @@ def published(spark: SparkSession, output_path: str) -> DataFrame:
     return current.filter("slice is null or _whole is null or version > _whole").drop("_whole")
 
 
+def vacuum(spark: SparkSession, lookup_path: str, output_path: str) -> list[str]:
+    """Delete what versions hold beside the current tables, and return the paths. For times when no run is under way."""
+
+    def plain(path: str) -> str:
+        return path.removeprefix("file:").rstrip("/").replace("///", "/")
+
+    current = [plain(row["path"]) for row in published(spark, output_path).collect() if row["path"]]
+    stored = [path for root in {lookup_path.rstrip("/"), output_path.rstrip("/")} for path in matching(spark, f"{root}/*/*")]
+    stored = [path for path in stored if f"/{_LIST}/" not in path]
+    unused = [path for path in stored if not any(f"{kept}/".startswith(f"{plain(path)}/") for kept in current)]
+    versions = {row["version"] for row in published(spark, output_path).collect()}
+    unused = [path for path in unused if path.split("/")[-2] <= max(versions, default="")]
+    for path in unused:
+        remove(spark, path)
+    return sorted(unused)
+
+
 def _read(spark: SparkSession, table: str, path: str | list[str], fmt: str) -> DataFrame:
     if fmt == "csv":
         return read_delimited(spark, path, SCHEMAS[table], SEMICOLONS)

@@ -10,7 +10,7 @@ from palaver import schemas
 from palaver.plans import jobs
 from palaver.plans.backfill import backfill
 from palaver.plans.daily import Lookups, empty_state, run_day
-from palaver.plans.publish import PER_NATCO, load, load_backfill, publish, published, publish_backfill
+from palaver.plans.publish import PER_NATCO, load, load_backfill, publish, published, publish_backfill, vacuum
 from palaver.sources import feeds, lookups
 from palaver.workspace import matching, working_folder, write_once
 from tests.helpers import activity, bag, contents, events, natcos, rows
@@ -200,6 +200,12 @@ def test_an_empty_result_leaves_the_published_table(spark, tmp_path):
     versions = {r["name"]: r["version"] for r in published(spark, output).collect()}
     assert versions.pop("f_uau_total_mt") == "v1"
     assert set(versions.values()) == {"v2"}
+    before = {r["name"]: tuple(r) for r in published(spark, output).collect()}
+    gone = vacuum(spark, shared, output)
+    assert len(gone) == 14 and not any("f_uau_total" in x and "/v1/" in x for x in gone)
+    assert vacuum(spark, shared, output) == []
+    assert {r["name"]: tuple(r) for r in published(spark, output).collect()} == before
+    assert rows(load(spark, output, "mt", lookup)[1].d_agent) == bag((1, 1, "bot"))
 
 
 def test_a_run_that_was_not_committed_leaves_no_trace(spark, tmp_path, monkeypatch):
