@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palaver.llm import op1_decontamination, op2_lines, op3_packing, op4_quality, op10_jaccard
 from palaver.llm.tables import read
-from palaver.workspace import write_once
+from palaver.workspace import new_path, remove, run_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +55,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the documents of a folder."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages, one after the other, over the documents of a folder.
+
+    A stage's working tables go when its result is written, and its result when the next stage's is.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = write_once(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_path(spark, name.replace(" ", "-"))
+        with run_folder(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.schema(made.schema).parquet(path), path
     return docs

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from palaver.llm import op3_packing, op4_quality
-from palaver.workspace import write_once
+from palaver.workspace import matching, working_folder, write_once
 from tests.llm.cases import shingles
 from tests.llm.test_decontamination import greedy, words
 from tests.llm.test_lines import brute
@@ -56,3 +56,15 @@ def test_every_stage_keeps_what_its_plain_version_keeps(spark):
         assert used.get(r.sequence_id, 0) == r.offset
         used[r.sequence_id] = r.offset + r.length
     assert max(used.values()) <= 1024 and len(used) <= sum(used.values()) / 1024 * 1.05 + 1
+
+
+def test_run_leaves_only_its_result(spark):
+    found = corpus_pipeline.run(spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = write_once(stage(spark, docs, SF), "stage")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(found.select(columns).collect()) == sorted(docs.select(columns).collect())
+    folder = f"{working_folder(spark)}/palaver/{spark.sparkContext.applicationId}"
+    assert matching(spark, f"{folder}/run-*") == [] and matching(spark, f"{folder}/quality-classifier-*") == []
+    assert len(matching(spark, f"{folder}/best-fit-packing-*")) == 1
