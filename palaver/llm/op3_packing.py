@@ -10,6 +10,8 @@ sibling's such sequence. It is thus enough to pass up the ``CARRY`` sequences wi
 the tree; the others are done, with all their pieces.
 """
 
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,22 +43,30 @@ class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit integers, of a byte-level BPE vocabulary.
 
     The ids are those of the tokenizer file with ``add_special_tokens=False``; the same vocabulary as ranks is five times
-    as fast. Pre-tokens do not cross a space before a character that is not white space, so the ids of what is between
-    such spaces are kept in a table of at most ``CACHE`` entries.
+    as fast. ``added`` are the ids of the file's added tokens: a text is split at them first, and they get their id.
+    Pre-tokens do not cross a space before a character that is not white space, so the ids of what is between such spaces
+    are kept in a table of at most ``CACHE`` entries.
     """
 
-    def __init__(self, ranks_path: str):
+    def __init__(self, ranks_path: str, added: dict[str, int] | None = None):
         import base64
 
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, bytes] = {}
+        self.added = {token: np.array([i], "<u4").tobytes() for token, i in (added or {}).items()}
+        self.split = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})").split if self.added else None
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if self.split and len(spans := self.split(text)) > 1:
+            return b"".join(self.added[x] if i % 2 else self._between(x) for i, x in enumerate(spans))
+        return self._between(text)
+
+    def _between(self, text: str) -> bytes:
         parts = text.split(" ")
         if not all(part and not part[0].isspace() for part in parts[1:]):
             return self._plain(text)
@@ -71,6 +81,15 @@ class Encoder:
         return b"".join(found)
 
 
+def added_tokens(tokenizer_path: str) -> dict[str, int]:
+    """The ids of a tokenizer file's added tokens, which are taken as they stand anywhere in a text."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    if odd := [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]:
+        raise ValueError(f"added tokens that are not taken as they stand: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """For each item its bin and its offset there, and the used length of each bin; longest items first."""
     order = np.argsort(-lengths, kind="stable")
@@ -109,13 +128,15 @@ def pieces(docs: DataFrame, ranks_path: str | None = None, capacity: int = CAPAC
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids`` (little-endian unsigned 32-bit) of every document.
 
     A document is the ids of its text and then ``END``. A longer one than ``capacity`` is cut from its end, so that only
-    its first piece is shorter. A null or empty text is the one id ``END``.
+    its first piece is shorter. A null or empty text is the one id ``END``. The tokenizer file beside the ranks, of the
+    same name, gives the added tokens.
     """
     ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    added = added_tokens(ranks_path.removesuffix(".tiktoken") + ".json")
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path)
+        encoder = Encoder(ranks_path, added)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []

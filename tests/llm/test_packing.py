@@ -57,3 +57,15 @@ def test_the_table_of_known_ids_does_not_change_them():
     text = "the cat, the cat and the dog"
     assert encoder.encode(text) == encoder.encode(text) == encoder._plain(text)
     assert zlib.crc32(encoder.encode("")) == 0
+
+
+def test_added_tokens_have_their_ids(spark):
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    token = "<|endoftext|>"
+    cases = [f"a {token} b", token, f"{token}{token} x", f"a  {token}\n b", f" \n{token}  ", f"x{token}y z {token[:-1]} {token.upper()}", f"é {token} " * 60]
+    expected = {i: np.array([*reference.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for i, t in enumerate(cases)}
+    assert np.frombuffer(expected[0], "<u4").tolist() == [64, 220, 50256, 275, 2]
+    found = defaultdict(dict)
+    for r in pieces(table(spark, list(enumerate(cases))), capacity=100).collect():
+        found[r.doc_id][r.piece] = bytes(r.ids)
+    assert {i: b"".join(x[k] for k in sorted(x)) for i, x in found.items()} == expected
