@@ -8,6 +8,7 @@ without such a container uses its own main one.
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -29,38 +30,128 @@ BLOCKS = CONTAINERS | frozenset(
     "address aside blockquote caption dd details dialog dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html "
     "legend li menu nav ol p pre summary table tbody tfoot th thead tr ul".split()
 )
-EXCLUDED_TAGS = frozenset("aside button dialog footer form head header input menu nav object select svg".split())
-EXCLUDED_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alerts?|menu|nav\w*|breadcrumbs?|side|sidebar|widgets?"
-    r"|footer|header|masthead|comments?|disqus|replies|discussion|share|sharing|social|related|recommended|newsletter|subscribe|signup|login"
-    r"|popup|modal|search|forms?|contentinfo|complementary|navigation)(?:$|[-_\s])",
-    re.I,
+EXCLUDED_TAGS = frozenset("aside button dialog footer head header input menu nav object select svg".split())
+ARTICLES = frozenset("article main".split())
+UNNAMED = frozenset("html body h1 h2 h3 h4 h5 h6".split())
+#: Where an id is that of a part of the layout; on sections and headings it is a word of their title.
+WITH_IDS = frozenset("div center td table ul ol form".split())
+HEADER, COMMENTS, TEASERS, INSERTS, OTHER = range(1, 6)
+KINDS = (
+    (re.compile(r"headers?|masthead|banners?"), HEADER),
+    (re.compile(r"comments?|disqus|replies"), COMMENTS),
+    (re.compile(r"related|recommended"), TEASERS),
+    (re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|share|sharing|newsletter|subscribe|signup|login|popup|modal"), INSERTS),
+    (
+        re.compile(
+            r"notices?|alerts?|menus?|nav|navbar|navigation|breadcrumbs?|side|sidebars?|widgets?|footers?|social|search|forms?|contentinfo"
+            r"|complementary"
+        ),
+        OTHER,
+    ),
 )
+#: Words that say no more than where or how a named part is.
+PLACES = frozenset("site main top bottom left right global primary secondary area bar wrapper wrap box container block inner outer list links buttons button items".split())
+#: Words that as an id are as often that of a chapter.
+CHAPTERS = re.compile(r"search|forms?|social|notices?|alerts?|side|share|sharing|replies|related|recommended|navigation|promo\w*|sponsor\w*|advert\w*")
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
+def kind_of_name(name: str) -> int:
+    """What a whole class, id or role token names; 0 unless all its words are names of boilerplate or of places."""
+    kind = 0
+    for word in re.split(r"[-_]+", name.lower()):
+        if word not in PLACES and not word.isdigit():
+            own = next((k for names, k in KINDS if names.fullmatch(word)), 0)
+            if not own:
+                return 0
+            kind = own if kind in (0, HEADER) else kind
+    return kind
+
+
+@lru_cache(100_000)
+def kind_of(tag: str, classes: str, name: str, role: str) -> int:
+    """The kind of boilerplate that an element's class, id and role speak for; 0 if none."""
+    roles, kinds = role.split(), classes.split()
+    if tag in UNNAMED or "main" in roles or "article" in roles:
+        return 0
+    tokens = kinds + roles
+    if tag in WITH_IDS and "section" not in kinds and not CHAPTERS.fullmatch(name.lower()):
+        tokens.append(name)
+    return next((k for x in tokens if (k := kind_of_name(x))), 0)
+
+
+class Named:
+    """The elements of a page whose names, or whose being a form, speak for boilerplate; number 0 is the page itself."""
+
+    def __init__(self):
+        self.parents, self.kinds, self.holds, self.likes = [0], [0], [False], [None]
+
+    def add(self, parent: int, kind: int, like: tuple) -> int:
+        """A further one; ``like`` is the same for those that a template repeats."""
+        self.parents.append(parent)
+        self.kinds.append(kind)
+        self.holds.append(False)
+        self.likes.append((parent, *like))
+        return len(self.parents) - 1
+
+    def article(self, at: int) -> None:
+        """An article or main element begins in ``at``; comments and teasers can have their own."""
+        while not self.holds[at] and self.kinds[at] not in (COMMENTS, TEASERS):
+            self.holds[at] = True
+            at = self.parents[at]
+
+    def left_out(self, found: list[tuple[str, list]]) -> list[bool]:
+        """Which go. One stays that holds an article or main element, or with those like it most of the page's text that
+        is no link, or most of that in articles. If there is an article, comments go and inserts such as advertisements
+        are measured by what is in articles only. If no text is left, all stay."""
+        n = len(self.parents)
+        sizes = [[0, 0] for _ in range(n)]
+        for _, parts in found:
+            for at, text, link, within in parts:
+                if not link:
+                    size = len(text.strip())
+                    sizes[at][0] += size
+                    sizes[at][1] += size * within
+        gone = [self.holds[0] and kind == COMMENTS for kind in self.kinds]
+        own = [size[0] for size in sizes]
+        for at in range(n - 1, 0, -1):
+            if not gone[at]:
+                for k in (0, 1):
+                    sizes[self.parents[at]][k] += sizes[at][k]
+        alike: dict[tuple, list[int]] = {}
+        for at in range(1, n):
+            sums = alike.setdefault(self.likes[at], [0, 0])
+            for k in (0, 1):
+                sums[k] += sizes[at][k]
+        for at in range(1, n):
+            sums = alike[self.likes[at]]
+            stays = self.holds[at] or any(2 * sums[k] > sizes[0][k] for k in ((1,) if self.holds[0] and self.kinds[at] == INSERTS else (0, 1)))
+            gone[at] = gone[self.parents[at]] or gone[at] or not stays
+        return gone if any(size and not out for size, out in zip(own, gone)) else [False] * n
+
+
 def blocks(html: str) -> list[tuple[str, str, int]]:
-    """The blocks of text outside boilerplate: (path of their containers, text, characters of links), in page order."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, excluded, link
+    """The blocks of text outside boilerplate: (path of their containers, text, characters of links), in page order.
+
+    Names are evidence only: ``Named.left_out`` says which named elements go when the whole page is read.
+    """
+    stack: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, 0)]  # tag, path, excluded, link, named
     open_tags: dict[str, int] = {}
-    found, parts, links, at = [], [], 0, 0
+    found, parts, at, named = [], [], 0, Named()
 
     def flush() -> None:
-        nonlocal links
+        nonlocal parts
         if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                found.append((stack[-1][1], text, links))
-            parts.clear()
-        links = 0
+            found.append((stack[-1][1], parts))
+            parts = []
 
     def say(text: str) -> None:
-        nonlocal links
-        if text and not stack[-1][2]:
-            text = unescape(text)
-            parts.append(text)
-            if stack[-1][3]:
-                links += len(text)
+        _, _, excluded, link, name = stack[-1]
+        if text and not excluded:
+            parts.append((name, unescape(text), link, within()))
+
+    def within() -> bool:
+        return bool(open_tags.get("article") or open_tags.get("main"))
 
     def pop() -> None:
         open_tags[stack.pop()[0]] -= 1
@@ -95,19 +186,35 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
             _close(stack, pop, CLOSED_BY[tag])
         if tag in VOID or match[3].endswith("/") and tag not in BLOCKS:
             continue
-        _, path, excluded, link = stack[-1]
+        _, path, excluded, link, name = stack[-1]
         names = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(match[3])} if "=" in match[3] else {}
-        own = tag in EXCLUDED_TAGS and not (tag == "header" and (open_tags.get("article") or open_tags.get("main")))
-        if not own and names and tag != "body":
-            own = any(EXCLUDED_NAMES.search(v) for v in names.values())
+        inside = within()
+        own = tag in EXCLUDED_TAGS and not (tag == "header" and inside)
+        if not (own or excluded):
+            kind = kind_of(tag, names.get("class", ""), names.get("id", ""), names.get("role", "")) if names else 0
+            if kind == HEADER and inside or kind and (open_tags.get("pre") or open_tags.get("code")):
+                kind = 0
+            if tag == "form":
+                kind = kind or OTHER
+            if tag in ARTICLES and not (kind == COMMENTS and inside):
+                kind = 0
+                named.article(name)
+            if kind:
+                name = named.add(name, kind, (tag, names.get("class", "")))
         if tag in CONTAINERS:
-            kind = names.get("class", "").split()
-            path += ">" + tag + ("." + re.sub(r"\d+", "#", kind[0]) if kind else "")
-        stack.append((tag, path, excluded or own, link or tag == "a"))
+            classes = names.get("class", "").split()
+            path += ">" + tag + ("." + re.sub(r"\d+", "#", classes[0]) if classes else "")
+        stack.append((tag, path, excluded or own, link or tag == "a", name))
         open_tags[tag] = open_tags.get(tag, 0) + 1
     say(html[at:])
     flush()
-    return found
+    gone = named.left_out(found) if len(named.parents) > 1 else [False]
+    said = []
+    for path, parts in found:
+        parts = [x for x in parts if not gone[x[0]]]
+        if text := " ".join("".join(x[1] for x in parts).split()):
+            said.append((path, text, sum(len(x[1]) for x in parts if x[2])))
+    return said
 
 
 def _close(stack, pop, tags: set[str]) -> None:

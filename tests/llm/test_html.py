@@ -36,3 +36,33 @@ def test_texts_of_the_test_pages_are_their_articles(spark):
         article = re.search(r"<article>(.*?)</article>", row.html, re.S)[1]
         parts = (" ".join(html.unescape(re.sub(r"<[^>]+>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article))
         assert found[row.page_id] == "\n".join(x for x in parts if x)
+
+
+LONG = "a sentence of the article with some words in it. " * 8
+
+
+def test_names_do_not_veto_the_article():
+    for name in ("content no-sidebar", "post-content has-sidebar", "layout with-menu", "social-science", "html-forms", "content sidebar", "widget"):
+        for wrap in (f'<div class="{name}"><h1>T</h1><p>{LONG}</div>', f'<article class="{name}"><h1>T</h1><p>{LONG}</article>', f'<div class="{name}"><main><h1>T</h1><p>{LONG}</main></div>'):
+            page = f'<body><nav><a href="/">x</a></nav><div class="ad">buy</div>{wrap}<div class="site-footer">f</div>'
+            assert text_at(blocks(page), None) == "T\n" + LONG.strip(), (name, wrap)
+    page = f'<body><form action="/"><div class="search-form">find</div><article><h1>T</h1><p>{LONG}</article></form>'
+    assert text_at(blocks(page), None) == "T\n" + LONG.strip()
+    for name in ("discussion", "side-effects", "search-algorithms", "search"):
+        page = f'<body><article><div class="entry-header header"><h1>T</h1></div><p>{LONG}<section id="{name}"><h2 id="{name}">S</h2><p>more</section></article>'
+        assert text_at(blocks(page), None) == "T\n" + LONG.strip() + "\nS\nmore", name
+
+
+def test_parts_that_a_template_repeats_stay_together():
+    parts = [f"{n} {LONG}".strip() for n in ("one", "two", "three")]
+    page = "<body><h1>T</h1>" + "".join(f'<div class="widget"><p>{x}</div>' for x in parts)
+    assert [b[1] for b in blocks(page)] == ["T", *parts]
+
+
+def test_named_boilerplate_still_goes():
+    names = ("ad", "sidebar", "main-nav", "social-share", "related", "site-header", "login-form", "widget-area", "comments", "breadcrumbs")
+    boxes = "".join(f'<div class="{n}"><p>box</div>' for n in names) + '<div id="sidebar">box</div><div role="navigation">box</div><form>box</form>'
+    assert text_at(blocks(f"<body>{boxes}<h1>T</h1><p>{LONG}"), None) == "T\n" + LONG.strip()
+    comments = f'<div class="comments"><article class="comment">{LONG * 3}</article></div>'
+    assert text_at(blocks(f"<body><article><h1>T</h1><p>{LONG}{comments}</article>"), None) == "T\n" + LONG.strip()
+    assert text_at(blocks(f'<body><div class="ad">{LONG}</div><article><h1>T</h1><p>short</article>'), None) == "T\nshort"
