@@ -1,9 +1,9 @@
 """Operator 6: main text of web pages by consensus of each host's pages on a container path.
 
-Every page scores its containers by the text in them that is no link and no boilerplate, and follows the containers that
-hold most of it down to its main one. It votes for that container's path of tags and classes, in which numbers are
+Every page scores its containers by the text in them that is no link and no boilerplate; its main one is the innermost that
+holds all of it, or an article or main element with most of it. It votes for that container's path of tags and classes, in which numbers are
 generalised. Spark counts the votes by host and path. Then every page is read again with its host's winning path; a page
-without such a container uses its own main one.
+without such a container, or with a small part of its text there, uses its own main one.
 """
 
 import re
@@ -19,6 +19,7 @@ from palaver.llm.tables import read
 from palaver.workspace import write_once
 
 DOMINANT = 0.75
+SMALL = 0.5
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 RAW = re.compile(r"</(script|style|noscript|template|textarea|title|iframe|xmp)", re.I)
@@ -100,13 +101,13 @@ class Named:
             self.holds[at] = True
             at = self.parents[at]
 
-    def left_out(self, found: list[tuple[str, list]]) -> list[bool]:
+    def left_out(self, found: list[tuple[str, list, int]]) -> list[bool]:
         """Which go. One stays that holds an article or main element, or with those like it most of the page's text that
         is no link, or most of that in articles. If there is an article, comments go and inserts such as advertisements
         are measured by what is in articles only. If no text is left, all stay."""
         n = len(self.parents)
         sizes = [[0, 0] for _ in range(n)]
-        for _, parts in found:
+        for _, parts, _ in found:
             for at, text, link, within in parts:
                 if not link:
                     size = len(text.strip())
@@ -130,8 +131,9 @@ class Named:
         return gone if any(size and not out for size, out in zip(own, gone)) else [False] * n
 
 
-def blocks(html: str) -> list[tuple[str, str, int]]:
-    """The blocks of text outside boilerplate: (path of their containers, text, characters of links), in page order.
+def blocks(html: str) -> list[tuple[str, str, int, int]]:
+    """The blocks of text outside boilerplate, in page order: (path of their containers, text, characters of links, level
+    of the heading they are in or 0).
 
     Names are evidence only: ``Named.left_out`` says which named elements go when the whole page is read.
     """
@@ -142,7 +144,7 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
     def flush() -> None:
         nonlocal parts
         if parts:
-            found.append((stack[-1][1], parts))
+            found.append((stack[-1][1], parts, heading()))
             parts = []
 
     def say(text: str) -> None:
@@ -150,6 +152,9 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
         if text and not excluded:
             parts.append((name, unescape(text), link, within()))
 
+    def heading() -> int:
+        return next((i for i in range(1, 7) if open_tags.get(f"h{i}")), 0)
+
     def within() -> bool:
         return bool(open_tags.get("article") or open_tags.get("main"))
 
@@ -210,10 +215,10 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
     flush()
     gone = named.left_out(found) if len(named.parents) > 1 else [False]
     said = []
-    for path, parts in found:
+    for path, parts, level in found:
         parts = [x for x in parts if not gone[x[0]]]
         if text := " ".join("".join(x[1] for x in parts).split()):
-            said.append((path, text, sum(len(x[1]) for x in parts if x[2])))
+            said.append((path, text, sum(len(x[1]) for x in parts if x[2]), level))
     return said
 
 
@@ -228,12 +233,16 @@ def _close(stack, pop, tags: set[str]) -> None:
             return
 
 
-def main_path(found: list[tuple[str, str, int]]) -> str | None:
-    """The path of the container in which most of the text is; None if there is no text."""
+def main_path(found: list[tuple[str, str, int, int]]) -> str | None:
+    """The path of the container of the page's text; None if there is no text.
+
+    It is the outermost article or main element with at least ``DOMINANT`` of the text, or else the innermost container
+    outside of which there are only blocks of links. A heading of the first level counts as text though it is a link.
+    """
     scores: dict[str, int] = {}
     children: dict[str, set[str]] = {}
-    for path, text, links in found:
-        score = max(0, len(text) - 2 * links)
+    for path, text, links, level in found:
+        score = len(text) if level == 1 else max(0, len(text) - 2 * links)
         steps = path.split(">")
         for i in range(1, len(steps) + 1):
             prefix = ">".join(steps[:i])
@@ -243,20 +252,36 @@ def main_path(found: list[tuple[str, str, int]]) -> str | None:
     at = ""
     if not scores.get(at):
         return None
-    while at.rpartition(">")[2].split(".")[0] not in ("article", "main"):
-        best = max(sorted(children.get(at, ())), key=lambda c: scores[c], default=None)
-        if best is None or scores[best] < DOMINANT * scores[at]:
-            break
-        at = best
+    articles = [p for p, score in scores.items() if score >= DOMINANT * scores[at] and p.rpartition(">")[2].split(".")[0] in ARTICLES]
+    if articles:
+        return min(articles, key=lambda p: (p.count(">"), -scores[p], p))
+    while whole := [c for c in children.get(at, ()) if scores[c] == scores[at]]:
+        at = whole[0]
     return at
 
 
-def text_at(found: list[tuple[str, str, int]], path: str | None) -> str:
-    """The blocks in containers with this path, one a line; of the main container if the page has none with it."""
-    inside = [text for own, text, _ in found if path is not None and (own == path or own.startswith(path + ">"))]
-    if not inside and (own_path := main_path(found)) is not None:
-        inside = [text for own, text, _ in found if own == own_path or own.startswith(own_path + ">")]
-    return "\n".join(inside)
+def text_at(found: list[tuple[str, str, int, int]], path: str | None) -> str:
+    """The blocks in containers with this path, one a line.
+
+    Those of the page's own main container if it has none with the path, if all its headings of the first level are
+    elsewhere, or if less than ``SMALL`` of its text is in them and none of its headings of the highest level.
+    """
+
+    def within(path: str | None) -> list[tuple[str, str, int, int]]:
+        return [b for b in found if path is not None and (b[0] == path or b[0].startswith(path + ">"))]
+
+    def size(some: list[tuple[str, str, int, int]]) -> int:
+        return sum(max(0, len(text) - 2 * links) for _, text, links, _ in some)
+
+    def highest(some: list[tuple[str, str, int, int]]) -> int:
+        return min((level for *_, level in some if level), default=7)
+
+    inside = within(path)
+    first = highest(found)
+    elsewhere = first == 7 or highest(inside) > first
+    if not inside or elsewhere and (first == 1 or size(inside) < SMALL * size(found)):
+        inside = within(main_path(found)) or inside
+    return "\n".join(text for _, text, _, _ in inside)
 
 
 def host_of(url: Column) -> Column:

@@ -66,3 +66,35 @@ def test_named_boilerplate_still_goes():
     comments = f'<div class="comments"><article class="comment">{LONG * 3}</article></div>'
     assert text_at(blocks(f"<body><article><h1>T</h1><p>{LONG}{comments}</article>"), None) == "T\n" + LONG.strip()
     assert text_at(blocks(f'<body><div class="ad">{LONG}</div><article><h1>T</h1><p>short</article>'), None) == "T\nshort"
+
+
+SECTIONS = '<body><nav><a href="/">x</a></nav><div class="wrap"><h1><a href="/p">Title {i}</a></h1><p class="lead">A lead {i}.</p><div class="text"><p>{text}</p></div>{more}</div><div class="links"><a href="/a">one</a> <a href="/b">two</a></div>'
+
+
+def test_nothing_beside_the_largest_container_is_cut(spark):
+    long, short = LONG.strip() * 9, "<section><h2>Second</h2><p>short section</section>"
+    pages = [(i, f"https://h.example.com/{i}", SECTIONS.format(i=i, text=long, more="")) for i in range(4)]
+    pages += [(5, "https://s.example.com/5", f"<body><table><tr><td><h1>T</h1><td><p>{long}</table>{short}")]
+    pages += [(6, "https://h.example.com/6", SECTIONS.format(i=6, text=long, more=short))]
+    found = {r.page_id: r.text for r in main_texts(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert found[0] == f"Title 0\nA lead 0.\n{long}"
+    assert found[5] == f"T\n{long}\nSecond\nshort section"
+    assert found[6] == f"Title 6\nA lead 6.\n{long}\nSecond\nshort section"
+
+
+def test_a_small_block_at_the_hosts_path_does_not_hide_the_article(spark):
+    one = '<body><div class="post"><p>{a}</div>'
+    pages = [(i, f"https://h.example.com/{i}", one.format(a=f"{i} {LONG}")) for i in range(3)]
+    pages += [(3, "https://h.example.com/3", one.format(a="about the author") + f'<div class="story"><h1>T</h1><p>{LONG}</div>')]
+    pages += [(4, "https://h.example.com/4", one.format(a="about the author") + f'<div class="story"><p>{LONG}</div>')]
+    found = {r.page_id: r.text for r in main_texts(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert found[0] == f"0 {LONG}".strip()
+    assert found[3] == f"about the author\nT\n{LONG}".strip()
+    assert found[4] == f"about the author\n{LONG}".strip()
+
+
+def test_a_title_beside_the_hosts_path_is_kept(spark):
+    pages = [(i, f"https://h.example.com/{i}", f'<body><div class="text"><p>{i} {LONG}</div>') for i in range(3)]
+    pages += [(3, "https://h.example.com/3", f'<body><h1>T</h1><p>lead<div class="text"><p>3 {LONG}</div>')]
+    found = {r.page_id: r.text for r in main_texts(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert found[3] == f"T\nlead\n3 {LONG}".strip()
