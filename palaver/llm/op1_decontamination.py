@@ -1,6 +1,7 @@
 """Operator 1: benchmark decontamination by greedy string tiling.
 
-Every run of ``SEED`` words of the benchmark is a seed, named by its Karp-Rabin fingerprint. Documents emit the places of
+Every run of ``SEED`` words of the benchmark is a seed, named by its Karp-Rabin fingerprint; a shorter item is one as a
+whole. Documents emit the places of
 their own runs that may be seeds (a bitmap of fixed size tells, however large the benchmark is), and a join on the
 fingerprint gives the places that a document and an item share. All matches of ``SEED`` words or more are runs of such
 places on a diagonal, so tiling needs no text: the longest match whose words are all unmarked is marked in both texts,
@@ -29,25 +30,41 @@ COVERAGE = 0.6
 SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
-def places(texts: list[str], seed: int) -> Iterator[tuple[np.ndarray, int]]:
-    """For each text the fingerprints of its runs of ``seed`` words, and its number of words."""
+def places(texts: list[str], seed: int, shorter: tuple[int, ...] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """For each text the fingerprints of its runs of ``seed`` words with their places, and its number of words.
+
+    Also the first one of each different run of the ``shorter`` lengths; None takes the whole of a text that is shorter.
+    """
     hashes, begins = words([t.lower() for t in texts], SEPARATORS)
-    found = runs(hashes, seed)
+    found, more = runs(hashes, seed), [(n, runs(hashes, n)) for n in shorter or ()]
     for start, stop in zip(begins[:-1].tolist(), begins[1:].tolist()):
-        yield found[start : max(start, stop - seed + 1)], stop - start
+        n = stop - start
+        if shorter is None and 0 < n < seed:
+            yield runs(hashes[start:stop], n), np.zeros(1, np.int64), n
+            continue
+        own = found[start : max(start, stop - seed + 1)]
+        seeds, at = [own], [np.arange(len(own))]
+        for length, all_ in more:
+            once, first = np.unique(all_[start : max(start, stop - length + 1)], return_index=True)
+            seeds.append(once)
+            at.append(first)
+        yield np.concatenate(seeds), np.concatenate(at), n
 
 
-def seed_rows(table: DataFrame, key: str, seed: int, marks=None) -> DataFrame:
-    """``row``, ``key``, ``n_words``, ``place``, ``seed`` of every run of ``seed`` words that may be in the bitmap."""
+def seed_rows(table: DataFrame, key: str, seed: int, marks=None, shorter: tuple[int, ...] | None = None) -> DataFrame:
+    """``row``, ``key``, ``n_words``, ``place``, ``seed`` of every run of ``seed`` words that may be in the bitmap.
+
+    ``shorter`` is that of ``places``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
         for part in in_slices(batches):
             rows, keys, sizes, at, seeds = [], [], [], [], []
-            for doc, (found, n) in zip(part.column("doc_id").to_pylist(), places(part.column("text").to_pylist(), seed)):
+            for doc, (found, begins, n) in zip(part.column("doc_id").to_pylist(), places(part.column("text").to_pylist(), seed, shorter)):
                 found = found.view(np.int64)
                 where = np.flatnonzero(passes(marks.value, found)) if marks else np.arange(len(found))
-                at.append(where)
+                at.append(begins[where])
                 seeds.append(found[where])
                 rows.append(np.full(len(where), row))
                 sizes.append(np.full(len(where), n))
@@ -91,12 +108,15 @@ def tiles(pairs: list[tuple[int, int]], seed: int) -> list[tuple[int, int, int]]
 def coverages(docs: DataFrame, benchmark: DataFrame, seed: int = SEED) -> DataFrame:
     """``row``, ``doc_id``, ``item_id``, ``n_item_words``, ``covered_words``, ``n_tiles``, ``longest_tile`` of each pair.
 
-    A pair is here if the document and the item share ``seed`` words in a row. ``row`` tells rows with one doc_id apart.
+    A pair is here if the document and the item share ``seed`` words in a row, or all words of an item that has fewer.
+    ``row`` tells rows with one doc_id apart.
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     seeds = write_once(seed_rows(items, "item_id", seed).withColumnsRenamed({"row": "item", "n_words": "n_item_words", "place": "item_place"}), "seeds")
     marks = docs.sparkSession.sparkContext.broadcast(bitmap(seeds, "seed"))
-    shared = seed_rows(texts_of(docs), "doc_id", seed, marks).drop("n_words").join(seeds, "seed")
+    lengths = seeds.where(F.col("n_item_words") < seed).select("n_item_words").distinct()
+    shorter = tuple(sorted(r[0] for r in lengths.collect()))
+    shared = seed_rows(texts_of(docs), "doc_id", seed, marks, shorter).drop("n_words").join(seeds, "seed")
     pairs = shared.groupBy("row", "item").agg(
         F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"), F.first("n_item_words").alias("n_item_words"), F.collect_list(F.struct("place", "item_place")).alias("places")
     )
@@ -104,8 +124,8 @@ def coverages(docs: DataFrame, benchmark: DataFrame, seed: int = SEED) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             covered, number, longest = [], [], []
-            for group in batch.column("places"):
-                made = tiles([(x["place"], x["item_place"]) for x in group.as_py()], seed)
+            for group, n in zip(batch.column("places"), batch.column("n_item_words").to_pylist()):
+                made = tiles([(x["place"], x["item_place"]) for x in group.as_py()], min(seed, n))
                 covered.append(sum(t[2] for t in made))
                 number.append(len(made))
                 longest.append(max((t[2] for t in made), default=0))
@@ -121,7 +141,8 @@ def coverages(docs: DataFrame, benchmark: DataFrame, seed: int = SEED) -> DataFr
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
     """The pairs of a document (``doc_id``, ``text``) and an item (``item_id``, ``text``) with at least this coverage.
 
-    Texts without words, null texts and items of fewer than ``seed`` words are in no pair. A null doc_id or item_id comes
+    Texts without words and null texts are in no pair; an item of fewer than ``seed`` words is covered as a whole, in one
+    run, or not at all. A null doc_id or item_id comes
     back as null; rows that repeat one are looked at on their own and give a row each. Empty tables give no rows, other
     columns are ignored.
     """

@@ -70,3 +70,11 @@ def test_empty_tables_give_no_pairs(spark):
 def test_tiles_do_not_overlap():
     same = [(p, q) for p in range(6) for q in range(3)]  # one word, over and over
     assert tiles(same, 5) == [(0, 0, 7)]
+
+
+def test_items_shorter_than_a_seed_are_found_as_a_whole(spark):
+    bench = spark.createDataFrame([(1, "Forty-two."), (2, "Paris"), (3, "the blue whale swims"), (4, "one two three four five six"), (5, "...")], "item_id bigint, text string")
+    docs = [(1, "It is forty two, FORTY two, always"), (2, "paris"), (3, "the blue whale dives"), (4, "So the blue   whale swims. Paris!"), (5, "two forty"), (6, "x one two three four five"), (7, None)]
+    found = sorted((r.doc_id, r.item_id, r.covered_words, r.n_tiles, r.longest_tile, r.coverage) for r in contaminated(table(spark, docs).repartition(3), bench).collect())
+    assert found == [(1, 1, 2, 1, 2, 1.0), (2, 2, 1, 1, 1, 1.0), (4, 2, 1, 1, 1, 1.0), (4, 3, 4, 1, 4, 1.0), (6, 4, 5, 1, 5, 5 / 6)]
+    assert sorted(r.doc_id for r in decontaminated(table(spark, docs), bench).collect()) == [3, 5, 7]
