@@ -115,7 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows that are not held out (``labels``: ``doc_id``, ``quality``).
 
     The sample is chosen by a hash of doc_id, is at most ``SAMPLE_ROWS`` documents of each class and leaves out texts of
-    more than ``SAMPLE_CHARS`` characters. Labels that are neither 0 nor 1 and labels without a document are ignored;
+    more than ``SAMPLE_CHARS`` characters. Of rows with one doc_id that with the smallest hash of its text is taken, so that
+    no more than ``2 * SAMPLE_ROWS`` rows come to the driver. Labels that are neither 0 nor 1 and labels without a document are ignored;
     with labels of one class or none every score is the prior.
     """
     labels = labels.select(F.col("doc_id").cast("bigint"), F.col("quality").cast("int").alias("quality"))
@@ -125,10 +126,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     prior = (counts.get(1, 0) + 1) / (total + 2)
     chosen = [labels.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for q in (0, 1)]
     sample = texts_of(docs).where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
-    rows = sorted(sample.select("doc_id", "text", "quality").collect())
+    rows = sorted(one_of_each(sample).collect())
     return train([r["text"] for r in rows], [r["quality"] for r in rows], prior)
 
 
+def one_of_each(sample: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, ``quality``: of rows with one doc_id and quality that whose text has the smallest hash."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return sample.groupBy("doc_id", "quality").agg(least).select("doc_id", "least.text", "quality")
+
+
 def held_out(doc_id):
     """Whether a document belongs to the fold that nothing is learned from; a null doc_id does not."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))

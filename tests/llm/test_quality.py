@@ -2,6 +2,7 @@
 
 import zlib
 
+from palaver.llm import op4_quality
 from palaver.llm.op4_quality import Model, accepted, features, fit, op4_quality_classifier, scored, train
 from tests.llm.cases import table, texts
 
@@ -45,3 +46,16 @@ def test_features_stay_inside_words():
     entries = [set(f.tolist()) for f, _ in features(["ab cd", "cd ab"])]
     halves = [[f.tolist()[b[i] : b[i + 1]] for i in range(2)] for f, b in features(["ab cd", "cd ab"])]
     assert all(sorted(x) == sorted(y) for x, y in halves) and len(entries) == 5
+
+
+def test_a_repeated_document_is_learned_from_once(spark, monkeypatch):
+    a, b, c, d = [i for i in range(1, 20) if zlib.crc32(str(i).encode()) % 5][:4]
+    docs = table(spark, [(a, f"text {i}") for i in range(60)] + [(b, "b c"), (b, "b c"), (c, "d"), (d, None)])
+    labels = spark.createDataFrame([(a, 1, 0), (b, 0, 0), (c, 1, 0), (d, 0, 0), (a, 1, 0)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(op4_quality, "train", lambda *given: seen.append(given))
+    fit(docs.repartition(4), labels)
+    fit(docs.repartition(7), labels)
+    taken, quality, prior = seen[0]
+    assert seen[0] == seen[1] and prior == 0.5
+    assert taken[0].startswith("text ") and taken[1:] == ["b c", "d", ""] and quality == [1, 0, 1, 0]
