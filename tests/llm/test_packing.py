@@ -15,7 +15,6 @@ from tests.llm.cases import table, texts
 
 def test_pieces_are_the_ids_of_the_tokenizer(spark):
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     rows = texts() + [(200 + i, t) for i, t in enumerate(["a  b", " a", "a \nb c", "don't  1234 x y z", "<|endoftext|> b", "a\n \n b \t c "])]
     found = defaultdict(list)
     for r in pieces(table(spark, rows).repartition(3), capacity=100).collect():
