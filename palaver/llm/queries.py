@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palaver.llm import op2_lines, op8_exact
+from palaver.llm import op2_lines, op8_exact, op11_collocations
 from palaver.llm.op1_decontamination import op1_benchmark_decontamination
 from palaver.llm.op2_lines import op2_line_dedup
 from palaver.llm.op3_packing import op3_best_fit_packing
@@ -15,6 +15,7 @@ from palaver.llm.op7_secrets import op7_secret_scan
 from palaver.llm.op8_exact import op8_exact_dedup
 from palaver.llm.op9_chat import op9_chat_formatting
 from palaver.llm.op10_jaccard import op10_jaccard_join
+from palaver.llm.op11_collocations import op11_phrase_collocations
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -29,9 +30,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_chat_formatting,
         op10_jaccard_join,
+        op11_phrase_collocations,
     )
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": op2_lines.ORACLE,
     "op8_exact_dedup": op8_exact.ORACLE,
+    "op11_phrase_collocations": op11_collocations.ORACLE,
 }
