@@ -10,7 +10,7 @@ lowest bound expanded (ties included), no phrase that is left can come before th
 round lowers the bound of the languages that are not, until none is or nothing is left.
 
 A word is known by two 64-bit fingerprints of its language and bytes (128 bits), a phrase by those of its words; texts of
-phrases are read from the corpus once they contend. Every pass sums counts inside slices of 2 MB before Spark's own
+phrases are read from the corpus once they contend. Every pass sums counts inside slices of 1 MB before Spark's own
 partial and final sums, so a hot word, pair or language reaches a reducer as one row per task. What goes to every
 executor is a bitmap of 2 MB, whatever the number of its keys; it only saves work, exact joins and sums decide.
 """
@@ -39,13 +39,14 @@ FIRST, FACTOR = 4, 8
 #: Bounds are grouped in steps of so much to find the next threshold.
 STEP = 1000
 #: Bytes that are fingerprinted at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
+#: Bytes of text that are counted at once before Spark sums.
+SLICE = 1_000_000
 
 BREAKS = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 BETWEEN = BREAKS | np.isin(np.arange(256), [0x20, 0x09])
 VALUES_2 = mix(VALUES + np.uint64(0x9E3779B97F4A7C15))
 KEYS = [f"{word}{i}" for word in "abcd" for i in (1, 2)]
-KEY_SCHEMA = ", ".join(f"{k} bigint" for k in KEYS)
 
 
 def keys(first: int, n: int) -> list[str]:
@@ -127,28 +128,29 @@ def phrase_key(n: int = LONGEST) -> Column:
     return reduce(lambda x, y: x.bitwiseXOR(y), turned, F.col(KEYS[0]))
 
 
-def one_pass(docs: DataFrame, chosen: Callable[[Words], Iterator[tuple[int, np.ndarray]]], spell: bool = False) -> DataFrame:
-    """Counts of the phrases that ``chosen`` names by length and place, summed over the corpus."""
+def one_pass(docs: DataFrame, chosen: Callable[[Words], Iterator[tuple[int, np.ndarray]]], longest: int = LONGEST, spell: bool = False) -> DataFrame:
+    """Counts of the phrases of up to ``longest`` words that ``chosen`` names by length and place, summed over the corpus."""
+    columns = keys(0, longest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in in_slices(batches):
+        for part in in_slices(batches, SLICE):
             found = Words(part.column("text").to_pylist(), part.column("lang").to_pylist())
             for n, at in chosen(found):
-                columns, places = found.counted(at, n)
-                arrays = {k: pa.array(v, pa.int64()) for k, v in columns.items()}
+                named, places = found.counted(at, n)
+                arrays = {k: pa.array(named[k], pa.int64()) for k in [*columns, "a"]}
                 if spell:
                     arrays["phrase"] = found.spelled(places, n)
                 yield pa.RecordBatch.from_pydict(arrays)
 
-    counted = docs.mapInArrow(run, f"{KEY_SCHEMA}, a bigint" + (", phrase string" if spell else ""))
-    return counted.groupBy(*KEYS).agg(F.sum("a").alias("a"), *([F.min("phrase").alias("phrase")] if spell else []))
+    schema = [*(f"{k} bigint" for k in [*columns, "a"]), *(["phrase string"] if spell else [])]
+    return docs.mapInArrow(run, ", ".join(schema)).groupBy(*columns).agg(F.sum("a").alias("a"), *([F.min("phrase").alias("phrase")] if spell else []))
 
 
 def word_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """Words by language that occur ``least`` times, and the number of all word occurrences of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in in_slices(batches):
+        for part in in_slices(batches, SLICE):
             langs = part.column("lang").to_pylist()
             found = Words(part.column("text").to_pylist(), langs)
             columns, places = found.counted(np.arange(len(found)), 1)
@@ -173,7 +175,7 @@ def pair_counts(docs: DataFrame, words: DataFrame, least: int) -> DataFrame:
         known = np.append(passes(frequent.value, found.prints[0]), False)
         yield 2, np.flatnonzero(found.phrases(2) & known[:-1] & known[1:])
 
-    pairs = one_pass(docs, chosen).where(F.col("a") >= least).drop(*KEYS[4:])
+    pairs = one_pass(docs, chosen, 2).where(F.col("a") >= least)
     left = words.select("lang", *keys(0, 1), F.col("a").alias("fa"))
     right = words.select(*(F.col(x).alias(y) for x, y in zip(keys(0, 1), keys(1, 1))), F.col("a").alias("fb"))
     found = pairs.join(left, keys(0, 1)).join(right, keys(1, 1))
