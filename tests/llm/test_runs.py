@@ -1,0 +1,123 @@
+"""Periodic runs: against trying every period, on texts made of repeats, and the query against the contract word by word."""
+
+import random
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+
+from palaver.llm import op13_runs
+from palaver.llm.op13_runs import Stretch, exact, in_documents, op13_periodic_runs, periodic_runs, synchronising_set
+from tests.llm.cases import table, texts
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(words: list) -> list[tuple[int, int, int]]:
+    found = {}
+    numbers = np.unique(np.array(words), return_inverse=True)[1] if words else np.empty(0)
+    for q in range(1, len(words) // 4 + 1):
+        differ = np.flatnonzero(np.concatenate([[True], numbers[q:] != numbers[:-q], [True]]))
+        for s, e in zip(differ[:-1].tolist(), (differ[1:] - 1 + q).tolist()):
+            if e - s >= max(6, 4 * q):
+                found.setdefault((s, e), q)
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def collapsed(words: list[bytes], runs) -> bytes:
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return b" ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def repeats(r: random.Random, letters: str) -> str:
+    words = []
+    while len(words) < r.choice([0, 3, 10, 50, 300]):
+        unit = [r.choice(letters) for _ in range(r.choice([1, 2, 3, 4, 5, 7, 8, 12, 15, 16, 17, 31]))]
+        if r.random() < 0.4:
+            unit = unit[:1] * (len(unit) - 1) + ["z"]
+        if r.random() < 0.3:
+            unit = unit * r.randint(3, 5) + ["y"]
+        words += (unit * r.randint(2, 7))[: r.randint(1, 200)] if r.random() < 0.6 else [r.choice(letters)]
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("letters", ["a", "ab", "abc", "abcdefghijk"])
+def test_runs_are_those_of_every_period(letters):
+    r = random.Random(letters)
+    for _ in range(150):
+        docs = [repeats(r, letters) for _ in range(r.randint(1, 6))]
+        for text, (found, words, kept) in zip(docs, in_documents(docs)):
+            assert list(map(tuple, found.tolist())) == plain(text.split())
+            assert b" ".join(w for w, k in zip(words, kept) if k) == collapsed(words, found.tolist())
+
+
+def test_long_and_odd_texts():
+    thue = "a"
+    for _ in range(14):
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    long = [" ".join(thue), " ".join(thue) + " " + " ".join(["u", *thue[:5000]] * 4), "a " * 40_000, ("a " * 99 + "b ") * 300, "\x0b", "é é " * 7]
+    for text, (found, _, _) in zip(long[1:], list(in_documents(long))[1:]):
+        words = text.encode().split()
+        assert all(words[s : s + n - q] == words[s + q : s + n] for s, n, q in found.tolist())
+    sizes = [[(n, q) for _, n, q in f.tolist()] for f, _, _ in in_documents(long)]
+    assert sizes[0] == [] and (20004, 5001) in sizes[1] and sizes[2] == [(40_000, 1)] and sizes[3] == [*[(99, 1), (30_000, 100)], *[(99, 1)] * 299]
+    assert sizes[4:] == [[], [(7, 1)]]
+
+
+def test_equal_fingerprints_do_not_make_words_equal():
+    assert exact(np.array([1, 2, 1, 2, 3, 2, 1, 2, 1, 2, 1, 2]), 0, 12, 2) == (5, 12, 2)
+
+
+def test_the_set_is_consistent_and_dense():
+    r = random.Random(3)
+    words = np.array([r.randrange(3) for _ in range(3000)] + [1, 2] * 200 + [r.randrange(9) for _ in range(500)])
+    for scale in (1, 4, 16, 64):
+        stretch = Stretch(words)
+        periodic = np.array([any((words[i : i + scale - q] == words[i + q : i + scale]).all() for q in range(1, scale // 4 + 1)) for i in range(len(words) - scale + 1)])
+        chosen = set(synchronising_set(stretch, scale, periodic).tolist())
+        by_context = {}
+        for i in range(len(words) - 2 * scale + 1):
+            by_context.setdefault(tuple(words[i : i + 2 * scale].tolist()), set()).add(i in chosen)
+        assert all(len(x) == 1 for x in by_context.values())
+        for i in range(len(words) - 3 * scale + 1):
+            assert not chosen.isdisjoint(range(i, i + scale)) or periodic[i : i + 2 * scale].all()
+
+
+def test_every_row_comes_back(spark):
+    rows = texts() + [(80, "x y " * 9), (80, "x y " * 9), (81, "q " * 5), (82, "q " * 6 + "r")]
+    found = periodic_runs(table(spark, rows).repartition(3)).collect()
+    got = sorted((str(x.doc_id), [tuple(y) for y in x.runs], x.collapsed) for x in found)
+    expected = []
+    for i, t in rows:
+        words = (t or "").encode().split()
+        runs = plain(words) if len(set(words)) > 1 or len(words) < 6 else [(0, len(words), 1)]
+        expected.append((str(i), runs, collapsed(words, runs).decode()))
+    assert got == sorted(expected)
+    assert periodic_runs(table(spark, [])).collect() == []
+
+
+def test_the_query_is_the_contract(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate([None, "", "one", "a b a b a b a b a", *(repeats(random.Random(i), "abc") for i in range(60))])], docs.schema)
+    monkeypatch.setattr(op13_runs, "read", lambda *_: docs.unionAll(extra))
+    rows = docs.unionAll(extra).collect()
+    found = {r.doc_id: r for r in op13_periodic_runs(spark, SF).collect()}
+    changed = 0
+    assert len(found) == len(rows)
+    for doc_id, text in rows:
+        words = (text or "").encode().split()
+        n, h = len(words), zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and n:
+            changed += 1
+            a, g = h // 10 % n, h // 10
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        runs = plain(words)
+        r = found[doc_id]
+        top = min(runs, key=lambda x: (-x[1] / x[2], x[0], x[2]), default=(None, None, None))
+        assert (r.n_runs, r.start, r.length, r.period) == (len(runs), *top)
+        assert r.exponent_milli == (1000 * top[1] // top[2] if runs else None)
+        assert r.runs_sha256 == sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest()
+        assert r.collapsed_sha256 == sha256(collapsed(words, runs)).hexdigest()
+    assert changed > 10
