@@ -16,6 +16,7 @@ from palaver.llm.op8_exact import op8_exact_dedup
 from palaver.llm.op9_chat import op9_chat_formatting
 from palaver.llm.op10_jaccard import op10_jaccard_join
 from palaver.llm.op11_collocations import op11_phrase_collocations
+from palaver.llm.op12_toxicity import op12_toxicity
 from palaver.llm.op13_runs import op13_periodic_runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat_formatting,
         op10_jaccard_join,
         op11_phrase_collocations,
+        op12_toxicity,
         op13_periodic_runs,
     )
 }
