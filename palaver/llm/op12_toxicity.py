@@ -129,7 +129,7 @@ class Model:
     def scores(self, texts: list[str]) -> np.ndarray:
         odds = np.full(len(texts), self.bias)
         if self.dictionaries:
-            odds += features(texts, self.dictionaries) @ self.weights
+            odds += (features(texts, self.dictionaries) * self.weights).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
