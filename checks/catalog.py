@@ -11,7 +11,7 @@ from checks.fixtures import ACTIVITY_DAY, EVENTS_DAY, Feeds
 from palaver import schemas
 from palaver.functions.text import day_part, name_part
 from palaver.operators import dimensions, facts, merges, staging, users
-from palaver.plans import backfill, daily, publish
+from palaver.plans import backfill, daily, jobs, publish
 from palaver.sources import delimited, feeds, lookups
 from palaver.workspace import concurrently, literal_table, new_path, write_once
 
@@ -155,6 +155,29 @@ def sink_publish_skip_empty(f: Feeds) -> DataFrame:
     return publish.published(f.spark, f"{root}/output").select("name", "version")
 
 
+def concurrent_runs(f: Feeds) -> list[daily.State]:
+    """The stored states of two runs that both loaded before either was published. Some agents are in both files."""
+    root = new_path(f.spark, "concurrent")
+    activity, events = f.activity(early=True), f.events(joint=True)
+    folders = f"{root}/lookup", f"{root}/output"
+    files = ("mt", F.col("agent_id") >= "agent15"), ("cg", F.col("agent_id") < "agent3")
+    runs = [jobs.DayRun(activity.filter(held), events.filter(held), *folders, ACTIVITY_DAY, natco) for natco, held in files]
+    for run in runs:
+        run.publish()
+    return [publish.load(f.spark, folders[1], natco)[1] for natco, _ in files]
+
+
+@query
+def publish_concurrent(f: Feeds) -> DataFrame:
+    first, second = concurrent_runs(f)
+    return first.f_message_content.unionByName(second.f_message_content)
+
+
+@query
+def publish_concurrent_agents(f: Feeds) -> DataFrame:
+    return concurrent_runs(f)[0].d_agent
+
+
 # --- staging ----------------------------------------------------------------------------------------------------
 
 

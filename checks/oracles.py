@@ -373,6 +373,49 @@ RUN_DAILY = _with(
     ),
 )
 
+# --- two runs at the same time: as if the second had come after the first ----------------------------------------
+
+
+def _after(first: str, new: str, key: str) -> str:
+    """The rows of ``first`` and those of ``new`` with other keys, numbered in order of the key behind them."""
+    return f"""SELECT id, {key} FROM {first} UNION ALL
+    SELECT (SELECT max(id) FROM {first}) + row_number() OVER (ORDER BY {key}), {key} FROM ({new}) n
+    WHERE {key} NOT IN (SELECT {key} FROM {first})"""
+
+
+def _run_ids(k: int) -> str:
+    return f"SELECT agent_id FROM a{k} UNION SELECT agent_id FROM b{k}"
+
+
+def _run_owners(k: int) -> str:
+    return f"SELECT DISTINCT split_part(agent_owner, '@', 1) AS owner FROM b{k}"
+
+
+CONCURRENT = (
+    activity(early=True),
+    billed(joint=True),
+    NATCO,
+    SEEDS,
+    CONTENT,
+    ("a1", "SELECT * REPLACE ('mt' AS NatCo) FROM activity WHERE agent_id >= 'agent15'"),
+    ("a2", "SELECT * REPLACE ('cg' AS NatCo) FROM activity WHERE agent_id < 'agent3'"),
+    ("b1", "SELECT * FROM billed WHERE agent_id >= 'agent15'"),
+    ("b2", "SELECT * FROM billed WHERE agent_id < 'agent3'"),
+    ("ids1", f"SELECT row_number() OVER (ORDER BY agent_id) AS id, agent_id FROM ({_run_ids(1)}) i"),
+    ("ids", _after("ids1", _run_ids(2), "agent_id")),
+    ("owners1", f"SELECT row_number() OVER (ORDER BY owner) AS id, owner FROM ({_run_owners(1)}) o"),
+    ("owners", _after("owners1", _run_owners(2), "owner")),
+    # An agent of the first run keeps the owner it has there, also none.
+    (
+        "agents",
+        """SELECT ids.id AS AgentID, o.id AS AgentOwnerID, split_part(ids.agent_id, '@', 1) AS Agent
+        FROM ids LEFT JOIN ids1 USING (agent_id)
+        LEFT JOIN (SELECT DISTINCT 1 AS run, agent_id, agent_owner FROM b1 UNION SELECT DISTINCT 2, agent_id, agent_owner FROM b2) w
+               ON w.agent_id = ids.agent_id AND w.run = CASE WHEN ids1.id IS NULL THEN 2 ELSE 1 END
+        LEFT JOIN owners o ON o.owner = split_part(w.agent_owner, '@', 1)""",
+    ),
+)
+
 # --- the registered queries -------------------------------------------------------------------------------------
 
 ACTIVITY_COLUMNS = "activity_id, billing_event_id, agent_id, user_id, direction, time, type, size_bytes"
@@ -409,6 +452,10 @@ ORACLES: dict[str, str] = {
         body=SM_TEXT + "merged",
     ),
     "sink_publish_skip_empty": "SELECT * FROM (VALUES ('d_natco', 'v2'), ('d_agent', 'v2'), ('f_message_content_mt', 'v1')) v(name, version)",
+    "publish_concurrent": _with(
+        *CONCURRENT, body=CONTENT_MERGED.format(f"({content_sql('a1')} UNION ALL {content_sql('a2')}) q")
+    ),
+    "publish_concurrent_agents": _with(*CONCURRENT, body="SELECT AgentID, AgentOwnerID, Agent FROM agents"),
     "stage_activity": _with(activity(), body=f"SELECT {ACTIVITY_COLUMNS}, NatCo FROM activity"),
     "stage_events": _with(billed(), body="SELECT * FROM billed"),
     "stage_lookups": _with(

@@ -60,6 +60,16 @@ def empty_state(spark: SparkSession) -> State:
     return State(**{name: literal_table(spark, [], schema) for name, schema in STATE_SCHEMAS.items()})
 
 
+def day_digests(activity: DataFrame, events: DataFrame, file_date: str, natco: str) -> tuple[DataFrame, DataFrame]:
+    """Both feeds of a run, each aggregated once and written. They depend on the feeds only, not on the stored state."""
+    tags = {"NatCo": F.lit(natco), "FileDate": F.lit(file_date).cast("date")}
+    messages, billed = concurrently(
+        lambda: write_once(facts.digest_activity(activity.withColumns(tags)), "messages"),
+        lambda: write_once(facts.digest_events(events.withColumns(tags)), "billed"),
+    )
+    return messages, billed
+
+
 def run_day(
     activity: DataFrame,
     events: DataFrame,
@@ -68,19 +78,16 @@ def run_day(
     file_date: str,
     natco: str,
     per: str = "type",
+    digests: tuple[DataFrame, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The 14 result tables of one run, by name. ``activity`` and ``events`` hold the run's rows only.
 
     Each feed is aggregated once, into a digest that every dimension and fact is derived from. ``activity`` is read a
     second time for the accumulator, which keeps a row per activity, and for the distinct users that are counted.
+    ``digests`` are those of ``day_digests``, where they are there already.
     """
-    day = F.lit(file_date).cast("date")
-    activity = activity.withColumn("NatCo", F.lit(natco)).withColumn("FileDate", day)
-    events = events.withColumn("NatCo", F.lit(natco)).withColumn("FileDate", day)
-    messages, billed = concurrently(
-        lambda: write_once(facts.digest_activity(activity), "messages"),
-        lambda: write_once(facts.digest_events(events), "billed"),
-    )
+    messages, billed = digests or day_digests(activity, events, file_date, natco)
+    activity = activity.withColumns({"NatCo": F.lit(natco), "FileDate": F.lit(file_date).cast("date")})
     accumulator = roll_user_accumulator(state.acc_users_daily, activity, file_date, state.d_agent)
 
     def agent_dimensions() -> tuple[DataFrame, DataFrame]:

@@ -8,8 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from palaver.operators.staging import feeds_are_empty
 from palaver.operators.users import users_across_natcos
 from palaver.plans.backfill import NATCO_ORDER, backfill
-from palaver.plans.daily import Lookups, run_day, seed_lookups
-from palaver.plans.publish import load, load_accumulators, load_backfill, publish, publish_backfill, publish_users
+from palaver.plans.daily import Lookups, day_digests, run_day, seed_lookups
+from palaver.plans.publish import (
+    Superseded,
+    load,
+    load_accumulators,
+    load_backfill,
+    publish,
+    publish_backfill,
+    publish_users,
+    snapshot,
+)
 from palaver.sources.feeds import Feed, read_feed
 from palaver.workspace import run_folder, write_once
 
@@ -30,6 +39,48 @@ def _land(
     return write_once(read_feed(spark, folder, feed, dates, natcos, bad_records_path).hint("rebalance"), feed)
 
 
+class DayRun:
+    """One run in two steps: it is computed on what is current when it is made, and published when it is told to.
+
+    If another run replaced what this one has read, it is computed again on the new state, from the same digests of its
+    feeds, until it is published on the state that it was computed on. So runs at the same time end as if one had been
+    after the other, in the order in which they were published.
+    """
+
+    def __init__(
+        self,
+        activity: DataFrame,
+        events: DataFrame,
+        lookup_path: str,
+        output_path: str,
+        file_date: str,
+        natco: str,
+        seeds: Lookups | None = None,
+        as_csv: bool = False,
+        per: str = "type",
+    ):
+        self.feeds, self.folders, self.run = (activity, events), (lookup_path, output_path), (file_date, natco)
+        self.as_csv, self.per, self.spark = as_csv, per, activity.sparkSession
+        self.seeds = seeds or seed_lookups(self.spark, lookup_path)
+        self.digests = day_digests(activity, events, file_date, natco)
+        self.attempts = 0
+        self._compute()
+
+    def _compute(self) -> None:
+        self.since = snapshot(self.spark, self.folders[1])
+        lookup, state = load(self.spark, self.folders[1], self.run[1], self.seeds, self.since)
+        self.results = run_day(*self.feeds, lookup, state, *self.run, self.per, self.digests)
+        self.attempts += 1
+
+    def publish(self) -> list[str]:
+        """Make the results current. Returns the names of the tables that were not empty."""
+        while True:
+            try:
+                return publish(self.results, *self.folders, new_version(), self.run[1], self.run[0], self.as_csv, self.since)
+            except Superseded:
+                self._compute()
+
+
 def process_day(
     spark: SparkSession,
     input_path: str,
@@ -45,16 +96,14 @@ def process_day(
     """Process the two files of one date and NatCo. Returns the published names, none when both are empty or absent.
 
     Lookups come from the files of ``lookup_path``, the built-in rows where it has none. Working tables are gone when
-    the job ends.
+    the job ends. Several such jobs may run at the same time on one output folder.
     """
     with run_folder(spark):
         activity = _land(spark, input_path, "activity", [file_date], [natco], bad_records_path)
         events = _land(spark, input_path, "events", [file_date], [natco], bad_records_path)
         if feeds_are_empty(activity, events):
             return []
-        lookup, state = load(spark, output_path, natco, seeds or seed_lookups(spark, lookup_path))
-        results = run_day(activity, events, lookup, state, file_date, natco, per)
-        return publish(results, lookup_path, output_path, new_version(), natco, file_date, as_csv)
+        return DayRun(activity, events, lookup_path, output_path, file_date, natco, seeds, as_csv, per).publish()
 
 
 def process_users(
@@ -88,8 +137,12 @@ def process_backfill(
         runs = sorted((str(row["FileDate"]), row["NatCo"]) for row in found.collect())
         if not runs:
             return []
-        lookup, state = load_backfill(
-            spark, output_path, sorted({n for _, n in runs}), seeds or seed_lookups(spark, lookup_path)
-        )
-        results = backfill(activity, events, lookup, natco_order, state=state)
-        return publish_backfill(results, lookup_path, output_path, new_version(), runs)
+        seeds = seeds or seed_lookups(spark, lookup_path)
+        while True:
+            since = snapshot(spark, output_path)
+            lookup, state = load_backfill(spark, output_path, sorted({n for _, n in runs}), seeds, since)
+            results = backfill(activity, events, lookup, natco_order, state=state)
+            try:
+                return publish_backfill(results, lookup_path, output_path, new_version(), runs, since)
+            except Superseded:
+                continue

@@ -3,14 +3,24 @@
 A run never writes a path it reads. A run that dies leaves no trace in the list, and can simply be repeated. An empty
 result is not listed, so the table published before it stays current. The accumulator is listed by slices, one for each
 file date of a NatCo: a run writes the slices it processed and lists them, also an empty one.
+
+Runs may be under way at the same time. An append is a file with the next number, which is put in place by a rename that
+fails if another run was first (as HDFS does; object stores without such a rename need one run at a time). Before it, a run
+compares what it read with what is current by then, and is done again on the new state if that has changed. Shared tables
+are listed only if their rows have changed, so runs of several NatCos meet only where one of them has new keys.
 """
 
+import json
+import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import partial, reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from palaver import schemas
 from palaver.operators.staging import conform
@@ -46,7 +56,10 @@ SCHEMAS = {
 ACCUMULATOR = "acc_users_daily"
 _LIST = "_published"
 # slice: the file date of a slice of the accumulator, null for a whole table. An empty slice has no path.
-_LIST_SCHEMA = StructType([StructField(c, StringType()) for c in ("name", "version", "path", "format", "slice")])
+# commit: the number of the append, null in lists from before appends were numbered.
+_LIST_SCHEMA = StructType(
+    [*(StructField(c, StringType()) for c in ("name", "version", "path", "format", "slice")), StructField("commit", LongType())]
+)
 
 
 def table_name(table: str, natco: str) -> str:
@@ -69,10 +82,73 @@ def _write(df: DataFrame, table: str, path: str, as_csv: bool) -> bool:
     return not _read(df.sparkSession, table, path, "csv" if as_csv else "parquet").isEmpty()
 
 
-def _commit(spark: SparkSession, output_path: str, entries: list[tuple]) -> list[str]:
-    listed = literal_table(spark, entries, _LIST_SCHEMA).coalesce(1)
-    listed.write.mode("append").json(f"{output_path.rstrip('/')}/{_LIST}")
-    return sorted({name for name, *_ in entries})
+class Superseded(Exception):
+    """Something that a run has read was replaced before the run was published."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What is current at one moment."""
+
+    entries: tuple[Row, ...]
+
+    def read_by(self, natcos: Iterable[str]) -> set[tuple]:
+        """The entries that runs of these NatCos read."""
+        names = {table_name(table, natco) for natco in natcos for table in (*STATE_SCHEMAS, "ContentDescriptionMapping")}
+        return {(row["name"], row["slice"], row["version"], row["path"]) for row in self.entries if row["name"] in names}
+
+    def path(self, name: str) -> tuple[str, str] | None:
+        """Path and format of a whole table."""
+        return next(((row["path"], row["format"]) for row in self.entries if row["name"] == name and row["slice"] is None), None)
+
+
+def snapshot(spark: SparkSession, output_path: str) -> Snapshot:
+    return Snapshot(tuple(published(spark, output_path).collect()))
+
+
+def _commit(
+    spark: SparkSession, output_path: str, entries: list[tuple], since: Snapshot | None = None, natcos: Iterable[str] = ()
+) -> list[str]:
+    """Append to the list, unless what the runs of ``natcos`` read in ``since`` is no longer current."""
+    folder, natcos = f"{output_path.rstrip('/')}/{_LIST}", set(natcos)
+    while True:
+        # The number comes first: an append that the comparison does not see has taken it.
+        taken = [int(path.rpartition("-")[2].removesuffix(".json")) for path in matching(spark, f"{folder}/commit-*.json")]
+        number = max(taken, default=0) + 1
+        if since is not None and snapshot(spark, output_path).read_by(natcos) != since.read_by(natcos):
+            raise Superseded
+        lines = [json.dumps(dict(zip(_LIST_SCHEMA.names, (*entry, number)))) for entry in entries]
+        if _put_if_absent(spark, f"{folder}/commit-{number:09d}.json", "\n".join(lines)):
+            return sorted({name for name, *_ in entries})
+
+
+def _put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, and tell whether it was the first of its name."""
+    hadoop, folder = spark._jvm.org.apache.hadoop.fs, path.rpartition("/")[0]
+    draft, place = hadoop.Path(f"{folder}/.draft-{uuid.uuid4().hex}"), hadoop.Path(path)
+    configuration = spark._jsc.hadoopConfiguration()
+    files = draft.getFileSystem(configuration)
+    out = files.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    plain = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(files.makeQualified(draft).toUri(), configuration).rename(
+            files.makeQualified(draft), files.makeQualified(place), plain
+        )
+    except Py4JJavaError as error:
+        files.delete(draft, False)
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    return True
+
+
+def _same_rows(spark: SparkSession, table: str, *places: tuple[str, str]) -> bool:
+    """Whether two stored tables have the same rows, by their number and the sum of their 64-bit hashes."""
+    sums = [F.count(F.lit(1)), F.sum(F.xxhash64(*SCHEMAS[table].names).cast("decimal(38, 0)"))]
+    found = [_read(spark, table, path, fmt).agg(*sums).first() for path, fmt in places]
+    return found[0] == found[1]
 
 
 def publish(
@@ -83,13 +159,17 @@ def publish(
     natco: str,
     file_date: str,
     as_csv: bool = False,
+    since: Snapshot | None = None,
 ) -> list[str]:
     """Write the results of one run and make them current. Returns the names of the tables that were not empty.
 
-    ``version`` sorts after all earlier versions, and is used once. As Parquet, of the accumulator only the slice of
-    this run is written. As CSV every table is written whole, ``;``-separated and sorted.
+    ``version`` is used once. As Parquet, of the accumulator only the slice of this run is written. As CSV every table is
+    written whole, ``;``-separated and sorted. With ``since``, what was current when the run read its state, shared
+    tables without a change are not listed again, and ``Superseded`` is raised if the state was replaced meanwhile; then
+    nothing of the run is left.
     """
     spark = next(iter(results.values())).sparkSession
+    unchanged = []
 
     def store(table: str) -> list[tuple]:
         root = (lookup_path if table in LOOKUP_TABLES else output_path).rstrip("/")
@@ -101,18 +181,36 @@ def publish(
             today.write.mode("errorifexists").parquet(path)
             return [(name, version, path, "parquet", file_date)]
         path = f"{root}/{version}/{name}" + (".csv" if as_csv else "")
-        filled = _write(df, table, path, as_csv)
-        return [(name, version, path, "csv" if as_csv else "parquet", None)] if filled else []
+        filled, fmt = _write(df, table, path, as_csv), "csv" if as_csv else "parquet"
+        before = since.path(name) if since and table not in PER_NATCO else None
+        if filled and before and before[1] == fmt and _same_rows(spark, table, before, (path, fmt)):
+            remove(spark, path)
+            unchanged.append(name)
+            return []
+        return [(name, version, path, fmt, None)] if filled else []
 
     stored = concurrently(*[partial(store, table) for table in results])
-    return _commit(spark, output_path, [entry for entries in stored for entry in entries])
+    try:
+        names = _commit(spark, output_path, [entry for entries in stored for entry in entries], since, [natco])
+    except Superseded:
+        for root in {lookup_path.rstrip("/"), output_path.rstrip("/")}:
+            remove(spark, f"{root}/{version}")
+        raise
+    return sorted({*names, *unchanged})
 
 
 def publish_backfill(
-    results: dict[str, DataFrame], lookup_path: str, output_path: str, version: str, runs: list[tuple[str, str]]
+    results: dict[str, DataFrame],
+    lookup_path: str,
+    output_path: str,
+    version: str,
+    runs: list[tuple[str, str]],
+    since: Snapshot | None = None,
 ) -> list[str]:
     """Make the results of a backfill current for the NatCos of its ``runs`` (file date, NatCo), and for no other.
 
+    With ``since``, ``Superseded`` is raised if what the backfill has read is no longer current.
+
     A table kept per NatCo is written in one job, one folder per NatCo; daily runs go on from there. Of the accumulator
     the slices of the runs are replaced.
     """
@@ -147,7 +245,7 @@ def publish_backfill(
         ]
 
     stored = concurrently(*[partial(store, table) for table in results])
-    return _commit(spark, output_path, [entry for entries in stored for entry in entries])
+    return _commit(spark, output_path, [entry for entries in stored for entry in entries], since, natcos)
 
 
 def publish_users(users: DataFrame, output_path: str, version: str) -> str:
@@ -169,11 +267,12 @@ def published(spark: SparkSession, output_path: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         entries = literal_table(spark, [], _LIST_SCHEMA)
-    latest = F.max_by(F.struct("version", "path", "format"), "version").alias("latest")
+    entries = entries.withColumn("_at", F.struct(F.coalesce("commit", F.lit(0)), "version"))
+    latest = F.max_by(F.struct("version", "path", "format", "_at"), "_at").alias("latest")
     current = entries.groupBy("name", "slice").agg(latest).select("name", "latest.*", "slice")
-    whole = F.max(F.when(F.col("slice").isNull(), F.col("version"))).over(Window.partitionBy("name"))
+    whole = F.max(F.when(F.col("slice").isNull(), F.col("_at"))).over(Window.partitionBy("name"))
     current = current.withColumn("_whole", whole)
-    return current.filter("slice is null or _whole is null or version > _whole").drop("_whole")
+    return current.filter("slice is null or _whole is null or _at > _whole").drop("_whole", "_at")
 
 
 def vacuum(spark: SparkSession, lookup_path: str, output_path: str) -> list[str]:
@@ -200,14 +299,14 @@ def _read(spark: SparkSession, table: str, path: str | list[str], fmt: str) -> D
 
 
 def load(
-    spark: SparkSession, output_path: str, natco: str, seeds: Lookups | None = None
+    spark: SparkSession, output_path: str, natco: str, seeds: Lookups | None = None, at: Snapshot | None = None
 ) -> tuple[Lookups, State]:
     """Lookups and state for the next run of ``natco``.
 
     A table that was never published is empty. The content mapping starts as that of ``seeds`` and is then the one the
-    last run published.
+    last run published. ``at``: what to take for current, else what is now.
     """
-    listed = published(spark, output_path).collect()
+    listed = (at or snapshot(spark, output_path)).entries
     current = {row["name"]: row for row in listed}
     seeds = seeds or seed_lookups(spark)
 
@@ -235,10 +334,13 @@ def _accumulator(spark: SparkSession, entries: list) -> DataFrame:
     return rows
 
 
-def load_backfill(spark: SparkSession, output_path: str, natcos: list[str], seeds: Lookups) -> tuple[Lookups, dict[str, DataFrame]]:
+def load_backfill(
+    spark: SparkSession, output_path: str, natcos: list[str], seeds: Lookups, at: Snapshot | None = None
+) -> tuple[Lookups, dict[str, DataFrame]]:
     """Lookups and state for a backfill of some NatCos: the shared dimensions, and their facts with NatCo as a column."""
-    states = {natco: load(spark, output_path, natco, seeds) for natco in natcos}
-    lookup, first = next(iter(states.values())) if states else load(spark, output_path, "", seeds)
+    at = at or snapshot(spark, output_path)
+    states = {natco: load(spark, output_path, natco, seeds, at) for natco in natcos}
+    lookup, first = next(iter(states.values())) if states else load(spark, output_path, "", seeds, at)
     found = {name: getattr(first, name) for name in STATE_SCHEMAS if name not in PER_NATCO}
     for name in STATE_SCHEMAS:
         if name in PER_NATCO:
