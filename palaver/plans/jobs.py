@@ -5,6 +5,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from palaver.operators.merges import touched_dates
 from palaver.operators.staging import feeds_are_empty
 from palaver.operators.users import users_across_natcos
 from palaver.plans.backfill import NATCO_ORDER, backfill
@@ -44,7 +45,8 @@ class DayRun:
 
     If another run replaced what this one has read, it is computed again on the new state, from the same digests of its
     feeds, until it is published on the state that it was computed on. So runs at the same time end as if one had been
-    after the other, in the order in which they were published.
+    after the other, in the order in which they were published. Of the accumulating facts, only the dates that the feeds
+    touch are read, aggregated and written; the results hold these dates.
     """
 
     def __init__(
@@ -63,12 +65,14 @@ class DayRun:
         self.as_csv, self.per, self.spark = as_csv, per, activity.sparkSession
         self.seeds = seeds or seed_lookups(self.spark, lookup_path)
         self.digests = day_digests(activity, events, file_date, natco)
+        # Text has no slices: a run that writes it reads and writes whole facts.
+        self.dates = None if as_csv else sorted(str(row["Date"]) for row in touched_dates(file_date, *self.digests).collect())
         self.attempts = 0
         self._compute()
 
     def _compute(self) -> None:
         self.since = snapshot(self.spark, self.folders[1])
-        lookup, state = load(self.spark, self.folders[1], self.run[1], self.seeds, self.since)
+        lookup, state = load(self.spark, self.folders[1], self.run[1], self.seeds, self.since, self.dates)
         self.results = run_day(*self.feeds, lookup, state, *self.run, self.per, self.digests)
         self.attempts += 1
 
@@ -76,7 +80,8 @@ class DayRun:
         """Make the results current. Returns the names of the tables that were not empty."""
         while True:
             try:
-                return publish(self.results, *self.folders, new_version(), self.run[1], self.run[0], self.as_csv, self.since)
+                day, natco = self.run
+                return publish(self.results, *self.folders, new_version(), natco, day, self.as_csv, self.since, self.dates)
             except Superseded:
                 self._compute()
 

@@ -2,7 +2,8 @@
 
 A run never writes a path it reads. A run that dies leaves no trace in the list, and can simply be repeated. An empty
 result is not listed, so the table published before it stays current. The accumulator is listed by slices, one for each
-file date of a NatCo: a run writes the slices it processed and lists them, also an empty one.
+file date of a NatCo: a run writes the slices it processed and lists them, also an empty one. The accumulating facts are
+listed by slices as well, one for each date of a NatCo: a run reads and writes those of the dates its files touch.
 
 Runs may be under way at the same time. An append is a file with the next number, which is put in place by a rename that
 fails if another run was first (as HDFS does; object stores without such a rename need one run at a time). Before it, a run
@@ -54,8 +55,12 @@ SCHEMAS = {
 }
 
 ACCUMULATOR = "acc_users_daily"
+# Facts in slices by Date. Rows without a date are a slice of their own, which every run replaces.
+DATED = ("f_message_content", "f_conversations_and_sm", "f_message_conversation")
+UNDATED = "none"
 _LIST = "_published"
-# slice: the file date of a slice of the accumulator, null for a whole table. An empty slice has no path.
+# slice: the file date of a slice of the accumulator or the date of a slice of a fact, null for a whole table. An empty
+# slice has no path.
 # commit: the number of the append, null in lists from before appends were numbered.
 _LIST_SCHEMA = StructType(
     [*(StructField(c, StringType()) for c in ("name", "version", "path", "format", "slice")), StructField("commit", LongType())]
@@ -160,13 +165,15 @@ def publish(
     file_date: str,
     as_csv: bool = False,
     since: Snapshot | None = None,
+    dates: Iterable[str] | None = None,
 ) -> list[str]:
     """Write the results of one run and make them current. Returns the names of the tables that were not empty.
 
     ``version`` is used once. As Parquet, of the accumulator only the slice of this run is written. As CSV every table is
     written whole, ``;``-separated and sorted. With ``since``, what was current when the run read its state, shared
     tables without a change are not listed again, and ``Superseded`` is raised if the state was replaced meanwhile; then
-    nothing of the run is left.
+    nothing of the run is left. With ``dates``, the accumulating facts hold the rows of these dates only, and only their
+    slices are written.
     """
     spark = next(iter(results.values())).sparkSession
     unchanged = []
@@ -180,6 +187,8 @@ def publish(
             path = f"{root}/{version}/{name}"
             today.write.mode("errorifexists").parquet(path)
             return [(name, version, path, "parquet", file_date)]
+        if table in DATED and dates is not None and not as_csv:
+            return _store_slices(df, table, name, f"{root}/{version}/{name}", version, dates, since)
         path = f"{root}/{version}/{name}" + (".csv" if as_csv else "")
         filled, fmt = _write(df, table, path, as_csv), "csv" if as_csv else "parquet"
         before = since.path(name) if since and table not in PER_NATCO else None
@@ -199,6 +208,22 @@ def publish(
     return sorted({*names, *unchanged})
 
 
+def _store_slices(
+    df: DataFrame, table: str, name: str, path: str, version: str, dates: Iterable[str], since: Snapshot | None
+) -> list[tuple]:
+    """Write the slices of a fact, one folder per date, and return their entries; none if the whole fact would be empty."""
+    # Folders named by a copy of the column, so that the files hold all of them.
+    df.withColumn("date_", F.col("Date")).hint("rebalance", "date_").write.partitionBy("date_").parquet(path)
+    stored = df.sparkSession.read.schema(SCHEMAS[table]).parquet(path)
+    filled = {row["date"] for row in stored.select(F.col("Date").cast("string").alias("date")).distinct().collect()}
+    places = {d: f"{path}/date_={d}" if d in filled else "" for d in dates}
+    places[UNDATED] = f"{path}/date_=__HIVE_DEFAULT_PARTITION__" if None in filled else ""
+    others = [row for row in since.entries if row["name"] == name and row["slice"] not in places and row["path"]] if since else []
+    if not filled and not others:
+        return []
+    return [(name, version, place, "parquet", d) for d, place in places.items()]
+
+
 def publish_backfill(
     results: dict[str, DataFrame],
     lookup_path: str,
@@ -299,20 +324,27 @@ def _read(spark: SparkSession, table: str, path: str | list[str], fmt: str) -> D
 
 
 def load(
-    spark: SparkSession, output_path: str, natco: str, seeds: Lookups | None = None, at: Snapshot | None = None
+    spark: SparkSession,
+    output_path: str,
+    natco: str,
+    seeds: Lookups | None = None,
+    at: Snapshot | None = None,
+    dates: Iterable[str] | None = None,
 ) -> tuple[Lookups, State]:
     """Lookups and state for the next run of ``natco``.
 
     A table that was never published is empty. The content mapping starts as that of ``seeds`` and is then the one the
-    last run published. ``at``: what to take for current, else what is now.
+    last run published. ``at``: what to take for current, else what is now. ``dates``: of the accumulating facts, the
+    dates to read, else all.
     """
     listed = (at or snapshot(spark, output_path)).entries
     current = {row["name"]: row for row in listed}
     seeds = seeds or seed_lookups(spark)
 
     def table(name: str, otherwise: DataFrame | None = None) -> DataFrame:
-        if name == ACCUMULATOR:
-            return _accumulator(spark, [row for row in listed if row["name"] == table_name(name, natco)])
+        if name == ACCUMULATOR or name in DATED:
+            own = [row for row in listed if row["name"] == table_name(name, natco)]
+            return _sliced(spark, name, own, dates if name in DATED else None)
         entry = current.get(table_name(name, natco))
         if entry is None:
             return literal_table(spark, [], SCHEMAS[name]) if otherwise is None else otherwise
@@ -323,14 +355,26 @@ def load(
     return Lookups(seeds.natcos, seeds.conversation_types, contents), state
 
 
-def _accumulator(spark: SparkSession, entries: list) -> DataFrame:
-    """The rows of the listed slices, in one scan, and of whole tables but for the file dates that have a newer slice."""
-    paths = [row["path"] for row in entries if row["slice"] is not None and row["path"]]
-    rows = _read(spark, ACCUMULATOR, paths, "parquet") if paths else literal_table(spark, [], schemas.USER_ACCUMULATOR)
+def _sliced(spark: SparkSession, table: str, entries: list, dates: Iterable[str] | None = None) -> DataFrame:
+    """The rows of the listed slices, in one scan, and of whole tables but for the days that have a newer slice.
+
+    ``dates``: the days to read, else all; files of other slices are not opened.
+    """
+    day = F.col("FileDate" if table == ACCUMULATOR else "Date")
+    wanted = None if dates is None else set(dates)
+    paths = [row["path"] for row in entries if row["path"] and row["slice"] is not None and (wanted is None or row["slice"] in wanted)]
+    rows = _read(spark, table, paths, "parquet") if paths else literal_table(spark, [], SCHEMAS[table])
     for whole in (row for row in entries if row["slice"] is None):
-        replaced = [F.lit(row["slice"]).cast("date") for row in entries if row["slice"] is not None and row["name"] == whole["name"]]
-        stored = _read(spark, ACCUMULATOR, whole["path"], whole["format"])
-        rows = rows.unionByName(stored.filter(F.col("FileDate").isNull() | ~F.col("FileDate").isin(replaced)) if replaced else stored)
+        newer = [row["slice"] for row in entries if row["slice"] is not None and row["name"] == whole["name"]]
+        stored = _read(spark, table, whole["path"], whole["format"])
+        replaced = [F.lit(x).cast("date") for x in newer if x != UNDATED]
+        if replaced:
+            stored = stored.filter(day.isNull() | ~day.isin(replaced))
+        if UNDATED in newer:
+            stored = stored.filter(day.isNotNull())
+        if wanted is not None:
+            stored = stored.filter(day.isin([F.lit(x).cast("date") for x in sorted(wanted)]))
+        rows = rows.unionByName(stored)
     return rows
 
 
@@ -352,4 +396,4 @@ def load_backfill(
 def load_accumulators(spark: SparkSession, output_path: str) -> DataFrame:
     """The current accumulators of all NatCos, one scan of all slices."""
     entries = published(spark, output_path).filter(F.col("name").startswith(f"{ACCUMULATOR}_")).collect()
-    return conform(_accumulator(spark, entries), schemas.USER_ACCUMULATOR)
+    return conform(_sliced(spark, ACCUMULATOR, entries), schemas.USER_ACCUMULATOR)
