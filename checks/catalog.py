@@ -178,6 +178,18 @@ def publish_concurrent_agents(f: Feeds) -> DataFrame:
     return concurrent_runs(f)[0].d_agent
 
 
+@query
+def merge_slices_state(f: Feeds) -> DataFrame:
+    """A fact kept in date slices: all other files, then that of one date, which reads and writes the dates it touches."""
+    root = new_path(f.spark, "slices")
+    folders = f"{root}/lookup", f"{root}/output"
+    today = F.col("FileDate") == F.lit(ACTIVITY_DAY).cast("date")
+    for file_date, held in ((BEFORE_ALL, ~today), (ACTIVITY_DAY, today)):
+        activity, events = f.activity(early=True).filter(held), f.events(joint=True).filter(held)
+        jobs.DayRun(activity, events, *folders, file_date, NATCO).publish()
+    return publish.load(f.spark, folders[1], NATCO)[1].f_message_content
+
+
 # --- staging ----------------------------------------------------------------------------------------------------
 
 

@@ -391,16 +391,17 @@ def _run_owners(k: int) -> str:
     return f"SELECT DISTINCT split_part(agent_owner, '@', 1) AS owner FROM b{k}"
 
 
-CONCURRENT = (
-    activity(early=True),
-    billed(joint=True),
-    NATCO,
-    SEEDS,
-    CONTENT,
-    ("a1", "SELECT * REPLACE ('mt' AS NatCo) FROM activity WHERE agent_id >= 'agent15'"),
-    ("a2", "SELECT * REPLACE ('cg' AS NatCo) FROM activity WHERE agent_id < 'agent3'"),
-    ("b1", "SELECT * FROM billed WHERE agent_id >= 'agent15'"),
-    ("b2", "SELECT * FROM billed WHERE agent_id < 'agent3'"),
+def _two_runs(first: tuple[str, str], second: tuple[str, str]) -> tuple[tuple[str, str], ...]:
+    """The rows and the dimensions of two runs, each given by its NatCo and the rows of its files."""
+    feeds = [
+        (name, f"SELECT * REPLACE ('{natco}' AS NatCo) FROM {feed} WHERE {held}")
+        for k, (natco, held) in enumerate((first, second), 1)
+        for name, feed in ((f"a{k}", "activity"), (f"b{k}", "billed"))
+    ]
+    return (activity(early=True), billed(joint=True), NATCO, SEEDS, CONTENT, *feeds, *RUN_DIMENSIONS)
+
+
+RUN_DIMENSIONS = (
     ("ids1", f"SELECT row_number() OVER (ORDER BY agent_id) AS id, agent_id FROM ({_run_ids(1)}) i"),
     ("ids", _after("ids1", _run_ids(2), "agent_id")),
     ("owners1", f"SELECT row_number() OVER (ORDER BY owner) AS id, owner FROM ({_run_owners(1)}) o"),
@@ -415,6 +416,10 @@ CONCURRENT = (
         LEFT JOIN owners o ON o.owner = split_part(w.agent_owner, '@', 1)""",
     ),
 )
+CONCURRENT = _two_runs(("mt", "agent_id >= 'agent15'"), ("cg", "agent_id < 'agent3'"))
+ONE_DATE_MORE = _two_runs(("mt", f"FileDate <> DATE '{ACTIVITY_DAY}'"), ("mt", f"FileDate = DATE '{ACTIVITY_DAY}'"))
+# The second file replaces its own date and adds to the others.
+REPLACED = f"SELECT * FROM a1 WHERE split_part(time, 'T', 1) <> '{ACTIVITY_DAY}' UNION ALL SELECT * FROM a2"
 
 # --- the registered queries -------------------------------------------------------------------------------------
 
@@ -456,6 +461,7 @@ ORACLES: dict[str, str] = {
         *CONCURRENT, body=CONTENT_MERGED.format(f"({content_sql('a1')} UNION ALL {content_sql('a2')}) q")
     ),
     "publish_concurrent_agents": _with(*CONCURRENT, body="SELECT AgentID, AgentOwnerID, Agent FROM agents"),
+    "merge_slices_state": _with(*ONE_DATE_MORE, body=CONTENT_MERGED.format(f"({content_sql(f'({REPLACED})')}) q")),
     "stage_activity": _with(activity(), body=f"SELECT {ACTIVITY_COLUMNS}, NatCo FROM activity"),
     "stage_events": _with(billed(), body="SELECT * FROM billed"),
     "stage_lookups": _with(

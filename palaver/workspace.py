@@ -71,9 +71,10 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
 
 def concurrently[T](*steps: Callable[[], T]) -> list[T]:
     """Run independent steps at the same time, so that small jobs share the cluster instead of queueing."""
-    inherit = inheritable_thread_target(SparkSession.active())
+    session = SparkSession.active()
     with ThreadPoolExecutor(max_workers=min(len(steps), 8)) as pool:
-        started = [pool.submit(copy_context().run, inherit(step)) for step in steps]
+        # Each step gets local properties of its own: Spark keeps the execution's id there and clears it when it ends.
+        started = [pool.submit(copy_context().run, inheritable_thread_target(session)(step)) for step in steps]
         return [step.result() for step in started]
 
 

@@ -1,6 +1,5 @@
 """Facts in slices by date: the same rows as whole facts, with only the touched dates read and written."""
 
-from palaver.plans import jobs
 from palaver.plans.daily import run_day
 from palaver.plans.jobs import DayRun
 from palaver.plans.publish import DATED, load, publish, published
@@ -65,4 +64,3 @@ def test_slices_go_on_from_a_whole_fact_and_a_whole_fact_from_slices(spark, tmp_
     stored = [load(spark, folder, "mt", lookup)[1] for folder in (folders[1], f"{compared}/o")]
     for name in DATED:
         assert rows(getattr(stored[0], name)) == rows(getattr(stored[1], name)), name
-    assert jobs.load is load
