@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver import schemas
-from palaver.operators import dimensions, facts, merges, users
+from palaver.operators import dimensions, facts, merges, user_months, users
 from palaver.operators.staging import roll_user_accumulator
 from palaver.sources import lookups
 from palaver.workspace import concurrently, literal_table, matching, write_once
@@ -79,12 +79,16 @@ def run_day(
     natco: str,
     per: str = "type",
     digests: tuple[DataFrame, DataFrame] | None = None,
+    stored_users: user_months.StoredUsers | None = None,
 ) -> dict[str, DataFrame]:
-    """The 14 result tables of one run, by name. ``activity`` and ``events`` hold the run's rows only.
+    """The result tables of one run, 14 by name. ``activity`` and ``events`` hold the run's rows only.
 
     Each feed is aggregated once, into a digest that every dimension and fact is derived from. ``activity`` is read a
     second time for the accumulator, which keeps a row per activity, and for the distinct users that are counted.
     ``digests`` are those of ``day_digests``, where they are there already.
+
+    With ``stored_users`` users are not counted from the whole accumulator: the results by day, month and year hold the
+    touched months and their years only, and ``acc_user_months`` and ``acc_user_years`` are two more tables, for the next run.
     """
     messages, billed = digests or day_digests(activity, events, file_date, natco)
     activity = activity.withColumns({"NatCo": F.lit(natco), "FileDate": F.lit(file_date).cast("date")})
@@ -102,10 +106,25 @@ def run_day(
         new, mapping = dimensions.daily_content_types(typed, lookup.contents, per)
         return write_once(dimensions.merge_content_types(state.d_content_type, new), "contents"), mapping
 
-    (owners, agents), (contents, mapping), months, touched = concurrently(
+    def counted_users() -> dict[str, DataFrame]:
+        if stored_users is None:
+            months = write_once(users.user_months(accumulator, lookup.natcos), "user_months")
+            return _user_facts(months, months, months)
+        today = accumulator.filter(F.col("FileDate") == F.lit(file_date).cast("date"))
+        by_file = user_months.replace_file(stored_users.months, user_months.file_months(today), file_date)
+        by_file = write_once(by_file, "user_months_by_file")
+        months, years = concurrently(
+            lambda: write_once(user_months.over_files(by_file, lookup.natcos), "user_months"),
+            lambda: write_once(user_months.replace_months(stored_users.years, by_file, stored_users.touched), "user_years"),
+        )
+        all_years = years.unionByName(stored_users.other_years)
+        counts = _user_facts(months, *[user_months.as_months(x, lookup.natcos) for x in (years, all_years)])
+        return {**counts, "acc_user_months": by_file, "acc_user_years": years}
+
+    (owners, agents), (contents, mapping), counts, touched = concurrently(
         agent_dimensions,
         content_dimension,
-        lambda: write_once(users.user_months(accumulator, lookup.natcos), "user_months"),
+        counted_users,
         lambda: merges.touched_dates(file_date, messages, billed),
     )
 
@@ -127,10 +146,16 @@ def run_day(
         "f_message_conversation": merged(
             "f_message_conversation", new_conversation, merges.merge_message_conversation
         ),
-        "f_uau_daily": users.uau_daily(months),
-        "f_uau_monthly": users.uau_monthly(months),
-        "f_uau_yearly": users.uau_yearly(months),
-        "f_uau_total": users.uau_total(months),
+        **counts,
         "acc_users_daily": accumulator,
         "ContentDescriptionMapping": mapping,
     }
+
+
+def _user_facts(months: DataFrame, by_year: DataFrame, by_any: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "f_uau_daily": users.uau_daily(months),
+        "f_uau_monthly": users.uau_monthly(months),
+        "f_uau_yearly": users.uau_yearly(by_year),
+        "f_uau_total": users.uau_total(by_any),
+    }

@@ -15,10 +15,12 @@ from palaver.plans.publish import (
     load,
     load_accumulators,
     load_backfill,
+    load_users,
     publish,
     publish_backfill,
     publish_users,
     snapshot,
+    users_covered,
 )
 from palaver.sources.feeds import Feed, read_feed
 from palaver.workspace import run_folder, write_once
@@ -46,7 +48,7 @@ class DayRun:
     If another run replaced what this one has read, it is computed again on the new state, from the same digests of its
     feeds, until it is published on the state that it was computed on. So runs at the same time end as if one had been
     after the other, in the order in which they were published. Of the accumulating facts, only the dates that the feeds
-    touch are read, aggregated and written; the results hold these dates.
+    touch are read, aggregated and written; the results hold these dates. Users are counted likewise, from stored months.
     """
 
     def __init__(
@@ -72,8 +74,14 @@ class DayRun:
 
     def _compute(self) -> None:
         self.since = snapshot(self.spark, self.folders[1])
-        lookup, state = load(self.spark, self.folders[1], self.run[1], self.seeds, self.since, self.dates)
-        self.results = run_day(*self.feeds, lookup, state, *self.run, self.per, self.digests)
+        day, natco = self.run
+        files = [day] if self.dates is not None and users_covered(self.since, natco) else None
+        lookup, state = load(self.spark, self.folders[1], natco, self.seeds, self.since, self.dates, files)
+        users = None
+        if self.dates is not None:
+            users = load_users(self.spark, natco, self.since, state.acc_users_daily, self.dates)
+        self.months = users and users.touched
+        self.results = run_day(*self.feeds, lookup, state, day, natco, self.per, self.digests, users)
         self.attempts += 1
 
     def publish(self) -> list[str]:
@@ -81,7 +89,9 @@ class DayRun:
         while True:
             try:
                 day, natco = self.run
-                return publish(self.results, *self.folders, new_version(), natco, day, self.as_csv, self.since, self.dates)
+                return publish(
+                    self.results, *self.folders, new_version(), natco, day, self.as_csv, self.since, self.dates, self.months
+                )
             except Superseded:
                 self._compute()
 

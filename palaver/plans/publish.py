@@ -3,7 +3,8 @@
 A run never writes a path it reads. A run that dies leaves no trace in the list, and can simply be repeated. An empty
 result is not listed, so the table published before it stays current. The accumulator is listed by slices, one for each
 file date of a NatCo: a run writes the slices it processed and lists them, also an empty one. The accumulating facts are
-listed by slices as well, one for each date of a NatCo: a run reads and writes those of the dates its files touch.
+listed by slices as well, one for each date of a NatCo: a run reads and writes those of the dates its files touch. Users
+are kept and counted in slices by month and by year.
 
 Runs may be under way at the same time. An append is a file with the next number, which is put in place by a rename that
 fails if another run was first (as HDFS does; object stores without such a rename need one run at a time). Before it, a run
@@ -19,12 +20,13 @@ from functools import partial, reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from palaver import schemas
 from palaver.operators.staging import conform
+from palaver.operators.user_months import UNDATED, StoredUsers, file_months, month_name, year_of
 from palaver.plans.daily import STATE_SCHEMAS, Lookups, State, seed_lookups
 from palaver.sources.delimited import SEMICOLONS, read_delimited, write_delimited
 from palaver.workspace import concurrently, literal_table, matching, remove
@@ -39,8 +41,10 @@ PER_NATCO = (
     "f_uau_yearly",
     "f_uau_total",
     "acc_users_daily",
+    "acc_user_months",
+    "acc_user_years",
 )
-LOOKUP_TABLES = ("acc_users_daily", "ContentDescriptionMapping")
+LOOKUP_TABLES = ("acc_users_daily", "acc_user_months", "acc_user_years", "ContentDescriptionMapping")
 
 SCHEMAS = {
     **STATE_SCHEMAS,
@@ -51,16 +55,23 @@ SCHEMAS = {
     "f_uau_yearly": schemas.UAU_YEARLY,
     "f_uau_total": schemas.UAU_TOTAL,
     "f_uau": schemas.UAU,
+    "acc_user_months": schemas.USER_MONTHS,
+    "acc_user_years": schemas.USER_YEARS,
     "ContentDescriptionMapping": schemas.CONTENT_MAPPING,
 }
 
 ACCUMULATOR = "acc_users_daily"
 # Facts in slices by Date. Rows without a date are a slice of their own, which every run replaces.
 DATED = ("f_message_content", "f_conversations_and_sm", "f_message_conversation")
-UNDATED = "none"
+# Tables in slices by month and by year, likewise.
+USER_MONTHS, USER_YEARS = "acc_user_months", "acc_user_years"
+BY_MONTH = ("f_uau_daily", "f_uau_monthly", USER_MONTHS)
+BY_YEAR = ("f_uau_yearly", USER_YEARS)
+# Listed with the user months by a run that has brought them up to its own slice of the accumulator.
+COVERED = "covered"
 _LIST = "_published"
-# slice: the file date of a slice of the accumulator or the date of a slice of a fact, null for a whole table. An empty
-# slice has no path.
+# slice: the file date of a slice of the accumulator, or the date, month or year of a slice of another table; null for a
+# whole table. An empty slice has no path.
 # commit: the number of the append, null in lists from before appends were numbered.
 _LIST_SCHEMA = StructType(
     [*(StructField(c, StringType()) for c in ("name", "version", "path", "format", "slice")), StructField("commit", LongType())]
@@ -71,6 +82,15 @@ def table_name(table: str, natco: str) -> str:
     return f"{table}_{natco}" if table in PER_NATCO else table
 
 
+def _slice_column(table: str) -> Column:
+    """The column whose text names a row's slice; null for the slice of rows without a date."""
+    if table in BY_YEAR:
+        return F.col("Year")
+    if table in BY_MONTH:
+        return F.col("YearMonth") if table == "f_uau_monthly" else month_name("Month" if table == USER_MONTHS else "Date")
+    return F.col("FileDate" if table == ACCUMULATOR else "Date")
+
+
 def _sort_columns(table: str) -> list[str]:
     """Columns in order, but a table kept by date starts with its date."""
     names = SCHEMAS[table].names
@@ -166,6 +186,7 @@ def publish(
     as_csv: bool = False,
     since: Snapshot | None = None,
     dates: Iterable[str] | None = None,
+    months: Iterable[str] | None = None,
 ) -> list[str]:
     """Write the results of one run and make them current. Returns the names of the tables that were not empty.
 
@@ -173,10 +194,16 @@ def publish(
     written whole, ``;``-separated and sorted. With ``since``, what was current when the run read its state, shared
     tables without a change are not listed again, and ``Superseded`` is raised if the state was replaced meanwhile; then
     nothing of the run is left. With ``dates``, the accumulating facts hold the rows of these dates only, and only their
-    slices are written.
+    slices are written. With ``months``, so do the users by month, and those by year hold the years of these.
     """
     spark = next(iter(results.values())).sparkSession
     unchanged = []
+    touched: dict[str, list[str]] = {}
+    if not as_csv and dates is not None:
+        touched |= {table: [*dates, UNDATED] for table in DATED}
+    if not as_csv and months is not None:
+        touched |= {table: sorted({*months, UNDATED}) for table in BY_MONTH}
+        touched |= {table: sorted({*map(year_of, months), UNDATED}) for table in BY_YEAR}
 
     def store(table: str) -> list[tuple]:
         root = (lookup_path if table in LOOKUP_TABLES else output_path).rstrip("/")
@@ -187,8 +214,9 @@ def publish(
             path = f"{root}/{version}/{name}"
             today.write.mode("errorifexists").parquet(path)
             return [(name, version, path, "parquet", file_date)]
-        if table in DATED and dates is not None and not as_csv:
-            return _store_slices(df, table, name, f"{root}/{version}/{name}", version, dates, since)
+        if table in touched:
+            entries = _store_slices(df, table, name, f"{root}/{version}/{name}", version, touched[table], since)
+            return [*entries, (name, version, "", "parquet", COVERED)] if table == USER_MONTHS else entries
         path = f"{root}/{version}/{name}" + (".csv" if as_csv else "")
         filled, fmt = _write(df, table, path, as_csv), "csv" if as_csv else "parquet"
         before = since.path(name) if since and table not in PER_NATCO else None
@@ -209,19 +237,21 @@ def publish(
 
 
 def _store_slices(
-    df: DataFrame, table: str, name: str, path: str, version: str, dates: Iterable[str], since: Snapshot | None
+    df: DataFrame, table: str, name: str, path: str, version: str, touched: Iterable[str], since: Snapshot | None
 ) -> list[tuple]:
-    """Write the slices of a fact, one folder per date, and return their entries; none if the whole fact would be empty."""
+    """Write slices of a table, one folder each, and return their entries; none if the whole table would be empty."""
     # Folders named by a copy of the column, so that the files hold all of them.
-    df.withColumn("date_", F.col("Date")).hint("rebalance", "date_").write.partitionBy("date_").parquet(path)
+    named = df.withColumn("date_", _slice_column(table).cast("string"))
+    named.hint("rebalance", "date_").write.partitionBy("date_").parquet(path)
     stored = df.sparkSession.read.schema(SCHEMAS[table]).parquet(path)
-    filled = {row["date"] for row in stored.select(F.col("Date").cast("string").alias("date")).distinct().collect()}
-    places = {d: f"{path}/date_={d}" if d in filled else "" for d in dates}
-    places[UNDATED] = f"{path}/date_=__HIVE_DEFAULT_PARTITION__" if None in filled else ""
+    filled = {row["slice"] for row in stored.select(_slice_column(table).cast("string").alias("slice")).distinct().collect()}
+    places = {x: f"{path}/date_={x}" if x in filled else "" for x in touched}
+    if None in filled:
+        places[UNDATED] = f"{path}/date_=__HIVE_DEFAULT_PARTITION__"
     others = [row for row in since.entries if row["name"] == name and row["slice"] not in places and row["path"]] if since else []
     if not filled and not others:
         return []
-    return [(name, version, place, "parquet", d) for d, place in places.items()]
+    return [(name, version, place, "parquet", x) for x, place in places.items()]
 
 
 def publish_backfill(
@@ -282,7 +312,7 @@ def publish_users(users: DataFrame, output_path: str, version: str) -> str:
 
 
 def published(spark: SparkSession, output_path: str) -> DataFrame:
-    """The current version of every table and slice: name, version, path, format, slice.
+    """The current version of every table and slice: name, version, path, format, slice, commit.
 
     A whole table that is newer than a slice of it takes the slice's place.
     """
@@ -292,9 +322,9 @@ def published(spark: SparkSession, output_path: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         entries = literal_table(spark, [], _LIST_SCHEMA)
-    entries = entries.withColumn("_at", F.struct(F.coalesce("commit", F.lit(0)), "version"))
+    entries = entries.withColumn("_at", F.struct(F.coalesce("commit", F.lit(0)).alias("commit"), "version"))
     latest = F.max_by(F.struct("version", "path", "format", "_at"), "_at").alias("latest")
-    current = entries.groupBy("name", "slice").agg(latest).select("name", "latest.*", "slice")
+    current = entries.groupBy("name", "slice").agg(latest).select("name", "latest.*", "slice", "latest._at.commit")
     whole = F.max(F.when(F.col("slice").isNull(), F.col("_at"))).over(Window.partitionBy("name"))
     current = current.withColumn("_whole", whole)
     return current.filter("slice is null or _whole is null or _at > _whole").drop("_whole", "_at")
@@ -330,12 +360,13 @@ def load(
     seeds: Lookups | None = None,
     at: Snapshot | None = None,
     dates: Iterable[str] | None = None,
+    files: Iterable[str] | None = None,
 ) -> tuple[Lookups, State]:
     """Lookups and state for the next run of ``natco``.
 
     A table that was never published is empty. The content mapping starts as that of ``seeds`` and is then the one the
     last run published. ``at``: what to take for current, else what is now. ``dates``: of the accumulating facts, the
-    dates to read, else all.
+    dates to read, else all. ``files``: of the accumulator, the file dates to read, else all.
     """
     listed = (at or snapshot(spark, output_path)).entries
     current = {row["name"]: row for row in listed}
@@ -344,7 +375,7 @@ def load(
     def table(name: str, otherwise: DataFrame | None = None) -> DataFrame:
         if name == ACCUMULATOR or name in DATED:
             own = [row for row in listed if row["name"] == table_name(name, natco)]
-            return _sliced(spark, name, own, dates if name in DATED else None)
+            return _sliced(spark, name, own, dates if name in DATED else files)
         entry = current.get(table_name(name, natco))
         if entry is None:
             return literal_table(spark, [], SCHEMAS[name]) if otherwise is None else otherwise
@@ -355,29 +386,71 @@ def load(
     return Lookups(seeds.natcos, seeds.conversation_types, contents), state
 
 
-def _sliced(spark: SparkSession, table: str, entries: list, dates: Iterable[str] | None = None) -> DataFrame:
-    """The rows of the listed slices, in one scan, and of whole tables but for the days that have a newer slice.
+def _sliced(spark: SparkSession, table: str, entries: list, wanted: Iterable[str] | None = None) -> DataFrame:
+    """The rows of the listed slices, in one scan, and of whole tables but for the slices that are newer.
 
-    ``dates``: the days to read, else all; files of other slices are not opened.
+    ``wanted``: the slices to read, else all; files of other slices are not opened.
     """
-    day = F.col("FileDate" if table == ACCUMULATOR else "Date")
-    wanted = None if dates is None else set(dates)
+    wanted = None if wanted is None else set(wanted)
     paths = [row["path"] for row in entries if row["path"] and row["slice"] is not None and (wanted is None or row["slice"] in wanted)]
     rows = _read(spark, table, paths, "parquet") if paths else literal_table(spark, [], SCHEMAS[table])
+    column, kind = _slice_column(table), "int" if table in BY_YEAR else "string" if table in BY_MONTH else "date"
+
+    def within(names: Iterable[str]) -> Column:
+        return column.isin([F.lit(x).cast(kind) for x in sorted(set(names) - {UNDATED, COVERED})])
+
     for whole in (row for row in entries if row["slice"] is None):
         newer = [row["slice"] for row in entries if row["slice"] is not None and row["name"] == whole["name"]]
         stored = _read(spark, table, whole["path"], whole["format"])
-        replaced = [F.lit(x).cast("date") for x in newer if x != UNDATED]
-        if replaced:
-            stored = stored.filter(day.isNull() | ~day.isin(replaced))
+        if set(newer) - {UNDATED, COVERED}:
+            stored = stored.filter(column.isNull() | ~within(newer))
         if UNDATED in newer:
-            stored = stored.filter(day.isNotNull())
+            stored = stored.filter(column.isNotNull())
         if wanted is not None:
-            stored = stored.filter(day.isin([F.lit(x).cast("date") for x in sorted(wanted)]))
+            stored = stored.filter(within(wanted) | (column.isNull() if UNDATED in wanted else F.lit(False)))
         rows = rows.unionByName(stored)
     return rows
 
 
+def current_table(spark: SparkSession, output_path: str, table: str, natco: str = "", at: Snapshot | None = None) -> DataFrame:
+    """All current rows of a published table, kept whole or in slices; none if it was never published."""
+    name = table_name(table, natco)
+    return _sliced(spark, table, [row for row in (at or snapshot(spark, output_path)).entries if row["name"] == name])
+
+
+def users_covered(at: Snapshot, natco: str) -> bool:
+    """Whether the stored user months stand for the current accumulator: no slice of it was listed after them.
+
+    They do not after a backfill, a run that wrote text, or in folders from before user months were stored.
+    """
+    mark = [r["commit"] for r in at.entries if r["name"] == table_name(USER_MONTHS, natco) and r["slice"] == COVERED]
+    return bool(mark) and all(r["commit"] <= mark[0] for r in at.entries if r["name"] == table_name(ACCUMULATOR, natco))
+
+
+def load_users(spark: SparkSession, natco: str, at: Snapshot, accumulator: DataFrame, dates: Iterable[str]) -> StoredUsers:
+    """The stored users for a run whose feeds hold ``dates``.
+
+    ``accumulator`` is what ``load`` has read: the slice that the run replaces, whose months are touched too, if user months
+    are stored, and all slices if they are not; then the run makes the user months of all of them, once.
+    """
+    own = {x: [row for row in at.entries if row["name"] == table_name(x, natco)] for x in (*BY_MONTH, *BY_YEAR)}
+    before = accumulator.filter("FileDate is not null").select(month_name("Date").alias("month")).distinct().collect()
+    touched = {date[:-3] for date in dates} | {row["month"] or UNDATED for row in before} | {UNDATED}
+    if not users_covered(at, natco):
+        # Slices that are listed from before are replaced as well, also those that turn out empty.
+        touched |= {row["slice"] for x in BY_MONTH for row in own[x] if row["slice"] not in (None, COVERED)}
+        years = literal_table(spark, [], SCHEMAS[USER_YEARS])
+        return StoredUsers(tuple(sorted(touched)), file_months(accumulator), years, years)
+    years = {year_of(month) for month in touched}
+    others = {row["slice"] for row in own[USER_YEARS]} - years
+    return StoredUsers(
+        tuple(sorted(touched)),
+        _sliced(spark, USER_MONTHS, own[USER_MONTHS], touched),
+        _sliced(spark, USER_YEARS, own[USER_YEARS], years),
+        _sliced(spark, USER_YEARS, own[USER_YEARS], others),
+    )
+
+
 def load_backfill(
     spark: SparkSession, output_path: str, natcos: list[str], seeds: Lookups, at: Snapshot | None = None
 ) -> tuple[Lookups, dict[str, DataFrame]]:

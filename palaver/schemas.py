@@ -87,6 +87,10 @@ CONVERSATIONS_AND_SM = _schema(
 USER_ACCUMULATOR = _schema(
     FileDate=DateType, Date=DateType, NatCo=StringType, AgentID=LongType, user_id=StringType
 )
+USER_MONTHS = _schema(
+    FileDate=DateType, NatCo=StringType, Month=DateType, AgentID=LongType, user_id=StringType, Days=LongType
+)
+USER_YEARS = _schema(NatCo=StringType, Year=IntegerType, AgentID=LongType, user_id=StringType, Months=LongType)
 UAU_DAILY = _schema(Date=DateType, NatCoID=IntegerType, AgentID=LongType, UAU_daily=LongType)
 UAU_MONTHLY = _schema(YearMonth=StringType, NatCoID=IntegerType, AgentID=LongType, UAU_monthly=LongType)
 UAU_YEARLY = _schema(Year=IntegerType, NatCoID=IntegerType, AgentID=LongType, UAU_yearly=LongType)
