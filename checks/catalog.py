@@ -1,7 +1,7 @@
 """Every registered query: an operator of the library over the whole test tables."""
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,6 +190,24 @@ def merge_slices_state(f: Feeds) -> DataFrame:
     return publish.load(f.spark, folders[1], NATCO)[1].f_message_content
 
 
+@query
+def uau_incremental(f: Feeds) -> DataFrame:
+    """Users counted from stored months: all other files, a wrong file of one date, and that date's right file after it."""
+    root = new_path(f.spark, "user_months")
+    folders = f"{root}/lookup", f"{root}/output"
+    activity, events = f.activity(early=True), f.events(joint=True)
+    today = F.col("FileDate") == F.lit(ACTIVITY_DAY).cast("date")
+    wrong = ~today & (F.col("agent_id") < "agent3")
+    for file_date, seen, billed in ((BEFORE_ALL, ~today, ~today), (ACTIVITY_DAY, wrong, F.lit(False)), (ACTIVITY_DAY, today, today)):
+        jobs.DayRun(activity.filter(seen), events.filter(billed), *folders, file_date, NATCO).publish()
+    counts = []
+    for grain, period in (("daily", "Date"), ("monthly", "YearMonth"), ("yearly", "Year"), ("total", None)):
+        counted = publish.current_table(f.spark, folders[1], f"f_uau_{grain}", NATCO)
+        name = F.col(period).cast("string") if period else F.lit(None).cast("string")
+        counts.append(counted.select(F.lit(grain).alias("grain"), name.alias("period"), "NatCoID", "AgentID", F.col(f"UAU_{grain}").alias("users")))
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- staging ----------------------------------------------------------------------------------------------------
 
 

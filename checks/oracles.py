@@ -421,6 +421,20 @@ ONE_DATE_MORE = _two_runs(("mt", f"FileDate <> DATE '{ACTIVITY_DAY}'"), ("mt", f
 # The second file replaces its own date and adds to the others.
 REPLACED = f"SELECT * FROM a1 WHERE split_part(time, 'T', 1) <> '{ACTIVITY_DAY}' UNION ALL SELECT * FROM a2"
 
+# Agents are looked up as they were before a run: none before the first, those of the first before the second.
+USER_GRAINS = {
+    "daily": "CAST(Date AS VARCHAR)",
+    "monthly": "strftime(Date, '%Y-%m')",
+    "yearly": "CAST(year(Date) AS VARCHAR)",
+    "total": "CAST(NULL AS VARCHAR)",
+}
+SEEN_USERS = (
+    "acc",
+    """SELECT CAST(split_part(time, 'T', 1) AS DATE) AS Date, NatCo, CAST(NULL AS BIGINT) AS AgentID, user_id FROM a1
+    UNION ALL SELECT CAST(split_part(time, 'T', 1) AS DATE), NatCo, i.id, user_id
+    FROM a2 LEFT JOIN ids1 i ON split_part(i.agent_id, '@', 1) = split_part(a2.agent_id, '@', 1)""",
+)
+
 # --- the registered queries -------------------------------------------------------------------------------------
 
 ACTIVITY_COLUMNS = "activity_id, billing_event_id, agent_id, user_id, direction, time, type, size_bytes"
@@ -462,6 +476,15 @@ ORACLES: dict[str, str] = {
     ),
     "publish_concurrent_agents": _with(*CONCURRENT, body="SELECT AgentID, AgentOwnerID, Agent FROM agents"),
     "merge_slices_state": _with(*ONE_DATE_MORE, body=CONTENT_MERGED.format(f"({content_sql(f'({REPLACED})')}) q")),
+    "uau_incremental": _with(
+        *ONE_DATE_MORE,
+        SEEN_USERS,
+        body=" UNION ALL ".join(
+            f"SELECT '{grain}' AS grain, {period} AS period, NatCoID, AgentID, count(DISTINCT user_id) AS users "
+            "FROM acc LEFT JOIN natco USING (NatCo) GROUP BY ALL"
+            for grain, period in USER_GRAINS.items()
+        ),
+    ),
     "stage_activity": _with(activity(), body=f"SELECT {ACTIVITY_COLUMNS}, NatCo FROM activity"),
     "stage_events": _with(billed(), body="SELECT * FROM billed"),
     "stage_lookups": _with(

@@ -39,7 +39,9 @@ def _land(
     bad_records_path: str | None = None,
 ) -> DataFrame:
     """Decompress the feed once. Every later step reads the columns it needs from splittable files."""
-    return write_once(read_feed(spark, folder, feed, dates, natcos, bad_records_path).hint("rebalance"), feed)
+    rows = read_feed(spark, folder, feed, dates, natcos, bad_records_path)
+    # With a quarantine the parse is stored already.
+    return write_once(rows.hint("rebalance"), feed) if bad_records_path is None else rows
 
 
 class DayRun:

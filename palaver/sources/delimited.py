@@ -2,12 +2,16 @@
 
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from palaver.workspace import matching, remove, write_once
+
 MALFORMED = "_malformed_record"
+SOURCE = "_source_file"
 
 
 @dataclass(frozen=True)
@@ -41,16 +45,45 @@ def read_delimited(
     """Read a file, a folder, a glob or a list of them; ``.gz`` files are decompressed.
 
     Records with a wrong type, too many or too few fields are dropped. With ``bad_records_path`` the dropped records
-    are also written there, in place of those of an earlier read of the same file. An unquoted empty field and a quoted one are both read as null.
+    are also written there (``read_and_quarantine``), in place of those of an earlier read of the same file. An unquoted
+    empty field and a quoted one are both read as null.
     """
-    reader = spark.read.options(**dialect.options()).option("columnPruning", False)
     if bad_records_path is not None:
-        bad = malformed_records(spark, path, schema, dialect).withColumn("source_", F.col("_source_file"))
-        writer = bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("source_").parquet(bad_records_path)
+        return read_and_quarantine(spark, path, schema, bad_records_path, dialect).select(*schema.names)
+    reader = spark.read.options(**dialect.options()).option("columnPruning", False)
     return _parse_whole(reader.option("mode", "DROPMALFORMED").schema(schema).csv(path))
 
 
+def read_and_quarantine(
+    spark: SparkSession, path: str | list[str], schema: StructType, bad_records_path: str, dialect: Dialect = Dialect()
+) -> DataFrame:
+    """The good records with their ``_source_file``, from a working table; the malformed ones go to ``bad_records_path``.
+
+    The text is parsed once, into a working table of all its records, from which both are read. The quarantine keeps a
+    folder per source file, replaced when the file is read again and removed when it then has no malformed record.
+    """
+    parsed = parsed_records(spark, path, schema, dialect)
+    # Named as in the column: file:/ and file:/// are one.
+    files = {spark._jvm.org.apache.hadoop.fs.Path(name).toString() for name in parsed.inputFiles()}
+    stored = write_once(parsed.hint("rebalance"), "parsed")
+    bad = stored.filter(F.col(MALFORMED).isNotNull()).withColumn("source_", F.col(SOURCE))
+    still = {row["source_"] for row in bad.select("source_").distinct().collect()}
+    for folder in _folders_of(spark, bad_records_path, sorted(files - still)):
+        remove(spark, folder)
+    writer = bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("source_").parquet(bad_records_path)
+    return stored.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def _folders_of(spark: SparkSession, bad_records_path: str, files: list[str]) -> list[str]:
+    """The folders of the quarantine that hold records of these files; no other folder is read."""
+    if not files or not matching(spark, f"{bad_records_path.rstrip('/')}/source_=*"):
+        return []
+    kept = spark.read.parquet(bad_records_path).filter(F.col("source_").isin(files))
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+    return [unquote(row["folder"]) for row in kept.select(folder).distinct().collect()]
+
+
 def _parse_whole(rows: DataFrame) -> DataFrame:
     """Make dropping a record independent of the columns a query selects.
 
@@ -68,6 +101,12 @@ def malformed_records(
 
     (Spark refuses to evaluate the raw text alone straight from a file, as a bare count would.)
     """
+    rows = parsed_records(spark, path, schema, dialect)
+    return rows.filter(rows[MALFORMED].isNotNull())
+
+
+def parsed_records(spark: SparkSession, path: str | list[str], schema: StructType, dialect: Dialect = Dialect()) -> DataFrame:
+    """All records: what could be parsed, the raw text of malformed ones, and the file."""
     probed = StructType([*schema.fields, StructField(MALFORMED, StringType())])
     rows = (
         spark.read.options(**dialect.options())
@@ -77,7 +116,7 @@ def malformed_records(
         .schema(probed)
         .csv(path)
     )
-    return rows.filter(rows[MALFORMED].isNotNull()).select("*", rows["_metadata.file_path"].alias("_source_file"))
+    return rows.select("*", rows["_metadata.file_path"].alias(SOURCE))
 
 
 def read_many(

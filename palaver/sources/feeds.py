@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from palaver import schemas
 from palaver.functions.text import to_date
-from palaver.sources.delimited import SEMICOLONS, TABS, read_delimited
+from palaver.sources.delimited import SEMICOLONS, SOURCE, TABS, read_and_quarantine, read_delimited
 from palaver.workspace import literal_table, matching
 
 # Names of the feed files and of the accumulators.
@@ -61,18 +61,21 @@ def read_feed(
 ) -> DataFrame:
     """Read any number of feed files in one scan; FileDate and NatCo come from each file's name.
 
-    A gzip file cannot be split, so a file is one task. Land feeds that are read more than once. A name may also be a
-    folder of files; ``prefix`` is text before the name, such as ``file=`` where Spark wrote the folders. Requested
-    files that are not there are passed over (``present`` tells which are).
+    With a quarantine folder the rows come from a working table, else from the text: a gzip file cannot be split, so a file
+    is one task. Land feeds that are read more than once. A name may also be a folder of files; ``prefix`` is text before
+    the name, such as ``file=`` where Spark wrote the folders. Requested files that are not there are passed over
+    (``present`` tells which are).
     """
     paths = [path for _, _, path in present(spark, folder, feed, file_dates, natcos, prefix)]
     if not paths:
         return literal_table(spark, [], StructType([*_SCHEMA[feed], *_TAGS]))
     named = FEED_NAME[feed].replace(".", r"\.").format(date=r"(\d{4}-\d{2}-\d{2})", natco="([^./]+)")
-    rows = read_delimited(spark, paths, _SCHEMA[feed], TABS, bad_records_path)
-    source = F.col("_metadata.file_path")
+    if bad_records_path is None:
+        rows, source = read_delimited(spark, paths, _SCHEMA[feed], TABS), F.col("_metadata.file_path")
+    else:
+        rows, source = read_and_quarantine(spark, paths, _SCHEMA[feed], bad_records_path, TABS), F.col(SOURCE)
     return rows.select(
-        "*",
+        *_SCHEMA[feed].names,
         F.regexp_extract(source, named, 2).alias("NatCo"),
         to_date(F.regexp_extract(source, named, 1)).alias("FileDate"),
     )

@@ -41,6 +41,37 @@ def test_malformed_records_are_quarantined(spark, tmp_path):
     assert all(r[0].endswith("f.csv") for r in bad.select("_source_file").collect())
 
 
+def test_text_is_parsed_once_for_the_rows_and_the_quarantine(spark, tmp_path):
+    path, bad = write(tmp_path / "f 1.csv", BAD), str(tmp_path / "bad")
+    other = write(tmp_path / "g.csv", "a;b\n7;y\nworse\n")
+    df = delimited.read_delimited(spark, [path, other], AB, delimited.SEMICOLONS, bad_records_path=bad)
+    assert rows(df) == rows(delimited.read_delimited(spark, [path, other], AB, delimited.SEMICOLONS)) == bag((1, "x"), (5, "w"), (7, "y"))
+    assert "Scan csv" not in df._jdf.queryExecution().toString() and all(x.endswith(".parquet") for x in df.inputFiles())
+    stored = rows(spark.read.parquet(bad))
+    delimited.read_delimited(spark, [path, other], AB, delimited.SEMICOLONS, bad_records_path=bad)
+    assert rows(spark.read.parquet(bad)) == stored and len(stored) == 4
+    # a file without malformed records leaves the quarantine; the other file's stay
+    write(tmp_path / "f 1.csv", "a;b\n1;x\n")
+    spark.catalog.refreshByPath(path)
+    assert rows(delimited.read_delimited(spark, path, AB, delimited.SEMICOLONS, bad_records_path=bad)) == bag((1, "x"))
+    assert [r[0] for r in spark.read.parquet(bad).select(delimited.MALFORMED).collect()] == ["worse"]
+
+
+def test_feeds_keep_their_tags_with_a_quarantine(spark, tmp_path):
+    names = schemas.EVENTS.names
+    numbers = [i for i, f in enumerate(schemas.EVENTS) if f.dataType.typeName() != "string"]
+    good = "\t".join("1" if i in numbers else "x" for i in range(len(names)))
+    (tmp_path / "in").mkdir()
+    for natco in ("mt", "cg"):
+        with gzip.open(tmp_path / "in" / feeds.feed_file("events", "2024-01-02", natco), "wt") as out:
+            out.write("\n".join(["\t".join(names), good, good + "\ttoo many", ""]))
+    plain = feeds.read_feed(spark, str(tmp_path / "in"), "events")
+    split = feeds.read_feed(spark, str(tmp_path / "in"), "events", bad_records_path=str(tmp_path / "bad"))
+    assert split.columns == plain.columns and rows(split) == rows(plain)
+    assert rows(split, "NatCo", "FileDate") == bag(("mt", "2024-01-02"), ("cg", "2024-01-02"))
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+
+
 def test_header_only_file_is_empty_with_its_schema(spark, tmp_path):
     df = delimited.read_delimited(spark, write(tmp_path / "f.csv", "a;b\n"), AB, delimited.SEMICOLONS)
     assert df.schema == AB and df.isEmpty()
