@@ -35,6 +35,8 @@ NEARLY_FULL = 4
 CACHE = 400_000
 #: A task's blocks are numbered within this many; a task number above it starts at the next multiple.
 BLOCKS_EACH = 1 << 20
+# More rows than a task packs.
+ROWS_EACH = 1 << 40
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
@@ -161,24 +163,25 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, fan_in:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, held, rows = TaskContext.get().partitionId() * BLOCKS_EACH, [], 0
+        task = TaskContext.get().partitionId()
+        # A leaf ends with the batch that fills it, so bins are numbered by the rows that the task has packed before.
+        node, first, held, rows = task * BLOCKS_EACH, task * ROWS_EACH, [], 0
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
             if rows >= block:
-                yield packed(held, node)
-                held, rows, node = [], 0, node + 1
+                yield packed(held, node, first)
+                node, first, held, rows = node + 1, first + rows, [], 0
         if rows:
-            yield packed(held, node)
+            yield packed(held, node, first)
 
-    def packed(held: list[pa.RecordBatch], node: int) -> pa.RecordBatch:
+    def packed(held: list[pa.RecordBatch], node: int, first: int) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
         bins, offsets, used = best_fit(table.column("length").to_numpy(), capacity)
         used = np.array(used, np.int64)
-        base = node * block * 2
         added = [
             ("_node", pa.array(np.full(len(bins), node))),
-            ("_bin", pa.array(base + bins)),
+            ("_bin", pa.array(first + bins)),
             ("_offset", pa.array(offsets)),
             ("_used", pa.array(used[bins])),
             ("_goes", pa.array(carried(used, capacity, carry)[bins])),

@@ -47,6 +47,23 @@ def test_sequences_are_gapless_and_few(spark, block, fan_in, carry):
     assert len(sequences) <= whole * (1.03 if block > 7 else 1.1)
 
 
+def test_leaves_of_more_rows_than_a_block_do_not_share_numbers(spark, setting):
+    """Several leaves in a task, each of a batch that is larger than a block."""
+    setting("spark.sql.execution.arrow.maxRecordsPerBatch", 60)
+    r = random.Random(4)
+    lengths = [r.choice([r.randint(1, 100), r.randint(40, 60), 100]) for _ in range(700)]
+    rows = spark.createDataFrame(list(enumerate(lengths)), "id bigint, length bigint").repartition(2)
+    found = pack(rows, 100, 7, 2, 3).collect()
+    assert sorted((x.id, x.length) for x in found) == list(enumerate(lengths))
+    sequences = defaultdict(list)
+    for x in found:
+        sequences[x.sequence_id].append((x.offset, x.length))
+    for parts in sequences.values():
+        ends = [a + n for a, n in sorted(parts)]
+        assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 100
+    assert len(sequences) <= len(best_fit(np.array(lengths), 100)[2]) * 1.1
+
+
 def test_an_empty_table_gives_no_rows(spark):
     assert pack(pieces(table(spark, []))).collect() == []
 
