@@ -190,6 +190,28 @@ def merge_slices_state(f: Feeds) -> DataFrame:
     return publish.load(f.spark, folders[1], NATCO)[1].f_message_content
 
 
+def rerun_by_file(f: Feeds) -> daily.State:
+    """Facts kept by file: all other files, a wrong file of one date, that date's right file, and the others once more."""
+    root = new_path(f.spark, "by_file")
+    folders = f"{root}/lookup", f"{root}/output"
+    activity, events = f.activity(early=True), f.events(joint=True)
+    today = F.col("FileDate") == F.lit(ACTIVITY_DAY).cast("date")
+    wrong = ~today & (F.col("agent_id") < "agent3")
+    for file_date, seen in ((BEFORE_ALL, ~today), (ACTIVITY_DAY, wrong), (ACTIVITY_DAY, today), (BEFORE_ALL, ~today)):
+        jobs.DayRun(activity.filter(seen), events.filter(seen), *folders, file_date, NATCO, by_file=True).publish()
+    return publish.load(f.spark, folders[1], NATCO)[1]
+
+
+@query
+def facts_rerun(f: Feeds) -> DataFrame:
+    return rerun_by_file(f).f_message_content
+
+
+@query
+def facts_rerun_conversations(f: Feeds) -> DataFrame:
+    return rerun_by_file(f).f_message_conversation
+
+
 @query
 def uau_incremental(f: Feeds) -> DataFrame:
     """Users counted from stored months: all other files, a wrong file of one date, and that date's right file after it."""

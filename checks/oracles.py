@@ -420,6 +420,7 @@ CONCURRENT = _two_runs(("mt", "agent_id >= 'agent15'"), ("cg", "agent_id < 'agen
 ONE_DATE_MORE = _two_runs(("mt", f"FileDate <> DATE '{ACTIVITY_DAY}'"), ("mt", f"FileDate = DATE '{ACTIVITY_DAY}'"))
 # The second file replaces its own date and adds to the others.
 REPLACED = f"SELECT * FROM a1 WHERE split_part(time, 'T', 1) <> '{ACTIVITY_DAY}' UNION ALL SELECT * FROM a2"
+REPLACED_BILLED = f"SELECT * FROM b1 WHERE split_part(start_time, 'T', 1) <> '{ACTIVITY_DAY}' UNION ALL SELECT * FROM b2"
 
 # Agents are looked up as they were before a run: none before the first, those of the first before the second.
 USER_GRAINS = {
@@ -476,6 +477,10 @@ ORACLES: dict[str, str] = {
     ),
     "publish_concurrent_agents": _with(*CONCURRENT, body="SELECT AgentID, AgentOwnerID, Agent FROM agents"),
     "merge_slices_state": _with(*ONE_DATE_MORE, body=CONTENT_MERGED.format(f"({content_sql(f'({REPLACED})')}) q")),
+    "facts_rerun": _with(*ONE_DATE_MORE, body=CONTENT_MERGED.format(f"({content_sql(f'({REPLACED})')}) q")),
+    "facts_rerun_conversations": _with(
+        *ONE_DATE_MORE, body=CONVERSATION_MERGED.format(f"({conversation_sql(f'({REPLACED_BILLED})')}) q")
+    ),
     "uau_incremental": _with(
         *ONE_DATE_MORE,
         SEEN_USERS,

@@ -68,6 +68,18 @@ def merge_conversations_and_sm(old: DataFrame, new: DataFrame, file_date: str) -
     )
 
 
+def mean_over_files(files: Column) -> Column:
+    """The mean in hundredths that a list of files (FileDate, total, n) leaves: each file's means are averaged with the
+    mean stored before it, and rounded again."""
+    return F.aggregate(
+        F.sort_array(files),
+        F.lit(None).cast("bigint"),
+        lambda stored, file: F.when(stored.isNull(), half_even_quotient(file["total"], file["n"])).otherwise(
+            half_even_quotient(stored + F.coalesce(file["total"], F.lit(0)), file["n"] + 1)
+        ),
+    )
+
+
 def touched_dates(file_date: str, *frames: DataFrame) -> DataFrame:
     """The dates that a file's rows fall on, and its own. Written, so that Spark sees how few they are."""
     spark = frames[0].sparkSession

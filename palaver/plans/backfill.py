@@ -16,11 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver.functions.keys import max_id, number_rows
-from palaver.functions.rounding import from_hundredths, half_even_quotient, hundredths
+from palaver.functions.rounding import from_hundredths, hundredths
 from palaver.functions.text import day_part, name_part, to_date, to_decimal_comma
 from palaver.operators import facts, users
 from palaver.operators.dimensions import UNKNOWN_CONTENT, merge_content_types
-from palaver.operators.merges import CONTENT_KEYS, CONTENT_SUMS, CONVERSATION_KEYS, CONVERSATION_SUMS, SM_SUMS, in_hundredths
+from palaver.operators.merges import (
+    CONTENT_KEYS,
+    CONTENT_SUMS,
+    CONVERSATION_KEYS,
+    CONVERSATION_SUMS,
+    SM_SUMS,
+    in_hundredths,
+    mean_over_files,
+)
 from palaver.plans.daily import Lookups
 from palaver.workspace import concurrently, write_once
 
@@ -187,17 +195,10 @@ def conversations_and_sm(
             *SM_SUMS,
         )
         per_file = per_file.unionByName(before)
-    folded = F.aggregate(
-        F.sort_array("files"),
-        F.lit(None).cast("bigint"),
-        lambda stored, file: F.when(stored.isNull(), half_even_quotient(file["total"], file["n"])).otherwise(
-            half_even_quotient(stored + F.coalesce(file["total"], F.lit(0)), file["n"] + 1)
-        ),
-    )
     return (
         per_file.groupBy(*keys)
         .agg(F.collect_list(F.struct("FileDate", "total", "n")).alias("files"), *[F.sum(c).alias(c) for c in SM_SUMS])
-        .withColumn("AverageDuration", to_decimal_comma(from_hundredths(folded)))
+        .withColumn("AverageDuration", to_decimal_comma(from_hundredths(mean_over_files(F.col("files")))))
         .select(*keys, "AverageDuration", *SM_SUMS)
     )
 

@@ -1,12 +1,13 @@
 """One run: a NatCo's feeds of one file date, the lookups and the stored state give the new state of all 14 tables."""
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver import schemas
-from palaver.operators import dimensions, facts, merges, user_months, users
+from palaver.operators import contributions, dimensions, facts, merges, user_months, users
 from palaver.operators.staging import roll_user_accumulator
 from palaver.sources import lookups
 from palaver.workspace import concurrently, literal_table, matching, write_once
@@ -80,6 +81,7 @@ def run_day(
     per: str = "type",
     digests: tuple[DataFrame, DataFrame] | None = None,
     stored_users: user_months.StoredUsers | None = None,
+    stored_files: contributions.StoredFiles | None = None,
 ) -> dict[str, DataFrame]:
     """The result tables of one run, 14 by name. ``activity`` and ``events`` hold the run's rows only.
 
@@ -89,6 +91,9 @@ def run_day(
 
     With ``stored_users`` users are not counted from the whole accumulator: the results by day, month and year hold the
     touched months and their years only, and ``acc_user_months`` and ``acc_user_years`` are two more tables, for the next run.
+
+    With ``stored_files`` the accumulating facts are summed from what each file adds, and hold the touched dates only; what
+    this file adds to each are three more tables.
     """
     messages, billed = digests or day_digests(activity, events, file_date, natco)
     activity = activity.withColumns({"NatCo": F.lit(natco), "FileDate": F.lit(file_date).cast("date")})
@@ -133,8 +138,16 @@ def run_day(
     new_sm = facts.conversations_and_sm(facts.single_message_tally(billed), lookup.natcos, agents)
 
     def merged(name: str, new: DataFrame, merge) -> DataFrame:
+        if stored_files is not None:
+            return contributions.fact_of_files(name, added[contributions.BY_FILE[name]], stored_files)
         return merges.merge_touched_dates(getattr(state, name), new, file_date, merge, touched)
 
+    added = {}
+    if stored_files is not None:
+        todays = {"f_message_content": new_content, "f_message_conversation": new_conversation, "f_conversations_and_sm": new_sm}
+        steps = [partial(write_once, contributions.by_file(new, name, file_date), name) for name, new in todays.items()]
+        added = dict(zip((contributions.BY_FILE[name] for name in todays), concurrently(*steps)))
+
     return {
         "d_natco": lookup.natcos,
         "d_content_type": contents,
@@ -147,6 +160,7 @@ def run_day(
             "f_message_conversation", new_conversation, merges.merge_message_conversation
         ),
         **counts,
+        **added,
         "acc_users_daily": accumulator,
         "ContentDescriptionMapping": mapping,
     }

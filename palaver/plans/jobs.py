@@ -15,6 +15,7 @@ from palaver.plans.publish import (
     load,
     load_accumulators,
     load_backfill,
+    load_files,
     load_users,
     publish,
     publish_backfill,
@@ -51,6 +52,7 @@ class DayRun:
     feeds, until it is published on the state that it was computed on. So runs at the same time end as if one had been
     after the other, in the order in which they were published. Of the accumulating facts, only the dates that the feeds
     touch are read, aggregated and written; the results hold these dates. Users are counted likewise, from stored months.
+    With ``by_file`` facts are kept by the file that added to them, so that a file may be run again.
     """
 
     def __init__(
@@ -64,9 +66,12 @@ class DayRun:
         seeds: Lookups | None = None,
         as_csv: bool = False,
         per: str = "type",
+        by_file: bool = False,
     ):
+        if by_file and as_csv:
+            raise ValueError("facts kept by file are stored as Parquet")
         self.feeds, self.folders, self.run = (activity, events), (lookup_path, output_path), (file_date, natco)
-        self.as_csv, self.per, self.spark = as_csv, per, activity.sparkSession
+        self.as_csv, self.per, self.by_file, self.spark = as_csv, per, by_file, activity.sparkSession
         self.seeds = seeds or seed_lookups(self.spark, lookup_path)
         self.digests = day_digests(activity, events, file_date, natco)
         # Text has no slices: a run that writes it reads and writes whole facts.
@@ -83,7 +88,8 @@ class DayRun:
         if self.dates is not None:
             users = load_users(self.spark, natco, self.since, state.acc_users_daily, self.dates)
         self.months = users and users.touched
-        self.results = run_day(*self.feeds, lookup, state, day, natco, self.per, self.digests, users)
+        self.files = load_files(self.spark, natco, self.since, day, self.dates) if self.by_file else None
+        self.results = run_day(*self.feeds, lookup, state, day, natco, self.per, self.digests, users, self.files)
         self.attempts += 1
 
     def publish(self) -> list[str]:
@@ -92,7 +98,7 @@ class DayRun:
             try:
                 day, natco = self.run
                 return publish(
-                    self.results, *self.folders, new_version(), natco, day, self.as_csv, self.since, self.dates, self.months
+                    self.results, *self.folders, new_version(), natco, day, self.as_csv, self.since, self.dates, self.months, self.files
                 )
             except Superseded:
                 self._compute()
@@ -109,18 +115,20 @@ def process_day(
     as_csv: bool = False,
     per: str = "type",
     bad_records_path: str | None = None,
+    by_file: bool = False,
 ) -> list[str]:
     """Process the two files of one date and NatCo. Returns the published names, none when both are empty or absent.
 
     Lookups come from the files of ``lookup_path``, the built-in rows where it has none. Working tables are gone when
-    the job ends. Several such jobs may run at the same time on one output folder.
+    the job ends. Several such jobs may run at the same time on one output folder. With ``by_file``, what the file adds to
+    the accumulating facts is stored apart, and a file that is run again replaces it; without it, late rows add up again.
     """
     with run_folder(spark):
         activity = _land(spark, input_path, "activity", [file_date], [natco], bad_records_path)
         events = _land(spark, input_path, "events", [file_date], [natco], bad_records_path)
         if feeds_are_empty(activity, events):
             return []
-        return DayRun(activity, events, lookup_path, output_path, file_date, natco, seeds, as_csv, per).publish()
+        return DayRun(activity, events, lookup_path, output_path, file_date, natco, seeds, as_csv, per, by_file).publish()
 
 
 def process_users(

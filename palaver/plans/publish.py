@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from palaver import schemas
+from palaver.operators.contributions import BY_FILE, StoredFiles, counts
 from palaver.operators.staging import conform
 from palaver.operators.user_months import UNDATED, StoredUsers, file_months, month_name, year_of
 from palaver.plans.daily import STATE_SCHEMAS, Lookups, State, seed_lookups
@@ -43,6 +44,7 @@ PER_NATCO = (
     "acc_users_daily",
     "acc_user_months",
     "acc_user_years",
+    *BY_FILE.values(),
 )
 LOOKUP_TABLES = ("acc_users_daily", "acc_user_months", "acc_user_years", "ContentDescriptionMapping")
 
@@ -58,6 +60,9 @@ SCHEMAS = {
     "acc_user_months": schemas.USER_MONTHS,
     "acc_user_years": schemas.USER_YEARS,
     "ContentDescriptionMapping": schemas.CONTENT_MAPPING,
+    "c_message_content": schemas.MESSAGE_CONTENT_BY_FILE,
+    "c_message_conversation": schemas.MESSAGE_CONVERSATION_BY_FILE,
+    "c_conversations_and_sm": schemas.CONVERSATIONS_AND_SM_BY_FILE,
 }
 
 ACCUMULATOR = "acc_users_daily"
@@ -69,6 +74,9 @@ BY_MONTH = ("f_uau_daily", "f_uau_monthly", USER_MONTHS)
 BY_YEAR = ("f_uau_yearly", USER_YEARS)
 # Listed with the user months by a run that has brought them up to its own slice of the accumulator.
 COVERED = "covered"
+# Contributions are in slices named by file date and date. With them, entries of the files that were run so far and, under a
+# name of their own, of the facts that were stored before.
+_FILES, _RUN = "c_files", "run"
 _LIST = "_published"
 # slice: the file date of a slice of the accumulator, or the date, month or year of a slice of another table; null for a
 # whole table. An empty slice has no path.
@@ -134,7 +142,10 @@ def snapshot(spark: SparkSession, output_path: str) -> Snapshot:
 def _commit(
     spark: SparkSession, output_path: str, entries: list[tuple], since: Snapshot | None = None, natcos: Iterable[str] = ()
 ) -> list[str]:
-    """Append to the list, unless what the runs of ``natcos`` read in ``since`` is no longer current."""
+    """Append to the list, unless what the runs of ``natcos`` read in ``since`` is no longer current.
+
+    An entry may bring the number of an earlier append, as which it then counts.
+    """
     folder, natcos = f"{output_path.rstrip('/')}/{_LIST}", set(natcos)
     while True:
         # The number comes first: an append that the comparison does not see has taken it.
@@ -142,7 +153,8 @@ def _commit(
         number = max(taken, default=0) + 1
         if since is not None and snapshot(spark, output_path).read_by(natcos) != since.read_by(natcos):
             raise Superseded
-        lines = [json.dumps(dict(zip(_LIST_SCHEMA.names, (*entry, number)))) for entry in entries]
+        numbered = [entry if len(entry) == len(_LIST_SCHEMA) else (*entry, number) for entry in entries]
+        lines = [json.dumps(dict(zip(_LIST_SCHEMA.names, entry))) for entry in numbered]
         if _put_if_absent(spark, f"{folder}/commit-{number:09d}.json", "\n".join(lines)):
             return sorted({name for name, *_ in entries})
 
@@ -187,6 +199,7 @@ def publish(
     since: Snapshot | None = None,
     dates: Iterable[str] | None = None,
     months: Iterable[str] | None = None,
+    files: StoredFiles | None = None,
 ) -> list[str]:
     """Write the results of one run and make them current. Returns the names of the tables that were not empty.
 
@@ -194,11 +207,16 @@ def publish(
     written whole, ``;``-separated and sorted. With ``since``, what was current when the run read its state, shared
     tables without a change are not listed again, and ``Superseded`` is raised if the state was replaced meanwhile; then
     nothing of the run is left. With ``dates``, the accumulating facts hold the rows of these dates only, and only their
-    slices are written. With ``months``, so do the users by month, and those by year hold the years of these.
+    slices are written; so with ``files``, whose run lists what its file adds to each date as well. With ``months``, so do the users by month, and those by year hold the years of these.
     """
     spark = next(iter(results.values())).sparkSession
     unchanged = []
     touched: dict[str, list[str]] = {}
+    if as_csv and files is not None:
+        raise ValueError("facts kept by file are stored as Parquet")
+    if files is not None:
+        dates = [date for date in files.dates if date != UNDATED]
+        touched |= {table: files.dates for table in BY_FILE.values()}
     if not as_csv and dates is not None:
         touched |= {table: [*dates, UNDATED] for table in DATED}
     if not as_csv and months is not None:
@@ -215,7 +233,7 @@ def publish(
             today.write.mode("errorifexists").parquet(path)
             return [(name, version, path, "parquet", file_date)]
         if table in touched:
-            entries = _store_slices(df, table, name, f"{root}/{version}/{name}", version, touched[table], since)
+            entries = _store_slices(df, table, name, f"{root}/{version}/{name}", version, touched[table], since, f"{file_date}/" if table in BY_FILE.values() else "")
             return [*entries, (name, version, "", "parquet", COVERED)] if table == USER_MONTHS else entries
         path = f"{root}/{version}/{name}" + (".csv" if as_csv else "")
         filled, fmt = _write(df, table, path, as_csv), "csv" if as_csv else "parquet"
@@ -227,19 +245,25 @@ def publish(
         return [(name, version, path, fmt, None)] if filled else []
 
     stored = concurrently(*[partial(store, table) for table in results])
+    if files is not None:
+        stored += [files.entries, [(f"{_FILES}_{natco}", version, _RUN, "parquet", file_date)]]
     try:
         names = _commit(spark, output_path, [entry for entries in stored for entry in entries], since, [natco])
     except Superseded:
         for root in {lookup_path.rstrip("/"), output_path.rstrip("/")}:
             remove(spark, f"{root}/{version}")
         raise
-    return sorted({*names, *unchanged})
+    apart = {f"{_FILES}_{natco}", *(f"before_{fact}_{natco}" for fact in BY_FILE)}
+    return sorted({*names, *unchanged} - apart)
 
 
 def _store_slices(
-    df: DataFrame, table: str, name: str, path: str, version: str, touched: Iterable[str], since: Snapshot | None
+    df: DataFrame, table: str, name: str, path: str, version: str, touched: Iterable[str], since: Snapshot | None, prefix: str = ""
 ) -> list[tuple]:
-    """Write slices of a table, one folder each, and return their entries; none if the whole table would be empty."""
+    """Write slices of a table, one folder each, and return their entries; none if the whole table would be empty.
+
+    The names of slices start with ``prefix``.
+    """
     # Folders named by a copy of the column, so that the files hold all of them.
     named = df.withColumn("date_", _slice_column(table).cast("string"))
     named.hint("rebalance", "date_").write.partitionBy("date_").parquet(path)
@@ -248,6 +272,7 @@ def _store_slices(
     places = {x: f"{path}/date_={x}" if x in filled else "" for x in touched}
     if None in filled:
         places[UNDATED] = f"{path}/date_=__HIVE_DEFAULT_PARTITION__"
+    places = {f"{prefix}{x}": place for x, place in places.items()}
     others = [row for row in since.entries if row["name"] == name and row["slice"] not in places and row["path"]] if since else []
     if not filled and not others:
         return []
@@ -451,6 +476,52 @@ def load_users(spark: SparkSession, natco: str, at: Snapshot, accumulator: DataF
     )
 
 
+def load_files(spark: SparkSession, natco: str, at: Snapshot, file_date: str, dates: Iterable[str]) -> StoredFiles:
+    """What is stored of the dates of a file, by the files that added it. Slices that do not count are not read.
+
+    Which count is told by the list alone. If facts were written by another kind of run since (a backfill, a run that
+    does not keep files), contributions start over: the stored facts stand for all files before, and count on a date
+    until its own file is run.
+    """
+
+    def named(table: str) -> list[Row]:
+        return [row for row in at.entries if row["name"] == f"{table}_{natco}"]
+
+    marks, entries = named(_FILES), []
+    facts = {fact: named(fact) for fact in BY_FILE}
+    parts = {fact: [row for row in named(table) if row["path"]] for fact, table in BY_FILE.items()}
+    before = {fact: named(f"before_{fact}") for fact in BY_FILE}
+    covered = max((row["commit"] for row in marks), default=-1)
+    if any(row["commit"] > covered for rows in facts.values() for row in rows):
+        cleared = [*marks, *(row for rows in parts.values() for row in rows)]
+        entries = [(row["name"], row["version"], "", "parquet", row["slice"]) for row in cleared]
+        for fact, rows in facts.items():
+            # With the commits they have: a slice stays newer than the whole table that it replaces a part of.
+            columns = "version", "path", "format", "slice", "commit"
+            entries += [(f"before_{fact}_{natco}", *(row[c] for c in columns)) for row in rows]
+        marks, parts, before = [], dict.fromkeys(BY_FILE, []), facts
+
+    processed = {row["slice"] for row in marks if row["path"]} | {file_date}
+    earlier = {row["slice"].partition("/")[2] for rows in parts.values() for row in rows if row["slice"].startswith(f"{file_date}/")}
+    touched = sorted({*dates, file_date, *earlier, UNDATED})
+
+    def added_by_others(fact: str) -> DataFrame:
+        paths = []
+        for row in parts[fact]:
+            file, _, date = row["slice"].partition("/")
+            if file != file_date and date in touched and counts(file, date, processed):
+                paths.append(row["path"])
+        return _read(spark, BY_FILE[fact], paths, "parquet") if paths else literal_table(spark, [], SCHEMAS[BY_FILE[fact]])
+
+    return StoredFiles(
+        tuple(touched),
+        tuple(date for date in touched if counts(file_date, date, processed)),
+        {fact: added_by_others(fact) for fact in BY_FILE},
+        {fact: _sliced(spark, fact, before[fact], set(touched) - processed - {UNDATED}) for fact in BY_FILE},
+        tuple(entries),
+    )
+
+
 def load_backfill(
     spark: SparkSession, output_path: str, natcos: list[str], seeds: Lookups, at: Snapshot | None = None
 ) -> tuple[Lookups, dict[str, DataFrame]]:

@@ -84,6 +84,21 @@ CONVERSATIONS_AND_SM = _schema(
     NoOfSM=LongType,
     NoOfBM=LongType,
 )
+# What each file adds to a fact. A mean duration is the sum and the number of a file's means, in hundredths.
+MESSAGE_CONTENT_BY_FILE = StructType([StructField("FileDate", DateType()), *MESSAGE_CONTENT])
+MESSAGE_CONVERSATION_BY_FILE = StructType([StructField("FileDate", DateType()), *MESSAGE_CONVERSATION])
+CONVERSATIONS_AND_SM_BY_FILE = _schema(
+    FileDate=DateType,
+    Date=DateType,
+    NatCoID=IntegerType,
+    AgentID=LongType,
+    TypeOfConvID=StringType,
+    DurationTotal=LongType,
+    DurationCount=LongType,
+    NoOfConv=LongType,
+    NoOfSM=LongType,
+    NoOfBM=LongType,
+)
 USER_ACCUMULATOR = _schema(
     FileDate=DateType, Date=DateType, NatCo=StringType, AgentID=LongType, user_id=StringType
 )
