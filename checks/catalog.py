@@ -11,7 +11,7 @@ from checks.fixtures import ACTIVITY_DAY, EVENTS_DAY, Feeds
 from palaver import schemas
 from palaver.functions.text import day_part, name_part
 from palaver.operators import dimensions, facts, merges, staging, users
-from palaver.plans import backfill, daily, jobs, publish
+from palaver.plans import backfill, compact, daily, jobs, publish
 from palaver.sources import delimited, feeds, lookups
 from palaver.workspace import concurrently, literal_table, new_path, write_once
 
@@ -281,6 +281,26 @@ def acc_users_daily_roll(f: Feeds) -> DataFrame:
     return staging.roll_user_accumulator(old, on_day(activity, ACTIVITY_DAY), ACTIVITY_DAY, known)
 
 
+@query
+def acc_users_daily_compacted(f: Feeds) -> DataFrame:
+    """The same rerun, of one NatCo, over slices that were gathered by month, and then gathered again."""
+    root = new_path(f.spark, "compacted")
+    folders = f"{root}/lookup", f"{root}/output"
+    activity, p2a = f.activity(wide=True), f.events(wide=True).filter(F.col("type") == facts.P2A)
+    known = write_once(agents_of(activity.filter(F.lit(False)), p2a), "agents")
+    activity = activity.filter(F.col("NatCo") == NATCO)
+    rows = activity.withColumns({"Agent": name_part("agent_id"), "Date": day_part("time")})
+    old = staging.conform(rows.join(known, "Agent", "left"), schemas.USER_ACCUMULATOR)
+    runs = sorted((str(r["FileDate"]), NATCO) for r in activity.select("FileDate").distinct().collect())
+    publish.publish_backfill({publish.ACCUMULATOR: old}, *folders, "v1", runs)
+    compact.compact(f.spark, *folders, "v2", NATCO)
+    stored = publish.load(f.spark, folders[1], NATCO)[1].acc_users_daily
+    rolled = staging.roll_user_accumulator(stored, on_day(activity, ACTIVITY_DAY), ACTIVITY_DAY, known)
+    publish.publish({publish.ACCUMULATOR: rolled}, *folders, "v3", NATCO, ACTIVITY_DAY)
+    compact.compact(f.spark, *folders, "v4", NATCO)
+    return publish.load(f.spark, folders[1], NATCO)[1].acc_users_daily
+
+
 @query
 def guard_empty_inputs(f: Feeds) -> DataFrame:
     """Which of the requested runs have data: every date of the feeds for every NatCo, one of which has no feed."""

@@ -654,3 +654,4 @@ ORACLES["uau_daily_years"] = uau("Date", "UAU_daily", years=True)
 ORACLES["uau_monthly_years"] = uau("strftime(Date, '%Y-%m') AS YearMonth", "UAU_monthly", years=True)
 ORACLES["uau_yearly_years"] = uau("CAST(year(Date) AS INT) AS Year", "UAU_yearly", years=True)
 ORACLES["uau_total_years"] = uau("", "UAU_total", years=True)
+ORACLES["acc_users_daily_compacted"] = f"SELECT * FROM ({ORACLES['acc_users_daily_roll']}) rolled WHERE NatCo = 'mt'"

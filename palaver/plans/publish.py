@@ -77,6 +77,8 @@ COVERED = "covered"
 # Contributions are in slices named by file date and date. With them, entries of the files that were run so far and, under a
 # name of their own, of the facts that were stored before.
 _FILES, _RUN = "c_files", "run"
+# The format of a slice whose path holds others too: its rows are told by the column that names the slice.
+SHARED = "shared"
 _LIST = "_published"
 # slice: the file date of a slice of the accumulator, or the date, month or year of a slice of another table; null for a
 # whole table. An empty slice has no path.
@@ -90,7 +92,7 @@ def table_name(table: str, natco: str) -> str:
     return f"{table}_{natco}" if table in PER_NATCO else table
 
 
-def _slice_column(table: str) -> Column:
+def slice_column(table: str) -> Column:
     """The column whose text names a row's slice; null for the slice of rows without a date."""
     if table in BY_YEAR:
         return F.col("Year")
@@ -265,10 +267,10 @@ def _store_slices(
     The names of slices start with ``prefix``.
     """
     # Folders named by a copy of the column, so that the files hold all of them.
-    named = df.withColumn("date_", _slice_column(table).cast("string"))
+    named = df.withColumn("date_", slice_column(table).cast("string"))
     named.hint("rebalance", "date_").write.partitionBy("date_").parquet(path)
     stored = df.sparkSession.read.schema(SCHEMAS[table]).parquet(path)
-    filled = {row["slice"] for row in stored.select(_slice_column(table).cast("string").alias("slice")).distinct().collect()}
+    filled = {row["slice"] for row in stored.select(slice_column(table).cast("string").alias("slice")).distinct().collect()}
     places = {x: f"{path}/date_={x}" if x in filled else "" for x in touched}
     if None in filled:
         places[UNDATED] = f"{path}/date_=__HIVE_DEFAULT_PARTITION__"
@@ -355,6 +357,20 @@ def published(spark: SparkSession, output_path: str) -> DataFrame:
     return current.filter("slice is null or _whole is null or _at > _whole").drop("_whole", "_at")
 
 
+def compact_list(spark: SparkSession, output_path: str) -> int:
+    """Gather the list of published tables in one append that holds what is current, and return how many files went.
+
+    For times when no run is under way.
+    """
+    folder = f"{output_path.rstrip('/')}/{_LIST}"
+    gone = matching(spark, f"{folder}/commit-*.json")
+    if len(gone) > 1:
+        _commit(spark, output_path, [tuple(row[c] for c in _LIST_SCHEMA.names) for row in snapshot(spark, output_path).entries])
+        for path in gone:
+            remove(spark, path)
+    return len(gone) if len(gone) > 1 else 0
+
+
 def vacuum(spark: SparkSession, lookup_path: str, output_path: str) -> list[str]:
     """Delete what versions hold beside the current tables, and return the paths. For times when no run is under way."""
 
@@ -400,7 +416,7 @@ def load(
     def table(name: str, otherwise: DataFrame | None = None) -> DataFrame:
         if name == ACCUMULATOR or name in DATED:
             own = [row for row in listed if row["name"] == table_name(name, natco)]
-            return _sliced(spark, name, own, dates if name in DATED else files)
+            return sliced(spark, name, own, dates if name in DATED else files)
         entry = current.get(table_name(name, natco))
         if entry is None:
             return literal_table(spark, [], SCHEMAS[name]) if otherwise is None else otherwise
@@ -411,19 +427,27 @@ def load(
     return Lookups(seeds.natcos, seeds.conversation_types, contents), state
 
 
-def _sliced(spark: SparkSession, table: str, entries: list, wanted: Iterable[str] | None = None) -> DataFrame:
+def sliced(spark: SparkSession, table: str, entries: list, wanted: Iterable[str] | None = None) -> DataFrame:
     """The rows of the listed slices, in one scan, and of whole tables but for the slices that are newer.
 
     ``wanted``: the slices to read, else all; files of other slices are not opened.
     """
     wanted = None if wanted is None else set(wanted)
-    paths = [row["path"] for row in entries if row["path"] and row["slice"] is not None and (wanted is None or row["slice"] in wanted)]
+    found = [row for row in entries if row["path"] and row["slice"] is not None and (wanted is None or row["slice"] in wanted)]
+    paths = [row["path"] for row in found if row["format"] != SHARED]
     rows = _read(spark, table, paths, "parquet") if paths else literal_table(spark, [], SCHEMAS[table])
-    column, kind = _slice_column(table), "int" if table in BY_YEAR else "string" if table in BY_MONTH else "date"
+    column, kind = slice_column(table), "int" if table in BY_YEAR else "string" if table in BY_MONTH else "date"
 
     def within(names: Iterable[str]) -> Column:
         return column.isin([F.lit(x).cast(kind) for x in sorted(set(names) - {UNDATED, COVERED})])
 
+    gathered: dict[str, list[str]] = {}
+    for row in found:
+        if row["format"] == SHARED:
+            gathered.setdefault(row["name"], []).append(row["slice"])
+    for name, names in gathered.items():
+        places = sorted({row["path"] for row in found if row["name"] == name and row["format"] == SHARED})
+        rows = rows.unionByName(_read(spark, table, places, "parquet").filter(within(names)))
     for whole in (row for row in entries if row["slice"] is None):
         newer = [row["slice"] for row in entries if row["slice"] is not None and row["name"] == whole["name"]]
         stored = _read(spark, table, whole["path"], whole["format"])
@@ -440,7 +464,7 @@ def _sliced(spark: SparkSession, table: str, entries: list, wanted: Iterable[str
 def current_table(spark: SparkSession, output_path: str, table: str, natco: str = "", at: Snapshot | None = None) -> DataFrame:
     """All current rows of a published table, kept whole or in slices; none if it was never published."""
     name = table_name(table, natco)
-    return _sliced(spark, table, [row for row in (at or snapshot(spark, output_path)).entries if row["name"] == name])
+    return sliced(spark, table, [row for row in (at or snapshot(spark, output_path)).entries if row["name"] == name])
 
 
 def users_covered(at: Snapshot, natco: str) -> bool:
@@ -470,9 +494,9 @@ def load_users(spark: SparkSession, natco: str, at: Snapshot, accumulator: DataF
     others = {row["slice"] for row in own[USER_YEARS]} - years
     return StoredUsers(
         tuple(sorted(touched)),
-        _sliced(spark, USER_MONTHS, own[USER_MONTHS], touched),
-        _sliced(spark, USER_YEARS, own[USER_YEARS], years),
-        _sliced(spark, USER_YEARS, own[USER_YEARS], others),
+        sliced(spark, USER_MONTHS, own[USER_MONTHS], touched),
+        sliced(spark, USER_YEARS, own[USER_YEARS], years),
+        sliced(spark, USER_YEARS, own[USER_YEARS], others),
     )
 
 
@@ -517,7 +541,7 @@ def load_files(spark: SparkSession, natco: str, at: Snapshot, file_date: str, da
         tuple(touched),
         tuple(date for date in touched if counts(file_date, date, processed)),
         {fact: added_by_others(fact) for fact in BY_FILE},
-        {fact: _sliced(spark, fact, before[fact], set(touched) - processed - {UNDATED}) for fact in BY_FILE},
+        {fact: sliced(spark, fact, before[fact], set(touched) - processed - {UNDATED}) for fact in BY_FILE},
         tuple(entries),
     )
 
@@ -540,4 +564,4 @@ def load_backfill(
 def load_accumulators(spark: SparkSession, output_path: str) -> DataFrame:
     """The current accumulators of all NatCos, one scan of all slices."""
     entries = published(spark, output_path).filter(F.col("name").startswith(f"{ACCUMULATOR}_")).collect()
-    return conform(_sliced(spark, ACCUMULATOR, entries), schemas.USER_ACCUMULATOR)
+    return conform(sliced(spark, ACCUMULATOR, entries), schemas.USER_ACCUMULATOR)
