@@ -93,9 +93,9 @@ class Scanner:
         found = []
         for start, stop, numbers in self.lines_with_matches(data):
             for number in numbers:
-                rule, at = self.rules[number], start
+                rule, at, failed = self.rules[number], start, set()
                 while at < stop:
-                    end = longest(self.single[number], data, at, stop)
+                    end = longest(self.single[number], data, at, stop, failed)
                     if end < 0:
                         at += 1
                         continue
@@ -106,15 +106,28 @@ class Scanner:
         return sorted(found)
 
 
-def longest(automaton: Automaton, data: bytes, at: int, stop: int) -> int:
-    """Where the longest match that begins at ``at`` ends, or -1."""
+def longest(automaton: Automaton, data: bytes, at: int, stop: int, failed: set[int] | None = None) -> int:
+    """Where the longest match that begins at ``at`` ends, or -1.
+
+    ``failed`` collects, at every sixteenth byte, the states from which no end is reached before ``stop``. Another start that
+    comes to one of them gives up there, so each byte is read a bounded number of times, however many starts fail.
+    """
     table, accepting, dead, state, end = automaton.table, automaton.accepting, automaton.dead, automaton.start, -1
+    passed = []
     for i in range(at, stop):
         state = table[state << 8 | data[i]]
         if state == dead:
             break
         if state >= accepting:
             end = i + 1
+            passed.clear()
+        elif failed is not None and not i & 15:
+            place = i * len(table) + state
+            if place in failed:
+                break
+            passed.append(place)
+    if passed:
+        failed.update(passed)
     return end
 
 

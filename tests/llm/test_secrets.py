@@ -52,3 +52,38 @@ def test_automaton_accepts_what_the_expression_does():
             text = "".join(r.choice("abcx.") for _ in range(r.randint(1, 9)))
             best = max((n for n in range(1, len(text) + 1) if re.fullmatch(pattern, text[:n])), default=-1)
             assert longest(automaton, text.encode(), 0, len(text)) == best
+
+
+def test_failed_starts_change_no_span_and_do_not_add_up():
+    r, jwt = random.Random(5), "eyJabcdefghij.eyJabcdefghij.abcdefghijkl"
+    scanner = Scanner()
+    parts = ["eyJ", "eyJab.", "abc", ".", "AKIA", "ghp_", "password", "=", " ", "Q1W2E3R4T5Y6", jwt]
+    for _ in range(300):
+        data = "".join(r.choice(parts) for _ in range(60)).encode()
+        expected = []
+        for start, stop, numbers in scanner.lines_with_matches(data):
+            for number in numbers:
+                at = start
+                while at < stop:
+                    end = longest(scanner.single[number], data, at, stop)
+                    head = scanner.heads[number]
+                    if end >= 0 and end - (longest(head, data, at, end) if head else at) >= scanner.rules[number].least:
+                        expected.append((at, number, end))
+                    at = max(end, at + 1)
+        assert scanner.spans(data) == sorted(expected)
+    reads = []
+
+    class Counted(bytes):
+        def __getitem__(self, i):
+            reads.append(1)
+            return super().__getitem__(i)
+
+    numbers = range(len(scanner.rules))
+    for size in (4000, 8000):
+        data = Counted((jwt + " " + "eyJ" * size).encode())
+        reads.clear()
+        for number in numbers:
+            failed, at = set(), len(jwt) + 1
+            while at < len(data):
+                at = max(longest(scanner.single[number], data, at, len(data), failed), at + 1)
+        assert len(reads) < 60 * len(numbers) * len(data)
