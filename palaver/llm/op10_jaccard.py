@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 
 from palaver.llm.components import connected_components
 from palaver.llm.shingles import mix, shingle_sets
-from palaver.llm.tables import bitmap, in_slices, passes, read, texts_of
+from palaver.llm.tables import bitmap, in_slices, passes, read, small_batches, texts_of
 from palaver.workspace import write_once
 
 SIMILARITY = Fraction(4, 5)
 SHINGLE = 5
 BAND = 2
 BLOCK = 1024
+#: Bytes of text whose shingles a task holds at once.
+SLICE = 500_000
 
 
 def class_of(found: np.ndarray) -> int:
@@ -87,7 +89,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``class``, the hash of the document's set (null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in in_slices(batches):
+        for part in in_slices(batches, SLICE):
             sets = shingle_sets(part.column("text").to_pylist(), shingle)
             sizes = pa.array([len(s) for s in sets], pa.int64())
             hashes = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
@@ -101,7 +103,7 @@ def signature_rows(docs: DataFrame, shingle: int = SHINGLE, similarity: Fraction
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for part in in_slices(batches):
+        for part in in_slices(batches, SLICE):
             made, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for found in shingle_sets(part.column("text").to_pylist(), shingle):
                 if not len(found) or (name := class_of(found)) in seen:
@@ -144,7 +146,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataF
         for batch in batches:
             ids = batch.column("doc_id")
             keep = passes(marks.value, ids.fill_null(0).to_numpy(zero_copy_only=False)) | ids.is_null().to_numpy(zero_copy_only=False)
-            for part in in_slices(iter([batch.filter(pa.array(keep))])):
+            for part in in_slices(iter([batch.filter(pa.array(keep))]), SLICE):
                 sets = [s for s in shingle_sets(part.column("text").to_pylist(), shingle) if len(s)]
                 columns = [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
                 columns += [pa.array([sketch(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
@@ -236,6 +238,12 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, similarity: Frac
     rows give equal rows. A null doc_id links like any other, is never a component's name unless all its members are
     null, and comes back as null. An empty table gives no rows; other columns are ignored.
     """
+    with small_batches(docs.sparkSession):
+        return _components(docs, shingle, similarity)
+
+
+def _components(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
+    """All that runs Python is written here, so that it is run in the small batches; what is returned joins written tables."""
     known = write_once(classes(docs, shingle), "shingle-classes")
     named = known.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
 

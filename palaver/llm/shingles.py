@@ -1,8 +1,8 @@
 """Word shingles of whole texts as 64-bit hashes, computed for many texts at once with numpy.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A word's hash is a Karp-Rabin fingerprint of its bytes: the
-difference of two prefix sums over the slice, so that no Python code runs per word. Two different shingles share a
-hash with probability 2**-64.
+difference of two prefix sums over a block of the slice, so that no Python code runs per word. The hash is the same in
+whichever block a word is. Two different shingles share a hash with probability 2**-64.
 """
 
 import numpy as np
@@ -19,16 +19,24 @@ def mix(x: np.ndarray) -> np.ndarray:
 BASE = 0xD1342543DE82EF95
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: Prefix sums and powers take 24 bytes for each byte of a block; only a longer word is a longer block.
+BLOCK = 1 << 18
+#: A worker keeps the powers to this many; more are made anew each time.
+KEPT = 1 << 21
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE and its inverse modulo 2**64, to the powers 0 to n - 1."""
     if len(_powers[0]) < n:
-        for i, base in enumerate((BASE, pow(BASE, -1, 2**64))):
+        made = []
+        for base in (BASE, pow(BASE, -1, 2**64)):
             steps = np.full(n, base, np.uint64)
             steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
+            made.append(np.multiply.accumulate(steps, out=steps))
+        if n > KEPT:
+            return made[0], made[1]
+        _powers[:] = made
     return _powers[0][:n], _powers[1][:n]
 
 
@@ -43,11 +51,18 @@ def words(texts: list[str], separators: np.ndarray = SPACES) -> tuple[np.ndarray
     blank = separators[data]
     edges = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edges[::2] + 1, edges[1::2] + 1
-    power, inverse = powers(len(data))
-    sums = VALUES[data]
-    sums *= power
-    np.add.accumulate(sums, out=sums)
-    found = mix((sums[ends - 1] - sums[starts - 1]) * inverse[starts] + np.uint64(0x9E3779B97F4A7C15) * (ends - starts).astype(np.uint64))
+    found = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        low = starts[first] - 1
+        last = max(first + 1, int(np.searchsorted(ends, low + BLOCK, side="right")))
+        sums = VALUES[data[low : ends[last - 1]]]
+        power, inverse = powers(len(sums))
+        sums *= power
+        np.add.accumulate(sums, out=sums)
+        s, e = starts[first:last] - low, ends[first:last] - low
+        found[first:last] = mix((sums[e - 1] - sums[s - 1]) * inverse[s] + np.uint64(0x9E3779B97F4A7C15) * (e - s).astype(np.uint64))
+        first = last
     return found, np.searchsorted(starts, begins)
 
 

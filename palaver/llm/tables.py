@@ -1,6 +1,7 @@
 """What the operators of this subpackage share: reading tables, slices of batches, and a filter of fixed size."""
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BITMAP_BITS = 24
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +33,20 @@ def in_slices(batches: Iterator[pa.RecordBatch], size: int = 2_000_000) -> Itera
             start = stop
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """What is run inside hands Python batches of about ``size``, which is held by both sides; the session's setting comes back.
+
+    The default is 64 MB, of which each side holds a multiple while a batch is filled or read. Rows are the same.
+    """
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 def bitmap(keys: DataFrame, column: str) -> np.ndarray:
     """A bitmap of 2**24 bits in which the bit of every key (a bigint) is set: 2 MB, however many keys there are.
 
