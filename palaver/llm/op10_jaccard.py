@@ -262,7 +262,9 @@ def _components(docs: DataFrame, shingle: int, similarity: Fraction) -> DataFram
     apart = buckets.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     rest = candidates(apart, sets, similarity, spanning=False).join(first, ["a", "b"], "left_anti")
     more = write_once(linked(write_once(rest, "pairs"), sets, similarity), "near")
-    joined = write_once(connected_components(near.unionAll(more)), "components")
+    if not more.isEmpty():
+        stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        joined = write_once(connected_components(stars.unionAll(more)), "components")
     return _named(known, named, joined)
 
 

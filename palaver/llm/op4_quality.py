@@ -10,6 +10,7 @@ The score is linear in the vectors up to the softmax, so for scoring each vector
 once. What executors get is one number per table entry, 2 MB whatever the size of the input.
 """
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,8 @@ STEPS = 15_000
 RATE = 0.5
 #: Vectors are met in one document of many and in small shares: they learn faster than the softmax.
 BOOST = 20
+#: Vectors are drawn in blocks of so many: a draw is twice as wide as what is kept of it.
+DRAWN = 1 << 14
 THRESHOLD = 0.3
 FOLDS = 5
 
@@ -80,22 +83,36 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
+def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The table entries of each text, their shares of it, and where each text's begin: 8 bytes for an entry of a text.
+
+    They are kept end to end, for an array for each text would leave the driver's memory in pieces that do not go back.
+    """
+    entries, shares, begins = array("i"), array("f"), [0]
+    for text in texts:
+        for found, _ in features([text]):
+            once, counts = np.unique(found, return_counts=True)
+            entries.frombytes(once.astype(np.int32).tobytes())
+            shares.frombytes((counts / max(1, counts.sum()) / KINDS).astype(np.float32).tobytes())
+        begins.append(len(entries))
+    return np.asarray(entries), np.asarray(shares), begins
+
+
 def train(texts: list[str], labels: list[int], prior: float, seed: int = 7) -> Model:
     """Vectors and softmax by gradient descent, one document at a time; ``prior``: the share of label 1 among all."""
     if len(set(labels)) < 2:
         return Model(np.zeros(KINDS << BITS, np.float32), float(np.log(prior / (1 - prior))))
     random = np.random.default_rng(seed)
-    vectors = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (KINDS << BITS, DIMENSIONS)).astype(np.float32)
+    vectors = np.empty((KINDS << BITS, DIMENSIONS), np.float32)
+    for start in range(0, len(vectors), DRAWN):
+        part = vectors[start : start + DRAWN]
+        part[:] = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, part.shape)
     out, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    bags = []
-    for text in texts:
-        kinds = [np.unique(found, return_counts=True) for found, _ in features([text])]
-        shares = [counts / max(1, counts.sum()) / KINDS for _, counts in kinds]
-        bags.append((np.concatenate([e for e, _ in kinds]), np.concatenate(shares).astype(np.float32)))
+    all_entries, all_shares, begins = bags(texts)
     epochs = -(-STEPS // len(texts))
     steps = epochs * len(texts)
     for step, i in enumerate(np.concatenate([random.permutation(len(texts)) for _ in range(epochs)]).tolist()):
-        entries, shares = bags[i]
+        entries, shares = all_entries[begins[i] : begins[i + 1]], all_shares[begins[i] : begins[i + 1]].copy()
         mean = shares @ vectors[entries]
         logits = mean @ out + bias
         p = np.exp(logits - logits.max())
@@ -126,8 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     prior = (counts.get(1, 0) + 1) / (total + 2)
     chosen = [labels.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for q in (0, 1)]
     sample = texts_of(docs).where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
-    rows = sorted(one_of_each(sample).collect())
-    return train([r["text"] for r in rows], [r["quality"] for r in rows], prior)
+    rows = one_of_each(sample).toArrow().sort_by([(c, "ascending") for c in ("doc_id", "text", "quality")])
+    return train(rows["text"].to_pylist(), rows["quality"].to_pylist(), prior)
 
 
 def one_of_each(sample: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from palaver.llm import op10_jaccard
 from palaver.llm.components import connected_components
 from palaver.llm.op10_jaccard import class_of, jaccard_components, one_of_each, same_length, signatures, sketch
 from palaver.llm.shingles import shingle_sets
@@ -90,6 +91,27 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_links_found_later_join_the_components_known(spark, monkeypatch):
+    r = random.Random(9)
+    rows = []
+    for group in range(4):
+        base = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        for i in range(5):
+            rows.append((group * 10 + i, " ".join(base[: len(base) - i] + [f"end{group}{j}" for j in range(i)])))
+    docs, calls = table(spark, rows), []
+    plain = op10_jaccard.connected_components
+    monkeypatch.setattr(op10_jaccard, "connected_components", lambda edges: (calls.append({tuple(e) for e in edges.collect()}), plain(edges))[1])
+    known = sorted(map(tuple, jaccard_components(docs).collect()))
+    assert {c for _, _, c in known} == {0, 10, 20, 30} and len(calls) == 1  # nothing was left to find
+
+    every = op10_jaccard.candidates
+    monkeypatch.setattr(op10_jaccard, "candidates", lambda *a, spanning: every(*a, spanning=spanning).where("a % 3 = 0" if spanning else "true"))
+    assert sorted(map(tuple, jaccard_components(docs).collect())) == known
+    first, second = calls[1:]
+    stars = dict(map(tuple, plain(spark.createDataFrame(sorted(first), "a bigint, b bigint")).collect()))
+    assert set(stars.items()) < second and not first & (second - set(stars.items()))
+
+
 def test_bitmap_never_drops_a_key(spark):
     keys = [0, -1, 5, 2**62, -(2**63)]
     frame = spark.createDataFrame([(k,) for k in keys], "k bigint")

@@ -1,9 +1,12 @@
 """Quality classifier: accuracy on the rows that are held out, and the same score however rows are grouped."""
 
+import tracemalloc
 import zlib
 
+import numpy as np
+
 from palaver.llm import op4_quality
-from palaver.llm.op4_quality import Model, accepted, features, fit, op4_quality_classifier, scored, train
+from palaver.llm.op4_quality import BITS, DIMENSIONS, KINDS, Model, accepted, bags, features, fit, op4_quality_classifier, scored, train
 from tests.llm.cases import table, texts
 
 SF = "/root/testdata/sf0.01"
@@ -59,3 +62,38 @@ def test_a_repeated_document_is_learned_from_once(spark, monkeypatch):
     taken, quality, prior = seen[0]
     assert seen[0] == seen[1] and prior == 0.5
     assert taken[0].startswith("text ") and taken[1:] == ["b c", "d", ""] and quality == [1, 0, 1, 0]
+
+
+def test_training_takes_little_more_than_its_vectors(monkeypatch):
+    monkeypatch.setattr(op4_quality, "STEPS", 4)
+    given = ["a plain line of words", "BUY!! NOW!!"], [1, 0], 0.5
+    train(*given)
+    tracemalloc.start()
+    try:
+        model = train(*given)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    vectors = 4 * (KINDS << BITS) * DIMENSIONS
+    assert peak < 1.25 * vectors and held < 0.1 * vectors  # all drawn at once they take three times as much
+    assert model.weights.shape == (KINDS << BITS,)
+
+
+def test_bags_are_those_of_each_text_at_8_bytes_an_entry():
+    given = [t or "" for _, t in texts()] + ["", "x x x x y", "words " * 500]
+    entries, shares, begins = bags(given)
+    assert entries.nbytes + shares.nbytes == 8 * begins[-1] and len(begins) == len(given) + 1
+    for text, start, stop in zip(given, begins, begins[1:]):
+        kinds = [np.unique(found, return_counts=True) for found, _ in features([text])]
+        assert entries[start:stop].tolist() == [e for once, _ in kinds for e in once.tolist()]
+        known = [counts / max(1, counts.sum()) / KINDS for _, counts in kinds]
+        assert shares[start:stop].tolist() == np.concatenate(known).astype(np.float32).tolist()
+    assert [len(x) for x in bags([""])[:2]] == [0, 0]
+
+
+def test_the_vectors_drawn_do_not_depend_on_the_block(monkeypatch):
+    monkeypatch.setattr(op4_quality, "STEPS", 50)
+    given = ["a plain line of words", "BUY!! NOW!!", "some more words"], [1, 0, 1], 0.5
+    known = train(*given)
+    monkeypatch.setattr(op4_quality, "DRAWN", (KINDS << BITS) + 1)
+    assert (train(*given).weights == known.weights).all() and train(*given).bias == known.bias
